@@ -95,6 +95,21 @@ def _cache_gap_fill(spark, sf):
         new.select("id", "title", F.lit("landing").alias("origin")))
 
 
+def _stream_ingest(spark, sf):
+    """Landing JSON lines of the catalogue, written to a fresh folder under
+    the shared checkpoint folder, ingested by the file stream."""
+    import uuid
+
+    from marquee.plans.session import scratch_path
+    from marquee.streaming import ingest_folder
+
+    base = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
+    _landing_lines(spark, sf).write.mode("overwrite").text(f"{base}/landing")
+    cache = ingest_folder(spark, f"{base}/landing", f"{base}/cache", f"{base}/rejects",
+                          f"{base}/checkpoint", starview.RAW_KEYS)
+    return cache.select("id", "title", "status")
+
+
 def _search_genres_cast(spark, sf):
     return search.search_titles(_clean(spark, sf), genres=["Hot", "widget"], cast="supplier#0000000",
                                 sort_by="vote_average").select("title", "vote_average", "genres", "cast")
@@ -157,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "required_keys_rejects": _required_keys_rejects,
         "ingest_accepted": _ingest_accepted,
         "cache_gap_fill": _cache_gap_fill,
+        "stream_ingest": _stream_ingest,
     }
     return q
 

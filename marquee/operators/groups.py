@@ -53,17 +53,18 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
         "_before": F.coalesce(F.sum("_cnt").over(before), F.lit(0)),
         "_n": F.sum("_cnt").over(Window.partitionBy(*keys)),
     })
-    o, b = ordered.alias("o"), blocks.alias("b")
-    cond = F.col("o._pid") == F.col("b._pid")
-    for k in keys:
-        cond = cond & F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}"))
-    rank = F.col("b._before") + (F.col("o._pos") - F.col("b._first"))
-    n = F.col("b._n")
-    middle = o.join(b, cond).select(
-        *[F.col(f"o.{k}").alias(k) for k in keys], F.col("o._v").alias("_v"),
-        rank.alias("_r"), n.alias("_n")) \
-        .where((F.col("_r") == F.floor((F.col("_n") - 1) / 2))
-               | (F.col("_r") == F.floor(F.col("_n") / 2)))
+    # 0-based ranks of the two middle values; the same rank twice when n is odd
+    mid = F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2))
+    targets = blocks.select(*keys, "_pid", "_first", "_before", "_cnt",
+                            F.explode(F.array_distinct(mid)).alias("_r")) \
+        .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_cnt"))) \
+        .select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_tpid"),
+                (F.col("_first") + (F.col("_r") - F.col("_before"))).alias("_tpos"))
+    # at most two target rows per group: AQE broadcasts them once measured
+    cond = (F.col("_pid") == F.col("_tpid")) & (F.col("_pos") == F.col("_tpos"))
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    middle = ordered.join(targets, cond, "left_semi")
     lo, hi = F.min("_v"), F.max("_v")
     return middle.groupBy(*keys).agg((lo + (hi - lo) * F.lit(0.5)).alias(alias))
 

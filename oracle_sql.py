@@ -278,6 +278,12 @@ FROM copies WHERE k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4"""
 SELECT CAST(k AS VARCHAR) AS id, p_name || ' #' || CAST(k AS VARCHAR) AS title,
        CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END AS status
 FROM copies WHERE NOT (k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4)"""
+    q["stream_ingest"] = f"WITH {_FACTS}" + """,
+accepted AS (
+  SELECT k, CAST(k AS VARCHAR) AS id, p_name || ' #' || CAST(k AS VARCHAR) AS title,
+         CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END AS status
+  FROM copies WHERE NOT (k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4))
+SELECT id, title, status FROM accepted"""
     q["cache_gap_fill"] = f"WITH {_FACTS}" + """,
 recs AS (
   SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE k END AS id,
