@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import feeds, groups, quality, ranking, search
-from marquee.operators.clean import clean_catalogue, dedupe_by_id, drop_missing_keys, stage_flags
+from marquee.operators.clean import dedupe_by_id, drop_missing_keys, stage_counts
 from marquee.operators.nested import flatten, parse_health, parse_nested
 from marquee.operators.clean import fix_types
 from marquee.sources import ingest, starview
@@ -40,19 +40,7 @@ def _typed(spark, sf):
 
 
 def _stage_counts(spark, sf):
-    f = stage_flags(starview.raw_catalogue(spark, sf))
-    kept = F.col("kept_dedupe")
-    row = f.agg(
-        F.count(F.lit(1)).alias("raw"),
-        F.count_if("keyed").alias("keyed"),
-        F.count_if(kept).alias("deduplicated"),
-        F.count_if(kept & F.col("populated")).alias("populated"),
-        F.count_if(kept & F.col("populated") & F.col("released")).alias("released"),
-    )
-    stages = ["raw", "keyed", "deduplicated", "populated", "released"]
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.col(s).alias("rows")) for s in stages])).alias("e")) \
-        .select("e.*")
+    return stage_counts(starview.raw_catalogue(spark, sf))
 
 
 def _parse_health(spark, sf):
@@ -65,6 +53,32 @@ def _dedupe_survivors(spark, sf):
     return dedupe_by_id(drop_missing_keys(typed)).select("id", "popularity", "status")
 
 
+def _parsed_flattened(spark, sf):
+    return flatten(parse_nested(starview.raw_catalogue(spark, sf))).select(
+        F.col("id").alias("id_text"), "genres", "belongs_to_collection", "production_companies",
+        "production_countries", "spoken_languages", "cast", "cast_size", "director", "crew_size")
+
+
+def _typed_values(spark, sf):
+    return _typed(spark, sf).select(
+        "id", "title", "status", "budget_musd", "revenue_musd", "vote_count", "vote_average",
+        "popularity", "runtime", "release_date", "overview", "tagline")
+
+
+def _clean_csv_roundtrip(spark, sf):
+    """Clean catalogue written as header CSV under the shared checkpoint
+    folder, read back and re-typed by the contract."""
+    import uuid
+
+    from marquee.plans.session import scratch_path
+    from marquee.sources.raw import read_clean
+    from marquee.sources.sinks import write_clean
+
+    path = scratch_path(spark, f"clean-csv-{uuid.uuid4().hex}")
+    write_clean(_clean(spark, sf), path, fmt="csv")
+    return read_clean(spark, path, fmt="csv")
+
+
 def _raw_encode(spark, sf):
     return starview.raw_catalogue(spark, sf).select(
         "id", "title", "status", "budget", "revenue", "release_date", "popularity",
@@ -168,6 +182,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_health": _parse_health,
         "quality_report": lambda s, sf: quality.quality_report(_typed(s, sf), as_of="2025-12-31",
                                                                expected_rows=18),
+        "parsed_flattened": _parsed_flattened,
+        "typed_values": _typed_values,
+        "clean_csv_roundtrip": _clean_csv_roundtrip,
         "raw_encode": _raw_encode,
         "required_keys_rejects": _required_keys_rejects,
         "ingest_accepted": _ingest_accepted,

@@ -81,6 +81,12 @@ def has_token_ci(c: str | Column, term: str, sep: str = MULTI_SEP) -> Column:
     return F.exists(split_multi(c, sep), lambda x: F.lower(x) == F.lit(t))
 
 
+def float_columns(df) -> list[str]:
+    from pyspark.sql.types import DoubleType, FloatType
+
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
+
+
 def split_multi(c: str | Column, sep: str = MULTI_SEP) -> Column:
     """Split multi-valued text on a literal separator; empty items dropped."""
     import re
@@ -89,9 +95,12 @@ def split_multi(c: str | Column, sep: str = MULTI_SEP) -> Column:
     return F.filter(parts, lambda x: x != F.lit(""))
 
 
-def populated_count(columns: Iterable[str]) -> Column:
-    """How many of the given columns are non-null (NaN counts as missing)."""
-    terms = [F.col(c).isNotNull().cast("int") for c in columns]
+def populated_count(columns: Iterable[str], float_columns: Iterable[str] = ()) -> Column:
+    """How many of the given columns are non-null; NaN in one of
+    ``float_columns`` counts as missing (as ``dropna`` does)."""
+    floats = set(float_columns)
+    terms = [(F.col(c).isNotNull() & ~F.isnan(F.col(c)) if c in floats else F.col(c).isNotNull())
+             .cast("int") for c in columns]
     total = terms[0]
     for t in terms[1:]:
         total = total + t

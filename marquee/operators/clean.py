@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import (
+    float_columns,
     placeholder_to_null,
     populated_count,
     to_date,
@@ -78,7 +79,7 @@ def dedupe_by_id(df: DataFrame, prefer: Sequence[Column] | None = None,
     third of the rows still reaches one task as at most one row per input
     partition."""
     cols = list(populated_of or df.columns)
-    order = [populated_count(cols).desc()]
+    order = [populated_count(cols, float_columns(df)).desc()]
     order += list(prefer) if prefer is not None else (
         [F.col("popularity").desc_nulls_last()] if "popularity" in df.columns else [])
     order.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
@@ -121,24 +122,25 @@ def clean_catalogue(raw: DataFrame, prefer: Sequence[Column] | None = None) -> D
     return clean_rows(fix_types(flatten(parse_nested(raw))), prefer=prefer)
 
 
-def stage_flags(raw: DataFrame) -> DataFrame:
-    """Typed rows with one boolean per cleaning stage, for counting how
-    many rows each stage keeps in a single pass:
-    ``keyed`` (id and title present), ``kept_dedupe`` (the surviving copy
-    of its id), ``populated`` and ``released``."""
+def stage_counts(raw: DataFrame) -> DataFrame:
+    """Rows kept after each cleaning stage as (stage, rows): raw, keyed
+    (id and title present), deduplicated, populated, released. The
+    de-duplication is the same ``dedupe_by_id`` the clean chain uses
+    (map-side WindowGroupLimit), so a hot id never meets one task whole."""
     typed = fix_types(flatten(parse_nested(raw)))
-    cols = typed.columns
-    keyed = F.col("id").isNotNull() & F.col("title").isNotNull()
-    order = [populated_count(cols).desc()]
-    if "popularity" in cols:
-        order.append(F.col("popularity").desc_nulls_last())
-    order.append(F.xxhash64(*[F.col(c) for c in cols]).asc())
-    w = Window.partitionBy(keyed, "id").orderBy(*order)
-    nn = populated_count(cols)
-    return typed.select(
-        keyed.alias("keyed"),
-        (keyed & (F.row_number().over(w) == 1)).alias("kept_dedupe"),
-        (nn >= F.lit(MIN_POPULATED_FIELDS)).alias("populated"),
-        (F.col("status") == F.lit(RELEASED)).alias("released") if "status" in cols
-        else F.lit(True).alias("released"),
-    )
+    front = typed.agg(F.count(F.lit(1)).alias("raw"),
+                      F.count_if(F.col("id").isNotNull() & F.col("title").isNotNull()).alias("keyed"))
+    survivors = dedupe_by_id(drop_missing_keys(typed))
+    populated = populated_count(survivors.columns, float_columns(survivors)) >= F.lit(MIN_POPULATED_FIELDS)
+    released = (F.col("status") == F.lit(RELEASED)) if "status" in survivors.columns else F.lit(True)
+    back = survivors.agg(F.count(F.lit(1)).alias("deduplicated"),
+                         F.count_if(populated).alias("populated"),
+                         F.count_if(populated & released).alias("released"))
+
+    def _rows(df: DataFrame, names: list[str]) -> DataFrame:
+        return df.select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("stage"), F.col(n).cast("bigint").alias("rows")) for n in names
+        ])).alias("e")).select("e.*")
+
+    return _rows(front, ["raw", "keyed"]).unionByName(
+        _rows(back, ["deduplicated", "populated", "released"]))

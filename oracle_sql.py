@@ -220,6 +220,15 @@ WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL GROUP BY 1, 2"""
     q["dedupe_survivors"] = CATALOGUE + """
 SELECT id, popularity, status FROM typed
 WHERE id IS NOT NULL AND title IS NOT NULL AND copy = (CASE WHEN k % 29 = 0 THEN 1 ELSE 0 END)"""
+    q["parsed_flattened"] = CATALOGUE + """
+SELECT CAST(id AS VARCHAR) AS id_text, genres, belongs_to_collection, production_companies,
+       production_countries, spoken_languages, "cast", cast_size, director, crew_size
+FROM typed"""
+    q["typed_values"] = CATALOGUE + """
+SELECT id, title, status, budget_musd, revenue_musd, vote_count, vote_average, popularity,
+       runtime, release_date, overview, tagline
+FROM typed"""
+    q["clean_csv_roundtrip"] = CATALOGUE + "SELECT * FROM clean"
     q["stage_counts"] = CATALOGUE + """
 SELECT * FROM (VALUES
   ('raw', (SELECT COUNT(*) FROM typed)),
