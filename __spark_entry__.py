@@ -124,6 +124,18 @@ def _stream_ingest(spark, sf):
     return cache.select("id", "title", "status")
 
 
+def _sql_rank_roi(spark, sf):
+    """Highest ROI through the SQL surface: a temp view plus SQL functions."""
+    from marquee.functions.sql import register_catalogue
+
+    view = register_catalogue(_clean(spark, sf), "marquee_titles")
+    return spark.sql(f"""
+        SELECT title, mq_roi(revenue_musd, budget_musd) AS roi, revenue_musd, budget_musd
+        FROM {view}
+        WHERE budget_musd >= 10 AND mq_roi(revenue_musd, budget_musd) IS NOT NULL
+        ORDER BY roi DESC, id ASC LIMIT 5""")
+
+
 def _search_genres_cast(spark, sf):
     return search.search_titles(_clean(spark, sf), genres=["Hot", "widget"], cast="supplier#0000000",
                                 sort_by="vote_average").select("title", "vote_average", "genres", "cast")
@@ -153,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_rating_high": _rank(ranking.highest_rated),
         "rank_rating_low": _rank(ranking.lowest_rated),
         "rank_popularity": _rank(ranking.most_popular),
+        "sql_rank_roi": _sql_rank_roi,
         "rank_within_collection": lambda s, sf: ranking.top_per_group(
             _clean(s, sf), "belongs_to_collection", "revenue_musd")
         .select("belongs_to_collection", "title", "revenue_musd", "rank"),

@@ -37,14 +37,7 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     if approx:
         return df.groupBy(*keys).agg(F.percentile_approx(v, 0.5, accuracy).alias(alias))
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
-        .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
-    ordered = (vals.repartitionByRange(parts, *[F.col(k).asc() for k in keys], F.col("_v").asc())
-               .sortWithinPartitions(*keys, "_v")
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id()))
+    ordered = ordered_slices(df, keys, v)
     blocks = ordered.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"),
                                                  F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_pid") \
@@ -69,6 +62,25 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     return middle.groupBy(*keys).agg((lo + (hi - lo) * F.lit(0.5)).alias(alias))
 
 
+def ordered_slices(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
+    """(keys, _v) range-partitioned and sorted on (keys, _v, _spread), with
+    the task id ``_pid`` and a position ``_pos`` increasing in that order
+    inside each task. ``_spread`` (a hash of a per-row id) splits runs of
+    identical values, which a range partitioner alone would keep in one
+    task; ties have equal values, so it never changes a rank's value."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vals = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
+        .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))) \
+        .withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
+    order = [F.col(k).asc() for k in keys] + [F.col("_v").asc(), F.col("_spread").asc()]
+    return (vals.repartitionByRange(parts, *order)
+            .sortWithinPartitions(*order)
+            .drop("_spread")
+            .withColumn("_pid", F.spark_partition_id())
+            .withColumn("_pos", F.monotonically_increasing_id()))
+
+
 def membership_label(df: DataFrame) -> Column:
     return F.when(F.col("belongs_to_collection").isNotNull(), F.lit(FRANCHISE_LABEL)) \
         .otherwise(F.lit(STANDALONE_LABEL))

@@ -11,11 +11,11 @@ Execution shape (all DataFrame operators, no driver loop):
   map-side partial aggregation, so a part holding a third of all lines
   collapses to one row per supplier per task before any shuffle; then
   to one row per part (the pair rows are already few).
-* suppliers are joined at pair level. No broadcast hint: Catalyst and
-  AQE broadcast the supplier side only when its measured size is under
-  ``spark.sql.autoBroadcastJoinThreshold`` and fall back to a
-  sort-merge join otherwise. ``nation`` (25 rows) and ``region`` (5 rows)
-  have sizes fixed by the TPC-H definition and are broadcast.
+* suppliers, nations and regions are joined at pair level with no
+  broadcast hint: Catalyst (from file statistics) and AQE (from the
+  measured shuffle size) broadcast a side only when it is under
+  ``spark.sql.autoBroadcastJoinThreshold`` and fall back to a sort-merge
+  join otherwise, which AQE splits further when one supplier is hot.
 * per-part lists hold the part's distinct suppliers (cast, crew), its
   nations and regions; their length is bounded by the part's supplier
   count, never by its line count.
@@ -92,11 +92,11 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left") \
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left") \
         .select("n_nationkey", "n_name", "r_name")
     pairs = supplier_pairs(spark, sf_dir)
     named = pairs.join(sup, pairs.l_suppkey == sup.s_suppkey, "left") \
-        .join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(geo, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     jobs = F.filter(F.array(
         F.when(F.col("is_crew"), F.lit("Crew")),
         F.when(F.col("is_director"), F.lit("Director")),

@@ -136,6 +136,7 @@ def statements() -> dict[str, str]:
     q["rank_rating_high"] = _rank("vote_average", False, ["vote_count"], "vote_count >= 10")
     q["rank_rating_low"] = _rank("vote_average", True, ["vote_count"], "vote_count >= 10")
     q["rank_popularity"] = _rank("popularity", False, [])
+    q["sql_rank_roi"] = q["rank_roi_high"]
     q["rank_within_collection"] = CATALOGUE + """
 SELECT belongs_to_collection, title, revenue_musd, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY belongs_to_collection

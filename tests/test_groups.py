@@ -102,3 +102,13 @@ def test_group_median_multi_key_and_approx(spark):
     approx = {(r["k"], r["y"]): r["m"] for r in
               groups.group_median(df, ["k", "y"], "v", "m", approx=True).collect()}
     assert approx[("a", 2)] == 5.0
+
+
+def test_ordered_slices_split_a_run_of_identical_values(spark):
+    df = spark.createDataFrame([("hot", 1.0)] * 4000 + [("cold", 2.0)] * 10, "k string, v double") \
+        .repartition(8)
+    sl = groups.ordered_slices(df, ["k"], F.col("v"))
+    sizes = [r["n"] for r in sl.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 4000 * 0.6
+    got = {r["k"]: r["m"] for r in groups.group_median(df, ["k"], "v", "m").collect()}
+    assert got == {"hot": 1.0, "cold": 2.0}
