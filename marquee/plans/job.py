@@ -29,7 +29,8 @@ from marquee.operators.clean import (
     to_contract,
 )
 from marquee.operators.nested import flatten, parse_health, parse_nested
-from marquee.sources.raw import read_clean
+from marquee.sources import ingest as ingest_ops
+from marquee.sources.raw import read_clean, read_raw_if_exists
 
 log = logging.getLogger("marquee.job")
 
@@ -42,6 +43,17 @@ class StageError(RuntimeError):
         self.stage = stage
 
 
+def observed(obs: Observation) -> dict:
+    """Metrics of an observation. When AQE finds a shuffle empty at run
+    time it replaces the plan above it by an empty relation, dropping the
+    observation with it; the rows it would have counted are then none,
+    so an unreported observation reads as empty (all counts 0)."""
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - dropped with an empty relation
+        return {}
+
+
 @dataclass
 class CleanRun:
     path: str
@@ -80,9 +92,9 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     clean.write.mode("overwrite").format(fmt).save(out_path)
     run = CleanRun(path=out_path)
     for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
-        run.stage_rows[stage] = int(obs[stage].get.get("rows", 0))
-    run.parse = {k: int(v) for k, v in obs["parse"].get.items()}
-    run.value_checks = {k: int(v) for k, v in obs["values"].get.items()}
+        run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
+    run.parse = {k: int(v or 0) for k, v in observed(obs["parse"]).items()}
+    run.value_checks = {k: int(v or 0) for k, v in observed(obs["values"]).items()}
     log.info("clean rows by stage: %s", run.stage_rows)
     quality.check_parse(run.parse)
     for name, bad in run.value_checks.items():
@@ -98,6 +110,53 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     return out, run
 
 
+@dataclass
+class IngestRun:
+    cache_path: str
+    accepted: int = 0
+    rejected: int = 0
+    appended: int = 0
+
+
+def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys,
+                   requested: DataFrame | None = None, rejects_path: str | None = None) -> IngestRun:
+    """Batch gap-fill of the raw cache from a landing folder of JSON lines.
+
+    Lines lacking a required key are rejected (written to ``rejects_path``
+    when given); of the accepted records only ids that are requested (all,
+    when ``requested`` is None) and not cached yet are appended. Counts
+    ride on the append as observed metrics. Raises ``NoUsableRecords``
+    when nothing was usable and there is no cache."""
+    lines = spark.read.text(landing_path)
+    obs = Observation("ingest")
+    tagged = lines.withColumn("missing", ingest_ops.missing_keys("value")).observe(
+        obs, F.count_if(F.size("missing") == 0).alias("accepted"),
+        F.count_if(F.size("missing") > 0).alias("rejected"))
+    good = ingest_ops.parse_records(tagged.where(F.size("missing") == 0), keys)
+    cache = read_raw_if_exists(spark, cache_path)
+    has_cache = "id" in cache.columns and not cache.isEmpty()
+    cached = cache.select("id") if has_cache else spark.createDataFrame([], "id string")
+    if requested is not None:
+        _, new = ingest_ops.gap_fill(cached, good, requested)
+    else:  # every accepted id not cached yet (the observed frame appears once)
+        known = cached.select(F.col("id").try_cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
+        new = good.withColumn("_id", F.col("id").try_cast("bigint")) \
+            .join(known, "_id", "left_anti").drop("_id")
+    appended = Observation("appended")
+    new.observe(appended, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(cache_path)
+    counts, added = observed(obs), observed(appended)
+    run = IngestRun(cache_path=cache_path, accepted=int(counts.get("accepted") or 0),
+                    rejected=int(counts.get("rejected") or 0), appended=int(added.get("rows") or 0))
+    if rejects_path and run.rejected:
+        tagged.where(F.size("missing") > 0).select(
+            F.col("value").alias("record"), F.array_join("missing", "|").alias("missing")) \
+            .write.mode("append").parquet(rejects_path)
+    if run.accepted == 0 and not has_cache:
+        raise ingest_ops.NoUsableRecords("no usable title record in the landing folder and no cache")
+    log.info("ingest: %d accepted, %d rejected, %d appended", run.accepted, run.rejected, run.appended)
+    return run
+
+
 def kpi_tables(clean: DataFrame) -> dict[str, DataFrame]:
     """Every report of the catalogue, by name."""
     out = {name: fn(clean) for name, fn in ranking.ALL_RANKINGS.items()}

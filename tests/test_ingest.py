@@ -109,3 +109,32 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     rej = spark.read.parquet(f"{tmp_dir}/rej").collect()
     assert [r["missing"] for r in rej] == ["title"]
     assert cache.where(F.col("genres").isNull()).count() == 0
+
+
+def test_batch_ingest_job_counts_and_gap_fill(spark, tmp_dir):
+    from marquee.plans.job import ingest_landing
+
+    land = f"{tmp_dir}/land"
+    bad = raw_record(id=9)
+    del bad["genres"]
+    _lines(spark, [raw_record(id=1), raw_record(id=2), bad]).write.mode("append").text(land)
+    run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS, rejects_path=f"{tmp_dir}/rej")
+    assert (run.accepted, run.rejected, run.appended) == (2, 1, 2)
+    # second pass over the same landing: nothing new
+    run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS)
+    assert run.appended == 0
+    # only requested ids are loaded
+    _lines(spark, [raw_record(id=3), raw_record(id=4)]).write.mode("append").text(land)
+    run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS,
+                         requested=spark.createDataFrame([("3",), ("7",)], "id string"))
+    assert run.appended == 1
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_dir}/cache").collect()) == ["1", "2", "3"]
+
+
+def test_batch_ingest_raises_when_nothing_usable(spark, tmp_dir):
+    from marquee.plans.job import ingest_landing
+
+    land = f"{tmp_dir}/land2"
+    spark.createDataFrame([("not json",)], "value string").write.text(land)
+    with pytest.raises(ingest.NoUsableRecords):
+        ingest_landing(spark, land, f"{tmp_dir}/cache2", KEYS)
