@@ -26,59 +26,64 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     of ``value`` per group of ``keys``; nulls and NaN are skipped.
 
     Spark's ``percentile`` merges every distinct value of a group into one
-    task. Here the (key, value) pairs are range-partitioned on
-    (key, value), so a group holding a third of all rows is spread over
-    many tasks. Each task sorts its slice and numbers it; a small table of
-    per-task counts gives every slice its offset inside the group, and
-    only the one or two rows at the middle ranks are kept.
+    task. Here, deterministically and without a hot task:
+
+    1. identical (key, value) pairs are counted (map-side combined, so a
+       run of one value in a hot group collapses to one weighted row);
+    2. the distinct pairs are range-partitioned on (key, value), which
+       spreads a hot group over many tasks;
+    3. a running weight inside each (task, key) slice, plus the slice's
+       offset from a small per-(task, key) table, gives every distinct
+       value its rank interval in the group;
+    4. only values whose interval holds one of the middle ranks are kept.
+
     ``approx=True`` uses the bounded-memory ``percentile_approx`` instead.
     """
     keys = list(keys)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     if approx:
         return df.groupBy(*keys).agg(F.percentile_approx(v, 0.5, accuracy).alias(alias))
-    ordered = ordered_slices(df, keys, v)
-    blocks = ordered.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"),
-                                                 F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_pid") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumns({
-        "_before": F.coalesce(F.sum("_cnt").over(before), F.lit(0)),
-        "_n": F.sum("_cnt").over(Window.partitionBy(*keys)),
-    })
-    # 0-based ranks of the two middle values; the same rank twice when n is odd
-    mid = F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2))
-    targets = blocks.select(*keys, "_pid", "_first", "_before", "_cnt",
-                            F.explode(F.array_distinct(mid)).alias("_r")) \
-        .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_cnt"))) \
-        .select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_tpid"),
-                (F.col("_first") + (F.col("_r") - F.col("_before"))).alias("_tpos"))
-    # at most two target rows per group: AQE broadcasts them once measured
-    cond = (F.col("_pid") == F.col("_tpid")) & (F.col("_pos") == F.col("_tpos"))
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_t{i}"))
-    middle = ordered.join(targets, cond, "left_semi")
-    lo, hi = F.min("_v"), F.max("_v")
-    return middle.groupBy(*keys).agg((lo + (hi - lo) * F.lit(0.5)).alias(alias))
-
-
-def ordered_slices(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
-    """(keys, _v) range-partitioned and sorted on (keys, _v, _spread), with
-    the task id ``_pid`` and a position ``_pos`` increasing in that order
-    inside each task. ``_spread`` (a hash of a per-row id) splits runs of
-    identical values, which a range partitioner alone would keep in one
-    task; ties have equal values, so it never changes a rank's value."""
+    ranked = ranked_values(df, keys, v)
+    n = F.col("_n")
+    lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
+    start, end = F.col("_start"), F.col("_start") + F.col("_w")
+    has_lo = (start <= lo) & (lo < end)
+    has_hi = (start <= hi) & (hi < end)
+    picked = ranked.where(has_lo | has_hi).groupBy(*keys).agg(
+        F.max(F.when(has_lo, F.col("_v"))).alias("_lo"),
+        F.max(F.when(has_hi, F.col("_v"))).alias("_hi"))
+    return picked.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias(alias))
+
+
+def ranked_values(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
+    """Distinct (keys, _v) with weight ``_w`` (rows holding that value),
+    ``_start`` (0-based rank of its first row in the group) and ``_n``
+    (rows in the group). Deterministic: no row ids and nothing that
+    depends on row order, so a retried task reproduces its output."""
+    keys = list(keys)
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
+    counted = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
         .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))) \
-        .withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
-    order = [F.col(k).asc() for k in keys] + [F.col("_v").asc(), F.col("_spread").asc()]
-    return (vals.repartitionByRange(parts, *order)
-            .sortWithinPartitions(*order)
-            .drop("_spread")
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_pos", F.monotonically_increasing_id()))
+        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    order = [F.col(k).asc() for k in keys] + [F.col("_v").asc()]
+    sliced = counted.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    inside = Window.partitionBy("_pid", *keys).orderBy("_v") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sliced = sliced.withColumn("_cum", F.sum("_w").over(inside))
+    blocks = sliced.groupBy("_pid", *keys).agg(F.sum("_w").alias("_bw"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns({
+        "_before": F.coalesce(F.sum("_bw").over(before), F.lit(0)),
+        "_n": F.sum("_bw").over(Window.partitionBy(*keys)),
+    }).select(F.col("_pid").alias("_bpid"), *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)],
+              "_before", "_n")
+    cond = F.col("_pid") == F.col("_bpid")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    # blocks has at most (tasks + groups) rows: AQE broadcasts it once measured
+    return sliced.join(blocks, cond).select(
+        *keys, "_v", "_w", (F.col("_before") + F.col("_cum") - F.col("_w")).alias("_start"), "_n")
 
 
 def membership_label(df: DataFrame) -> Column:

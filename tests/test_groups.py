@@ -104,11 +104,19 @@ def test_group_median_multi_key_and_approx(spark):
     assert approx[("a", 2)] == 5.0
 
 
-def test_ordered_slices_split_a_run_of_identical_values(spark):
-    df = spark.createDataFrame([("hot", 1.0)] * 4000 + [("cold", 2.0)] * 10, "k string, v double") \
-        .repartition(8)
-    sl = groups.ordered_slices(df, ["k"], F.col("v"))
-    sizes = [r["n"] for r in sl.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()]
-    assert max(sizes) < 4000 * 0.6
+def test_median_of_a_hot_run_of_identical_values(spark):
+    df = spark.createDataFrame([("hot", 1.0)] * 4000 + [("hot", 3.0)] * 3999 + [("cold", 2.0)] * 10,
+                               "k string, v double").repartition(8)
+    ranked = groups.ranked_values(df, ["k"], F.col("v"))
+    # identical values collapse to one weighted row each before any shuffle
+    assert sorted((r["k"], r["_v"], r["_w"], r["_start"], r["_n"]) for r in ranked.collect()) == [
+        ("cold", 2.0, 10, 0, 10), ("hot", 1.0, 4000, 0, 7999), ("hot", 3.0, 3999, 4000, 7999)]
     got = {r["k"]: r["m"] for r in groups.group_median(df, ["k"], "v", "m").collect()}
     assert got == {"hot": 1.0, "cold": 2.0}
+
+
+def test_median_is_deterministic_across_partitionings(spark):
+    rows = [("a", float(i % 97)) for i in range(5000)]
+    a = groups.group_median(spark.createDataFrame(rows, "k string, v double").repartition(3), ["k"], "v", "m")
+    b = groups.group_median(spark.createDataFrame(rows, "k string, v double").repartition(11), ["k"], "v", "m")
+    assert a.collect() == b.collect()
