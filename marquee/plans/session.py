@@ -30,6 +30,36 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "marqu
     return spark
 
 
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions: enough that each holds about
+    ``target_partition_bytes`` of the (pre-aggregation) input, and at least
+    two waves of tasks, so partitions fit executor memory without spilling
+    at 100 TB (about 400k partitions) and AQE can coalesce small ones.
+    Scan splits match the same size. Skew handling splits any shuffle
+    partition five times the median and above 1 GiB."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL settings on a session (shuffle sizing, AQE)."""
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``; only when it is unset (local runs, tests) a

@@ -10,36 +10,39 @@ from marquee.schemas import CLEAN_COLUMNS, CLEAN_TYPES
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
-             multiline: bool = True) -> DataFrame:
+             multiline: bool = True, keys: list[str] | None = None) -> DataFrame:
     """Raw cache, every column as text. CSV: header names (bound by name,
     never by position), RFC-4180 quoting with doubled quotes, no type
     inference, and ``multiLine`` so line breaks inside quoted text stay in
-    their cell. Parquet / JSON-lines are splittable and preferred."""
+    their cell. JSON lines: one column per key (``keys``, or the union of
+    keys found, like Spark's own JSON schema inference), scalars as their
+    text and nested values as their original JSON text. Parquet / JSON
+    lines are splittable and preferred."""
     if fmt == "csv":
         return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
                 .option("multiLine", multiline).option("inferSchema", False).csv(path))
     if fmt == "json":
-        df = spark.read.option("primitivesAsString", True).json(path)
-        return df.select(*[F.col(c).cast("string").alias(c) if not _is_complex(df, c)
-                           else F.to_json(c).alias(c) for c in df.columns])
+        from marquee.sources.ingest import parse_records
+
+        lines = spark.read.text(path)
+        if keys is None:
+            found = lines.select(F.explode(F.json_object_keys("value")).alias("k")).distinct()
+            keys = sorted(r["k"] for r in found.collect())
+        return parse_records(lines, keys)
     df = spark.read.format(fmt).load(path)
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _is_complex(df: DataFrame, c: str) -> bool:
-    from pyspark.sql.types import ArrayType, MapType, StructType as ST
-
-    return isinstance(df.schema[c].dataType, (ArrayType, MapType, ST))
-
-
 def read_raw_if_exists(spark: SparkSession, path: str, fmt: str = "parquet",
                        schema: StructType | None = None) -> DataFrame:
     """The cache at ``path``, or an empty text frame when there is none."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hpath):
+    from pyspark.errors import AnalysisException
+
+    try:
         return read_raw(spark, path, fmt)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
     empty = schema or StructType([StructField("id", StringType())])
     return spark.createDataFrame([], empty)
 

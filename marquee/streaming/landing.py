@@ -24,19 +24,13 @@ from marquee.sources.ingest import ingest
 from marquee.sources.raw import read_raw_if_exists
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def append_new(batch: DataFrame, cache_path: str, rejects_path: str, keys: Sequence[str]) -> None:
     """One micro-batch: validate, parse, append the ids not cached yet."""
     spark = batch.sparkSession
     good, bad = ingest(batch, keys)
-    if _path_exists(spark, cache_path):
-        cached = read_raw_if_exists(spark, cache_path).select(
-            F.col("id").try_cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
+    cache = read_raw_if_exists(spark, cache_path)
+    if "id" in cache.columns:
+        cached = cache.select(F.col("id").try_cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
         good = good.withColumn("_id", F.col("id").try_cast("bigint")) \
             .join(cached, "_id", "left_anti").drop("_id")
     good.write.mode("append").parquet(cache_path)
