@@ -52,15 +52,3 @@ def flatten(df: DataFrame) -> DataFrame:
         "crew_size": array_size(F.col("credits.crew")),
     }
     return out.withColumns(cols).drop("credits")
-
-
-def nested_arrays(df: DataFrame) -> DataFrame:
-    """Keep the parsed name arrays beside the text (for array-first
-    grouping): genre_list, cast_list, director_list."""
-    return df.withColumns({
-        "genre_list": F.filter(F.col("genres.name"), lambda x: x.isNotNull()),
-        "cast_list": F.filter(F.col("credits.cast.name"), lambda x: x.isNotNull()),
-        "director_list": F.transform(
-            F.filter(F.col("credits.crew"), lambda m: (m["job"] == F.lit("Director")) & m["name"].isNotNull()),
-            lambda m: m["name"]),
-    })

@@ -172,21 +172,36 @@ def kpi_tables(clean: DataFrame) -> dict[str, DataFrame]:
 
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
-        as_of: str | _dt.date | None = None, expected_rows: int | None = None) -> dict[str, str]:
+        as_of: str | _dt.date | None = None, expected_rows: int | None = None,
+        parallel: int = 4) -> dict[str, str]:
     """Whole job: clean once, then write every KPI table under
-    ``out_dir``. A failure names the stage it happened in."""
+    ``out_dir``. The KPI writes are independent reads of the clean table;
+    up to ``parallel`` are submitted at once and Spark's scheduler shares
+    the cluster between them. A failure names the stage it happened in."""
+    from concurrent.futures import ThreadPoolExecutor
+
     base = out_dir.rstrip("/")
     stage = "preprocessing"
     try:
         clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
         stage = "analysis"
         paths = {"clean": f"{base}/clean"}
-        for name, table in kpi_tables(clean).items():
-            stage = f"analysis:{name}"
+        tables = kpi_tables(clean)
+
+        def write(name: str) -> str:
             path = f"{base}/{name}"
-            table.write.mode("overwrite").format(fmt).save(path)
-            paths[name] = path
+            try:
+                tables[name].write.mode("overwrite").format(fmt).save(path)
+            except Exception as e:  # noqa: BLE001 - re-raised with the KPI's name
+                raise StageError(f"analysis:{name}", e) from e
+            return path
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for name, path in zip(tables, pool.map(write, tables)):
+                paths[name] = path
         return paths
+    except StageError:
+        raise
     except Exception as e:  # noqa: BLE001 - re-raised with the stage name
         log.exception("job failed during the '%s' stage", stage)
         raise StageError(stage, e) from e
