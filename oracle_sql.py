@@ -139,8 +139,8 @@ def statements() -> dict[str, str]:
     q["sql_rank_roi"] = q["rank_roi_high"]
     q["rank_within_collection"] = CATALOGUE + """
 SELECT belongs_to_collection, title, revenue_musd, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY belongs_to_collection
-                               ORDER BY revenue_musd DESC, id ASC) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY belongs_to_collection
+                                    ORDER BY revenue_musd DESC, id ASC) AS INTEGER) AS rank
   FROM m WHERE revenue_musd IS NOT NULL) WHERE rank <= 5"""
     q["search_genres_cast"] = _search(
         f"{_has('genres', 'Hot')} AND {_has('genres', 'widget')} AND {_has('\"cast\"', 'supplier#0000000')}",
