@@ -137,13 +137,13 @@ def _sql_rank_roi(spark, sf):
 
 
 def _search_genres_cast(spark, sf):
-    return search.search_titles(_clean(spark, sf), genres=["Hot", "widget"], cast="supplier#0000000",
+    return search.search_titles(_clean(spark, sf), genres=["Hot", "widget"], cast="nation_1",
                                 sort_by="vote_average").select("title", "vote_average", "genres", "cast")
 
 
 def _search_cast_director(spark, sf):
-    return search.search_titles(_clean(spark, sf), cast="Supplier#000000012",
-                                director="supplier#000000034", sort_by="runtime", ascending=True) \
+    return search.search_titles(_clean(spark, sf), cast="NATION_12",
+                                director="nation_3", sort_by="runtime", ascending=True) \
         .select("title", "runtime", "director", "cast")
 
 

@@ -16,9 +16,10 @@ Execution shape (all DataFrame operators, no driver loop):
   measured shuffle size) broadcast a side only when it is under
   ``spark.sql.autoBroadcastJoinThreshold`` and fall back to a sort-merge
   join otherwise, which AQE splits further when one supplier is hot.
-* per-part lists hold the part's distinct suppliers (cast, crew), its
-  nations and regions; their length is bounded by the part's supplier
-  count, never by its line count.
+* per-part lists are ``collect_set``s over fixed-size tables: the
+  suppliers' nations (cast, production countries; at most 25), crew
+  (nation, job) entries (at most 75) and regions (at most 5). A part
+  holding a third of all lines still yields bounded arrays.
 * duplicates are produced with ``explode`` of a copy number, not with a
   union that would run the aggregation twice.
 """
@@ -88,8 +89,13 @@ def supplier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part: revenue, returns, quantity, lines, first ship
-    date, and the sorted cast / crew / nation / region lists."""
-    sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    date, and the sorted lists of its suppliers' nations (the cast and
+    the production countries), crew (nation, job) entries and regions.
+
+    Every list is a ``collect_set`` over a fixed-size table (25 nations,
+    5 regions, 3 jobs), so a title's arrays stay bounded however many
+    lines or suppliers a part has."""
+    sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left") \
@@ -97,24 +103,27 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = supplier_pairs(spark, sf_dir)
     named = pairs.join(sup, pairs.l_suppkey == sup.s_suppkey, "left") \
         .join(geo, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    jobs = F.filter(F.array(
-        F.when(F.col("is_crew"), F.lit("Crew")),
-        F.when(F.col("is_director"), F.lit("Director")),
-        F.when(F.col("is_writer"), F.lit("Writer")),
-    ), lambda j: j.isNotNull())
-    crew = F.when(F.col("s_name").isNotNull(),
-                  F.transform(jobs, lambda j: F.struct(F.col("s_name").alias("name"), j.alias("job"))))
+
+    def with_job(flag: str) -> Column:
+        return F.collect_set(F.when(F.col(flag), F.col("n_name")))
+
+    crew = F.concat(
+        F.transform(F.col("_crew"), lambda n: F.struct(n.alias("name"), F.lit("Crew").alias("job"))),
+        F.transform(F.col("_dir"), lambda n: F.struct(n.alias("name"), F.lit("Director").alias("job"))),
+        F.transform(F.col("_wri"), lambda n: F.struct(n.alias("name"), F.lit("Writer").alias("job"))))
     return named.groupBy("l_partkey").agg(
         F.sum("price").alias("price"),
         F.sum("returns").alias("returns"),
         F.sum("qty").alias("qty"),
         F.sum("lines").alias("lines"),
         F.min("first_ship").alias("first_ship"),
-        F.array_sort(F.collect_list("s_name")).alias("cast_names"),
-        F.array_sort(F.flatten(F.collect_list(crew))).alias("crew"),
         F.array_sort(F.collect_set("n_name")).alias("nations"),
         F.array_sort(F.collect_set("r_name")).alias("regions"),
-    )
+        with_job("is_crew").alias("_crew"),
+        with_job("is_director").alias("_dir"),
+        with_job("is_writer").alias("_wri"),
+    ).select("l_partkey", "price", "returns", "qty", "lines", "first_ship", "nations", "regions",
+             F.col("nations").alias("cast_names"), F.array_sort(crew).alias("crew"))
 
 
 def title_records(spark: SparkSession, sf_dir: str) -> DataFrame:
