@@ -62,13 +62,18 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local runs, tests) a
-    fresh scratch folder is created and set."""
-    d = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) is
+    a fresh scratch folder created for it."""
+    sc = spark.sparkContext
+    d = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set(CHECKPOINT_KEY, d)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
