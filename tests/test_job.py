@@ -40,3 +40,15 @@ def test_scale_settings():
     s = scale_settings(100 * 1024 ** 4, total_cores=8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_settings(10, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    from marquee.__main__ import main
+    from marquee.sources.sinks import write_raw
+
+    write_raw(raw_frame(spark, [raw_record(id=i, title=f"T{i}") for i in range(1, 4)]),
+              f"{tmp_dir}/raw", mode="overwrite")
+    assert main(["--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out"]) == 0
+    assert "highest_revenue" in capsys.readouterr().out
+    write_raw(raw_frame(spark, [raw_record()]).drop("credits"), f"{tmp_dir}/bad", mode="overwrite")
+    assert main(["--raw", f"{tmp_dir}/bad", "--out", f"{tmp_dir}/out2"]) == 1
