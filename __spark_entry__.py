@@ -31,7 +31,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return ranking.highest_revenue(_clean(spark, FLAGSHIP_SF))
 
 
-def _rank(fn):
+def _on_clean(fn):
+    """Run a catalogue operator on the clean catalogue of ``sf``."""
     return lambda spark, sf: fn(_clean(spark, sf))
 
 
@@ -155,39 +156,39 @@ def _impute_budget(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
-        "rank_revenue": _rank(ranking.highest_revenue),
-        "rank_budget": _rank(ranking.highest_budget),
-        "rank_profit_high": _rank(ranking.highest_profit),
-        "rank_profit_low": _rank(ranking.lowest_profit),
-        "rank_roi_high": _rank(ranking.highest_roi),
-        "rank_roi_low": _rank(ranking.lowest_roi),
-        "rank_votes": _rank(ranking.most_voted),
-        "rank_rating_high": _rank(ranking.highest_rated),
-        "rank_rating_low": _rank(ranking.lowest_rated),
-        "rank_popularity": _rank(ranking.most_popular),
+        "rank_revenue": _on_clean(ranking.highest_revenue),
+        "rank_budget": _on_clean(ranking.highest_budget),
+        "rank_profit_high": _on_clean(ranking.highest_profit),
+        "rank_profit_low": _on_clean(ranking.lowest_profit),
+        "rank_roi_high": _on_clean(ranking.highest_roi),
+        "rank_roi_low": _on_clean(ranking.lowest_roi),
+        "rank_votes": _on_clean(ranking.most_voted),
+        "rank_rating_high": _on_clean(ranking.highest_rated),
+        "rank_rating_low": _on_clean(ranking.lowest_rated),
+        "rank_popularity": _on_clean(ranking.most_popular),
         "sql_rank_roi": _sql_rank_roi,
         "rank_within_collection": lambda s, sf: ranking.top_per_group(
             _clean(s, sf), "belongs_to_collection", "revenue_musd")
         .select("belongs_to_collection", "title", "revenue_musd", "rank"),
         "search_genres_cast": _search_genres_cast,
         "search_cast_director": _search_cast_director,
-        "search_scifi_action_bruce_willis": _rank(search.search_scifi_action_bruce_willis),
-        "search_thurman_tarantino": _rank(search.search_thurman_tarantino),
-        "group_membership": _rank(groups.franchise_vs_standalone),
-        "group_collection": _rank(groups.franchise_summary),
-        "group_director": _rank(groups.director_summary),
-        "group_genre_roi": _rank(groups.roi_by_genre),
-        "group_year": _rank(groups.yearly_box_office),
+        "search_scifi_action_bruce_willis": _on_clean(search.search_scifi_action_bruce_willis),
+        "search_thurman_tarantino": _on_clean(search.search_thurman_tarantino),
+        "group_membership": _on_clean(groups.franchise_vs_standalone),
+        "group_collection": _on_clean(groups.franchise_summary),
+        "group_director": _on_clean(groups.director_summary),
+        "group_genre_roi": _on_clean(groups.roi_by_genre),
+        "group_year": _on_clean(groups.yearly_box_office),
         "director_by_year": lambda s, sf: groups.director_summary(_clean(s, sf), by_year=True),
         "collection_by_year": lambda s, sf: groups.franchise_summary(_clean(s, sf), min_movies=1,
                                                                      by_year=True),
         "value_counts_genres": lambda s, sf: groups.value_counts(_clean(s, sf), "genres", multi=True),
         "value_counts_language": lambda s, sf: groups.value_counts(_clean(s, sf), "original_language"),
         "impute_budget": _impute_budget,
-        "feed_revenue_budget": _rank(feeds.revenue_vs_budget),
-        "feed_breakeven": _rank(feeds.breakeven_end),
-        "feed_rating_popularity": _rank(feeds.popularity_vs_rating),
-        "feed_membership_bars": _rank(feeds.membership_bars),
+        "feed_revenue_budget": _on_clean(feeds.revenue_vs_budget),
+        "feed_breakeven": _on_clean(feeds.breakeven_end),
+        "feed_rating_popularity": _on_clean(feeds.popularity_vs_rating),
+        "feed_membership_bars": _on_clean(feeds.membership_bars),
         "feed_revenue_budget_binned": lambda s, sf: feeds.binned(
             feeds.revenue_vs_budget(_clean(s, sf)), "budget_musd", "revenue_musd", 10.0),
         "dedupe_survivors": _dedupe_survivors,

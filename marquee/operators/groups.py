@@ -62,6 +62,8 @@ def ranked_values(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
     depends on row order, so a retried task reproduces its output."""
     keys = list(keys)
     spark = df.sparkSession
+    # an explicit count: AQE must not coalesce this exchange, because both
+    # reads of it (slices and their block table) must agree on task ids
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
         .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))) \
