@@ -66,7 +66,7 @@ def clean_with_metrics(raw: DataFrame, as_of: str | _dt.date | None = None):
     """The clean chain with observed metrics attached; returns
     (clean frame, observations). Nothing runs until the frame is written."""
     obs = {k: Observation(k) for k in ("raw", "parse", "values", "keyed", "deduplicated",
-                                       "populated", "released")}
+                                       "populated", "released", "final")}
     df = raw.observe(obs["raw"], F.count(F.lit(1)).alias("rows"))
     df = parse_nested(df)
     df = df.observe(obs["parse"], *[c.alias(n) for n, c in parse_health(df).items()])
@@ -77,16 +77,21 @@ def clean_with_metrics(raw: DataFrame, as_of: str | _dt.date | None = None):
     df = dedupe_by_id(df).observe(obs["deduplicated"], F.count(F.lit(1)).alias("rows"))
     df = keep_populated(df).observe(obs["populated"], F.count(F.lit(1)).alias("rows"))
     df = keep_released(df).observe(obs["released"], F.count(F.lit(1)).alias("rows"))
-    return to_contract(df), obs
+    out = to_contract(df).observe(obs["final"], F.count_if(F.col("id").isNull()).alias("null_ids"))
+    return out, obs
 
 
 def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "parquet",
                as_of: str | _dt.date | None = None, expected_rows: int | None = None,
-               tolerance: int = 2) -> tuple[DataFrame, CleanRun]:
+               tolerance: int = 2, verify_ids: bool = False) -> tuple[DataFrame, CleanRun]:
     """Clean ``raw`` and write it once to ``out_path``; returns the
-    catalogue read back from the sink and the run's metrics. Schema-tier
-    failures raise ``QualityError`` (the written output should then be
-    discarded); value-tier findings are logged."""
+    catalogue read back from the sink and the run's metrics. The write is
+    the only Spark action: every count and check rides on it. Ids are
+    unique and non-null by construction (dedupe, key filter); the null-id
+    count is observed on the write, and ``verify_ids`` adds one pass over
+    the written id column to re-check uniqueness. Schema-tier failures
+    raise ``QualityError`` (the written output should then be discarded);
+    value-tier findings are logged."""
     clean, obs = clean_with_metrics(raw, as_of)
     quality.check_contract(clean)
     clean.write.mode("overwrite").format(fmt).save(out_path)
@@ -101,9 +106,11 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
         if bad:
             log.warning("value check failed for %d row(s): %s", bad, name)
     out = read_clean(spark, out_path, fmt)
-    # ids: one cheap pass over the written id column
-    quality.enforce(quality.quality_report(out.select("id"), values=False)
-                    .where(F.col("tier") == "schema").collect())
+    if int(observed(obs["final"]).get("null_ids") or 0):
+        raise quality.QualityError("null ids in the clean catalogue")
+    if verify_ids:  # one pass over the written id column
+        quality.enforce(quality.quality_report(out.select("id"), values=False)
+                        .where(F.col("tier") == "schema").collect())
     if expected_rows is not None and abs(run.stage_rows["released"] - expected_rows) > tolerance:
         log.warning("clean row count %d is not within %d of %d",
                     run.stage_rows["released"], tolerance, expected_rows)

@@ -147,3 +147,18 @@ def test_missing_credits_column_raises(spark, tmp_dir):
     df = raw_frame(spark, [raw_record()]).drop("credits")
     with pytest.raises(Exception):
         preprocess(spark, df, f"{tmp_dir}/c3")
+
+
+def test_preprocess_is_a_single_action(spark, tmp_dir):
+    sc = spark.sparkContext
+    recs = [raw_record(id=i, title=f"T{i}") for i in range(1, 6)]
+    raw = raw_frame(spark, recs)
+    sc.setJobGroup("one-write", "preprocess")
+    preprocess(spark, raw, f"{tmp_dir}/single")
+    sc.setJobGroup("verify", "preprocess with id re-check")
+    preprocess(spark, raw, f"{tmp_dir}/single2", verify_ids=True)
+    tracker = sc.statusTracker()
+    one = tracker.getJobIdsForGroup("one-write")
+    two = tracker.getJobIdsForGroup("verify")
+    # the id re-check adds jobs; without it everything rides on the write
+    assert len(two) > len(one) >= 1
