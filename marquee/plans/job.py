@@ -160,6 +160,8 @@ def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys
             .write.mode("append").parquet(rejects_path)
     if run.accepted == 0 and not has_cache:
         raise ingest_ops.NoUsableRecords("no usable title record in the landing folder and no cache")
+    if run.appended == 0 and has_cache:
+        log.warning("nothing new to load; keeping the %s cache as it is", cache_path)
     log.info("ingest: %d accepted, %d rejected, %d appended", run.accepted, run.rejected, run.appended)
     return run
 
