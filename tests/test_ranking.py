@@ -70,3 +70,9 @@ def test_all_ten_rankings_run(spark):
                            for i in range(1, 12)])
     for name, fn in ranking.ALL_RANKINGS.items():
         assert fn(df).count() == 5, name
+
+
+def test_top_level_api_exports():
+    import marquee as mq
+
+    assert all(hasattr(mq, name) for name in mq.__all__)
