@@ -9,28 +9,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.schemas import (
+    DIRECTOR_JOB,
+    FRANCHISE_LABEL,
+    MULTI_SEP,
+    PLACEHOLDER_TEXT,
+    STANDALONE_LABEL,
+)
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_SEP_RE = "[" + MULTI_SEP + "]"
+_PLACEHOLDERS = ", ".join(_lit(t) for t in PLACEHOLDER_TEXT)
+_DIRECTOR = _lit(DIRECTOR_JOB)
+
 _FUNCTIONS = {
     "mq_joined_names": (
         "items ARRAY<STRING>", "STRING",
         "CASE WHEN size(filter(items, x -> x IS NOT NULL)) > 0 "
-        "THEN array_join(filter(items, x -> x IS NOT NULL), '|') END"),
+        f"THEN array_join(filter(items, x -> x IS NOT NULL), {_lit(MULTI_SEP)}) END"),
     "mq_directors": (
         "crew ARRAY<STRUCT<name: STRING, job: STRING>>", "STRING",
-        "CASE WHEN size(filter(crew, m -> m.job = 'Director' AND m.name IS NOT NULL)) > 0 "
-        "THEN array_join(transform(filter(crew, m -> m.job = 'Director' AND m.name IS NOT NULL), "
-        "m -> m.name), '|') END"),
+        f"CASE WHEN size(filter(crew, m -> m.job = {_DIRECTOR} AND m.name IS NOT NULL)) > 0 "
+        f"THEN array_join(transform(filter(crew, m -> m.job = {_DIRECTOR} AND m.name IS NOT NULL), "
+        f"m -> m.name), {_lit(MULTI_SEP)}) END"),
     "mq_profit": ("revenue DOUBLE, budget DOUBLE", "DOUBLE", "revenue - budget"),
     "mq_roi": ("revenue DOUBLE, budget DOUBLE", "DOUBLE", "try_divide(revenue, budget)"),
     "mq_musd": ("amount DOUBLE", "DOUBLE", "nullif(amount, 0) / 1000000"),
     "mq_placeholder_null": (
         "text STRING", "STRING",
-        "CASE WHEN text IN ('No Data', 'No overview found.', '') THEN NULL ELSE text END"),
+        f"CASE WHEN text IN ({_PLACEHOLDERS}) THEN NULL ELSE text END"),
     "mq_membership": (
         "collection STRING", "STRING",
-        "CASE WHEN collection IS NOT NULL THEN 'Franchise' ELSE 'Standalone' END"),
+        f"CASE WHEN collection IS NOT NULL THEN {_lit(FRANCHISE_LABEL)} ELSE {_lit(STANDALONE_LABEL)} END"),
     "mq_has_item": (
         "multi STRING, item STRING", "BOOLEAN",
-        "exists(split(multi, '[|]'), x -> lower(x) = lower(item))"),
+        f"exists(split(multi, {_lit(_SEP_RE)}), x -> lower(x) = lower(item))"),
 }
 
 
