@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import feeds, groups, quality, ranking, search
-from marquee.operators.clean import dedupe_by_id, drop_missing_keys, stage_counts
+from marquee.operators.clean import dedupe_by_id, drop_missing_keys, fix_types, stage_counts
 from marquee.operators.nested import flatten, parse_health, parse_nested
-from marquee.operators.clean import fix_types
 from marquee.sources import ingest, starview
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
