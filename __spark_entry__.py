@@ -136,6 +136,13 @@ def _sql_rank_roi(spark, sf):
         ORDER BY roi DESC, id ASC LIMIT 5""")
 
 
+def _cache_gap_report(spark, sf):
+    landing = starview.raw_catalogue(spark, sf)
+    cache = landing.where(F.col("release_date") < F.lit("2000-01-01"))
+    requested = spark.read.parquet(f"{sf.rstrip('/')}/part.parquet").select(F.col("p_partkey").alias("id"))
+    return ingest.gap_report(cache, landing, requested)
+
+
 def _search_genres_cast(spark, sf):
     return search.search_titles(_clean(spark, sf), genres=["Hot", "widget"], cast="nation_1",
                                 sort_by="vote_average").select("title", "vote_average", "genres", "cast")
@@ -202,6 +209,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "required_keys_rejects": _required_keys_rejects,
         "ingest_accepted": _ingest_accepted,
         "cache_gap_fill": _cache_gap_fill,
+        "cache_gap_report": _cache_gap_report,
         "stream_ingest": _stream_ingest,
     }
     return q

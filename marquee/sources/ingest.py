@@ -80,3 +80,19 @@ def gap_fill(cache: DataFrame, landing: DataFrame, requested: DataFrame) -> tupl
     keyed = landing.withColumn("_id", F.col("id").try_cast("bigint"))
     new = keyed.join(gap.withColumnRenamed("id", "_id"), "_id", "left_semi").drop("_id")
     return cache.unionByName(new, allowMissingColumns=True), new
+
+
+def gap_report(cache: DataFrame, landing: DataFrame, requested: DataFrame) -> DataFrame:
+    """Every requested id with its outcome: ``cached`` (already in the
+    cache), ``loaded`` (taken from the landing records now) or
+    ``unavailable`` (in neither; the cache is kept as it is for it).
+    Left joins of distinct ids, so each requested id appears once."""
+    def ids(df: DataFrame, flag: str) -> DataFrame:
+        return df.select(F.col("id").try_cast("bigint").alias("id")).where(F.col("id").isNotNull()) \
+            .distinct().withColumn(flag, F.lit(True))
+
+    out = requested_ids(requested).join(ids(cache, "_cached"), "id", "left") \
+        .join(ids(landing, "_landed"), "id", "left")
+    status = F.when(F.col("_cached"), F.lit("cached")).when(F.col("_landed"), F.lit("loaded")) \
+        .otherwise(F.lit("unavailable"))
+    return out.select("id", status.alias("status"))

@@ -297,6 +297,18 @@ accepted AS (
          CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END AS status
   FROM copies WHERE NOT (k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4))
 SELECT id, title, status FROM accepted"""
+    q["cache_gap_report"] = f"WITH {_FACTS}" + """,
+recs AS (
+  SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE k END AS id,
+         CASE WHEN k % 37 = 4 OR k % 89 = 1 THEN NULL
+              ELSE first_ship + CAST(k % 2500 AS INTEGER) END AS rd
+  FROM copies)
+SELECT p_partkey AS id,
+       CASE WHEN p_partkey IN (SELECT id FROM recs WHERE rd < DATE '2000-01-01' AND id IS NOT NULL)
+            THEN 'cached'
+            WHEN p_partkey IN (SELECT id FROM recs WHERE id IS NOT NULL) THEN 'loaded'
+            ELSE 'unavailable' END AS status
+FROM (SELECT DISTINCT p_partkey FROM part)"""
     q["cache_gap_fill"] = f"WITH {_FACTS}" + """,
 recs AS (
   SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE k END AS id,

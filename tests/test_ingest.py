@@ -138,3 +138,8 @@ def test_batch_ingest_raises_when_nothing_usable(spark, tmp_dir):
     spark.createDataFrame([("not json",)], "value string").write.text(land)
     with pytest.raises(ingest.NoUsableRecords):
         ingest_landing(spark, land, f"{tmp_dir}/cache2", KEYS)
+
+
+def test_gap_report_outcomes(spark):
+    rep = ingest.gap_report(_cache(spark, [1, 2]), _cache(spark, [2, 3]), _req(spark, [1, 3, 0, 0, "x"]))
+    assert sorted(tuple(r) for r in rep.collect()) == [(0, "unavailable"), (1, "cached"), (3, "loaded")]
