@@ -61,6 +61,13 @@ class CleanRun:
     parse: dict[str, int] = field(default_factory=dict)
     value_checks: dict[str, int] = field(default_factory=dict)
 
+    def as_rows(self) -> list[tuple[str, str, int]]:
+        """(group, metric, value) rows: stage counts, parse gates, checks."""
+        out = [("stage_rows", k, v) for k, v in self.stage_rows.items()]
+        out += [("parse", k, v) for k, v in self.parse.items()]
+        out += [("value_checks", k, v) for k, v in self.value_checks.items()]
+        return out
+
 
 def clean_with_metrics(raw: DataFrame, as_of: str | _dt.date | None = None):
     """The clean chain with observed metrics attached; returns
@@ -192,9 +199,11 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
     base = out_dir.rstrip("/")
     stage = "preprocessing"
     try:
-        clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
+        clean, clean_run = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
+        spark.createDataFrame(clean_run.as_rows(), "group string, metric string, value bigint") \
+            .coalesce(1).write.mode("overwrite").format(fmt).save(f"{base}/metrics")
         stage = "analysis"
-        paths = {"clean": f"{base}/clean"}
+        paths = {"clean": f"{base}/clean", "metrics": f"{base}/metrics"}
         tables = kpi_tables(clean)
 
         def write(name: str) -> str:

@@ -15,6 +15,8 @@ def test_run_writes_every_kpi_table(spark, tmp_dir):
     assert "clean" in paths and "highest_revenue" in paths and "feed_02-roi-by-genre" in paths
     assert spark.read.parquet(paths["highest_revenue"]).count() == 5
     assert spark.read.parquet(paths["clean"]).count() == 8
+    metrics = {(r["group"], r["metric"]): r["value"] for r in spark.read.parquet(paths["metrics"]).collect()}
+    assert metrics[("stage_rows", "released")] == 8 and metrics[("parse", "rows")] == 8
 
 
 def test_run_names_the_failed_stage(spark, tmp_dir):
