@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.schemas import DIRECTOR_JOB
 from marquee.sources.sinks import encode_raw
 
 # ---------------------------------------------------------------------------
@@ -109,7 +110,7 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     crew = F.concat(
         F.transform(F.col("_crew"), lambda n: F.struct(n.alias("name"), F.lit("Crew").alias("job"))),
-        F.transform(F.col("_dir"), lambda n: F.struct(n.alias("name"), F.lit("Director").alias("job"))),
+        F.transform(F.col("_dir"), lambda n: F.struct(n.alias("name"), F.lit(DIRECTOR_JOB).alias("job"))),
         F.transform(F.col("_wri"), lambda n: F.struct(n.alias("name"), F.lit("Writer").alias("job"))))
     return named.groupBy("l_partkey").agg(
         F.sum("price").alias("price"),
