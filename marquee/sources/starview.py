@@ -26,6 +26,8 @@ Execution shape (all DataFrame operators, no driver loop):
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +68,17 @@ def _on(k: Column, rule: tuple[int, int]) -> Column:
     return (k % F.lit(rule[0])) == F.lit(rule[1])
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table at ``sf_dir/name.parquet``, opened once per session (file
+    listing and footer reads are not repeated for every query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    opened = _TABLES.setdefault(spark, {})
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
 
 
 def supplier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
