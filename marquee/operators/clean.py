@@ -35,33 +35,31 @@ def fix_types(df: DataFrame) -> DataFrame:
     """Text -> double / long / date (malformed -> null, NaN -> null), zero
     money and runtime -> null, money in millions, rating without votes ->
     null, placeholder overview/tagline -> null. Raw budget and revenue stay
-    beside the new ``*_musd`` columns."""
-    typed: dict[str, Column] = {}
-    for c in DOUBLE_COLUMNS:
-        if c in df.columns:
-            typed[c] = to_double(c)
-    for c in LONG_COLUMNS:
-        if c in df.columns:
-            typed[c] = to_long(c)
-    if "release_date" in df.columns:
-        typed["release_date"] = to_date("release_date")
-    out = df.withColumns(typed)
-
-    repaired: dict[str, Column] = {c: zero_to_null(c) for c in ZERO_IS_MISSING if c in out.columns}
-    out = out.withColumns(repaired)
-
-    scaled = {}
-    if "budget" in out.columns:
-        scaled["budget_musd"] = F.col("budget") / F.lit(1_000_000)
-    if "revenue" in out.columns:
-        scaled["revenue_musd"] = F.col("revenue") / F.lit(1_000_000)
-    if "vote_average" in out.columns and "vote_count" in out.columns:
-        scaled["vote_average"] = F.when(F.col("vote_count") == 0, F.lit(None).cast("double")) \
-            .otherwise(F.col("vote_average"))
-    for c in ("overview", "tagline"):
-        if c in out.columns:
-            scaled[c] = placeholder_to_null(c)
-    return out.withColumns(scaled)
+    beside the new ``*_musd`` columns. One projection."""
+    cols = set(df.columns)
+    expr: dict[str, Column] = {}
+    for c in df.columns:
+        e = F.col(c)
+        if c in DOUBLE_COLUMNS:
+            e = to_double(e)
+        elif c in LONG_COLUMNS:
+            e = to_long(e)
+        elif c == "release_date":
+            e = to_date(e)
+        if c in ZERO_IS_MISSING:
+            e = zero_to_null(e)
+        if c in ("overview", "tagline"):
+            e = placeholder_to_null(e)
+        expr[c] = e
+    if "vote_average" in cols and "vote_count" in cols:
+        expr["vote_average"] = F.when(expr["vote_count"] == 0, F.lit(None).cast("double")) \
+            .otherwise(expr["vote_average"])
+    out = [e.alias(c) for c, e in expr.items()]
+    if "budget" in cols:
+        out.append((expr["budget"] / F.lit(1_000_000)).alias("budget_musd"))
+    if "revenue" in cols:
+        out.append((expr["revenue"] / F.lit(1_000_000)).alias("revenue_musd"))
+    return df.select(*out)
 
 
 def drop_missing_keys(df: DataFrame) -> DataFrame:

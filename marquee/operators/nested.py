@@ -38,8 +38,8 @@ def parse_health(df: DataFrame) -> dict[str, Column]:
 
 def flatten(df: DataFrame) -> DataFrame:
     """Drop irrelevant columns and turn the parsed nested fields into text:
-    pipe-joined names, collection name, cast/crew sizes and directors."""
-    out = df.drop(*[c for c in IRRELEVANT_COLUMNS if c in df.columns])
+    pipe-joined names, collection name, cast/crew sizes and directors.
+    One projection."""
     cols = {
         "genres": joined_names(F.col("genres.name")),
         "belongs_to_collection": F.col("belongs_to_collection.name"),
@@ -51,4 +51,7 @@ def flatten(df: DataFrame) -> DataFrame:
         "director": directors(F.col("credits.crew")),
         "crew_size": array_size(F.col("credits.crew")),
     }
-    return out.withColumns(cols).drop("credits")
+    dropped = set(IRRELEVANT_COLUMNS) | {"credits"}
+    kept = [F.col(c) if c not in cols else cols[c].alias(c) for c in df.columns if c not in dropped]
+    added = [e.alias(c) for c, e in cols.items() if c not in df.columns]
+    return df.select(*kept, *added)
