@@ -63,16 +63,20 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) is
-    a fresh scratch folder created for it."""
-    sc = spark.sparkContext
-    d = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+    a fresh scratch folder created for it. Works on Spark Connect
+    sessions too (no SparkContext there: the setting is only read)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_KEY, d)
         except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
             pass
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
