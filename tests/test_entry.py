@@ -10,7 +10,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from check_oracle import TABLES, canon  # noqa: E402
+from check_oracle import TABLES, canon, type_mismatches  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 
@@ -43,6 +43,7 @@ def test_query_matches_oracle(spark, duck, name):
     srows = df.collect()
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
+    assert type_mismatches(df, cur) == []
     drows = cur.fetchall()
     assert sorted(cols) == sorted(dcols)
     order_s = sorted(range(len(cols)), key=lambda i: cols[i])
