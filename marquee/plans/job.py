@@ -194,7 +194,9 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
     ``out_dir``. The KPI writes are independent reads of the clean table;
     up to ``parallel`` are submitted at once and Spark's scheduler shares
     the cluster between them. A failure names the stage it happened in."""
-    from concurrent.futures import ThreadPoolExecutor
+    import queue
+
+    from pyspark import InheritableThread
 
     base = out_dir.rstrip("/")
     stage = "preprocessing"
@@ -206,18 +208,35 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
         paths = {"clean": f"{base}/clean", "metrics": f"{base}/metrics"}
         tables = kpi_tables(clean)
 
-        def write(name: str) -> str:
-            path = f"{base}/{name}"
-            try:
-                tables[name].write.mode("overwrite").format(fmt).save(path)
-            except Exception as e:  # noqa: BLE001 - re-raised with the KPI's name
-                raise StageError(f"analysis:{name}", e) from e
-            return path
-
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            for name, path in zip(tables, pool.map(write, tables)):
-                paths[name] = path
-        return paths
+        todo: queue.Queue = queue.Queue()
+        for name in tables:
+            todo.put(name)
+        failures: list[StageError] = []
+
+        def worker() -> None:
+            # InheritableThread carries the caller's job group / description,
+            # so these jobs can be tracked and cancelled with the caller's
+            while not failures:
+                try:
+                    name = todo.get_nowait()
+                except queue.Empty:
+                    return
+                path = f"{base}/{name}"
+                try:
+                    tables[name].write.mode("overwrite").format(fmt).save(path)
+                    paths[name] = path
+                except Exception as e:  # noqa: BLE001 - re-raised with the KPI's name
+                    failures.append(StageError(f"analysis:{name}", e))
+
+        threads = [InheritableThread(target=worker) for _ in range(max(1, parallel))]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if failures:
+            raise failures[0]
+        return {"clean": paths["clean"], "metrics": paths["metrics"],
+                **{n: paths[n] for n in tables}}
     except StageError:
         raise
     except Exception as e:  # noqa: BLE001 - re-raised with the stage name
