@@ -7,9 +7,9 @@ does not hold yet. Rejected lines go to a rejects table with the keys
 they lack.
 
 Exactly-once in effect: the stream's checkpoint records which files were
-processed, the Parquet commit protocol makes each append all-or-nothing,
-and the anti-join on cached ids makes a replayed batch append nothing
-twice.
+processed, the Parquet commit protocol makes each write all-or-nothing,
+the anti-join on cached ids makes a replayed batch append no record
+twice, and a batch's rejects overwrite their own ``epoch=<n>`` folder.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ from marquee.sources.ingest import ingest
 from marquee.sources.raw import read_raw_if_exists
 
 
-def append_new(batch: DataFrame, cache_path: str, rejects_path: str, keys: Sequence[str]) -> None:
-    """One micro-batch: validate, parse, append the ids not cached yet."""
+def append_new(batch: DataFrame, cache_path: str, rejects_path: str, keys: Sequence[str],
+               epoch: int | None = None) -> None:
+    """One micro-batch: validate, parse, append the ids not cached yet.
+    Rejects of a batch go to their own ``epoch=<n>`` folder, overwritten
+    on a replay of that batch, so they are never written twice."""
     spark = batch.sparkSession
     good, bad = ingest(batch, keys)
     cache = read_raw_if_exists(spark, cache_path)
@@ -34,8 +37,11 @@ def append_new(batch: DataFrame, cache_path: str, rejects_path: str, keys: Seque
         good = good.withColumn("_id", F.col("id").try_cast("bigint")) \
             .join(cached, "_id", "left_anti").drop("_id")
     good.write.mode("append").parquet(cache_path)
-    bad.select(F.col("value").alias("record"), F.array_join("missing", "|").alias("missing")) \
-        .write.mode("append").parquet(rejects_path)
+    rejects = bad.select(F.col("value").alias("record"), F.array_join("missing", "|").alias("missing"))
+    if epoch is None:
+        rejects.write.mode("append").parquet(rejects_path)
+    else:
+        rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/epoch={epoch}")
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, cache_path: str, rejects_path: str,
@@ -48,7 +54,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, cache_path: str, rejects
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing_dir)
     writer = (lines.writeStream
-              .foreachBatch(lambda df, _epoch: append_new(df, cache_path, rejects_path, keys))
+              .foreachBatch(lambda df, epoch: append_new(df, cache_path, rejects_path, keys, epoch))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -108,6 +108,14 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     assert sorted(r["id"] for r in cache.collect()) == ["1", "2", "3"]
     rej = spark.read.parquet(f"{tmp_dir}/rej").collect()
     assert [r["missing"] for r in rej] == ["title"]
+    # replaying the same batch (same epoch) writes nothing twice
+    from marquee.streaming import append_new
+
+    batch = _lines(spark, [raw_record(id=3), bad])
+    append_new(batch, f"{tmp_dir}/cache", f"{tmp_dir}/rej", KEYS, epoch=1)
+    append_new(batch, f"{tmp_dir}/cache", f"{tmp_dir}/rej", KEYS, epoch=1)
+    assert spark.read.parquet(f"{tmp_dir}/rej").count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/cache").where(F.col("id") == "3").count() == 1
     assert cache.where(F.col("genres").isNull()).count() == 0
 
 
