@@ -162,9 +162,10 @@ def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys
     run = IngestRun(cache_path=cache_path, accepted=int(counts.get("accepted") or 0),
                     rejected=int(counts.get("rejected") or 0), appended=int(added.get("rows") or 0))
     if rejects_path and run.rejected:
+        # the landing folder is read whole each run: its rejects replace the last run's
         tagged.where(F.size("missing") > 0).select(
             F.col("value").alias("record"), F.array_join("missing", "|").alias("missing")) \
-            .write.mode("append").parquet(rejects_path)
+            .write.mode("overwrite").parquet(rejects_path)
     if run.accepted == 0 and not has_cache:
         raise ingest_ops.NoUsableRecords("no usable title record in the landing folder and no cache")
     if run.appended == 0 and has_cache:

@@ -128,9 +128,10 @@ def test_batch_ingest_job_counts_and_gap_fill(spark, tmp_dir):
     _lines(spark, [raw_record(id=1), raw_record(id=2), bad]).write.mode("append").text(land)
     run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS, rejects_path=f"{tmp_dir}/rej")
     assert (run.accepted, run.rejected, run.appended) == (2, 1, 2)
-    # second pass over the same landing: nothing new
-    run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS)
+    # second pass over the same landing: nothing new, rejects not doubled
+    run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS, rejects_path=f"{tmp_dir}/rej")
     assert run.appended == 0
+    assert spark.read.parquet(f"{tmp_dir}/rej").count() == 1
     # only requested ids are loaded
     _lines(spark, [raw_record(id=3), raw_record(id=4)]).write.mode("append").text(land)
     run = ingest_landing(spark, land, f"{tmp_dir}/cache", KEYS,
