@@ -101,7 +101,7 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     value-tier findings are logged."""
     clean, obs = clean_with_metrics(raw, as_of)
     quality.check_contract(clean)
-    clean.write.mode("overwrite").format(fmt).save(out_path)
+    clean.write.mode("overwrite").format(fmt).save(out_path)  # also drops an old marker
     run = CleanRun(path=out_path)
     for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
         run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
@@ -118,6 +118,9 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     if verify_ids:  # one pass over the written id column
         quality.enforce(quality.quality_report(out.select("id"), values=False)
                         .where(F.col("tier") == "schema").collect())
+    # every schema gate passed: mark the output as checked (a few rows)
+    spark.createDataFrame(run.as_rows(), "group string, metric string, value bigint") \
+        .coalesce(1).write.mode("overwrite").parquet(checked_marker(out_path))
     if expected_rows is not None and abs(run.stage_rows["released"] - expected_rows) > tolerance:
         log.warning("clean row count %d is not within %d of %d",
                     run.stage_rows["released"], tolerance, expected_rows)
@@ -174,6 +177,13 @@ def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys
     return run
 
 
+def checked_marker(out_path: str) -> str:
+    """Where ``preprocess`` records that an output passed its gates: a
+    ``_checked`` folder inside the output, which Spark's file listing
+    ignores (names starting with ``_``)."""
+    return f"{out_path.rstrip('/')}/_checked"
+
+
 def kpi_tables(clean: DataFrame) -> dict[str, DataFrame]:
     """Every report of the catalogue, by name."""
     out = {name: fn(clean) for name, fn in ranking.ALL_RANKINGS.items()}
@@ -202,11 +212,9 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
     base = out_dir.rstrip("/")
     stage = "preprocessing"
     try:
-        clean, clean_run = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
-        spark.createDataFrame(clean_run.as_rows(), "group string, metric string, value bigint") \
-            .coalesce(1).write.mode("overwrite").format(fmt).save(f"{base}/metrics")
+        clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
         stage = "analysis"
-        paths = {"clean": f"{base}/clean", "metrics": f"{base}/metrics"}
+        paths = {"clean": f"{base}/clean", "metrics": checked_marker(f"{base}/clean")}
         tables = kpi_tables(clean)
 
         todo: queue.Queue = queue.Queue()

@@ -55,8 +55,20 @@ def typed_clean(df: DataFrame) -> DataFrame:
         for c in CLEAN_COLUMNS if c in df.columns])
 
 
-def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The clean catalogue written by ``write_clean``."""
+def read_clean(spark: SparkSession, path: str, fmt: str = "parquet",
+               require_checked: bool = False) -> DataFrame:
+    """The clean catalogue written by ``write_clean`` / ``preprocess``.
+    ``require_checked`` refuses an output whose quality gates failed or
+    never ran (no ``_checked`` marker written by ``preprocess``)."""
+    if require_checked:
+        from pyspark.errors import AnalysisException
+
+        from marquee.operators.quality import QualityError
+
+        try:
+            spark.read.parquet(f"{path.rstrip('/')}/_checked").schema  # noqa: B018
+        except AnalysisException as e:
+            raise QualityError(f"{path} has not passed its quality gates") from e
     if fmt == "csv":
         return typed_clean(spark.read.option("header", True).option("multiLine", True)
                            .option("quote", '"').option("escape", '"').csv(path))

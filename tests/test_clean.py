@@ -162,3 +162,17 @@ def test_preprocess_is_a_single_action(spark, tmp_dir):
     two = tracker.getJobIdsForGroup("verify")
     # the id re-check adds jobs; without it everything rides on the write
     assert len(two) > len(one) >= 1
+
+
+def test_checked_marker_only_after_gates_pass(spark, tmp_dir):
+    from marquee.sources.raw import read_clean
+
+    recs = [raw_record(id=1), raw_record(id=2)]
+    out, _ = preprocess(spark, raw_frame(spark, recs), f"{tmp_dir}/ok")
+    assert read_clean(spark, f"{tmp_dir}/ok", require_checked=True).count() == 2
+    assert out.count() == 2  # the marker folder is not read as data
+    bad = raw_frame(spark, recs).withColumn("genres", F.lit("not valid json"))
+    with pytest.raises(quality.QualityError):
+        preprocess(spark, bad, f"{tmp_dir}/ok")  # same path: old marker dropped by the overwrite
+    with pytest.raises(quality.QualityError):
+        read_clean(spark, f"{tmp_dir}/ok", require_checked=True)
