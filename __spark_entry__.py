@@ -136,6 +136,16 @@ def _sql_rank_roi(spark, sf):
         ORDER BY roi DESC, id ASC LIMIT 5""")
 
 
+def _cache_full_hit(spark, sf):
+    """Every requested id is cached already: nothing is taken from landing."""
+    landing = starview.raw_catalogue(spark, sf)
+    cache = landing
+    requested = cache.select("id")
+    _, new = ingest.gap_fill(cache, landing, requested)
+    return cache.select("id", "title", F.lit("cache").alias("origin")).unionByName(
+        new.select("id", "title", F.lit("landing").alias("origin")))
+
+
 def _cache_gap_report(spark, sf):
     landing = starview.raw_catalogue(spark, sf)
     cache = landing.where(F.col("release_date") < F.lit("2000-01-01"))
@@ -210,6 +220,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_accepted": _ingest_accepted,
         "cache_gap_fill": _cache_gap_fill,
         "cache_gap_report": _cache_gap_report,
+        "cache_full_hit": _cache_full_hit,
         "stream_ingest": _stream_ingest,
     }
     return q

@@ -297,6 +297,11 @@ accepted AS (
          CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END AS status
   FROM copies WHERE NOT (k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4))
 SELECT id, title, status FROM accepted"""
+    q["cache_full_hit"] = f"WITH {_FACTS}" + """
+SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE CAST(k AS VARCHAR) END AS id,
+       CASE WHEN k % 53 = 7 THEN NULL ELSE p_name || ' #' || CAST(k AS VARCHAR) END AS title,
+       'cache' AS origin
+FROM copies"""
     q["cache_gap_report"] = f"WITH {_FACTS}" + """,
 recs AS (
   SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE k END AS id,
