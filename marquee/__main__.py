@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--expected-rows", type=int, default=None)
     ap.add_argument("--as-of", default=None, help="date for the 'release after' check (default today)")
     ap.add_argument("--parallel", type=int, default=4, help="KPI tables written at once")
+    ap.add_argument("--approx-median", action="store_true",
+                    help="bounded-memory approximate medians instead of exact ones")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
@@ -32,7 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     try:
         raw = read_raw(spark, args.raw, args.raw_format)
-        paths = run(spark, raw, args.out, args.format, args.as_of, args.expected_rows, args.parallel)
+        paths = run(spark, raw, args.out, args.format, args.as_of, args.expected_rows, args.parallel,
+                    args.approx_median)
     except StageError as e:
         print(f"job failed during the '{e.stage}' stage: {e.__cause__}", file=sys.stderr)
         return 1

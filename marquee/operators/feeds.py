@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.groups import franchise_vs_standalone, roi_by_genre, yearly_box_office
+from marquee.operators.groups import roi_by_genre, yearly_box_office
 
 
 def revenue_vs_budget(df: DataFrame) -> DataFrame:
@@ -33,7 +33,12 @@ def popularity_vs_rating(df: DataFrame) -> DataFrame:
 
 def membership_bars(df: DataFrame) -> DataFrame:
     """Mean revenue and mean budget per franchise / standalone label."""
-    return franchise_vs_standalone(df).select("is_franchise", "mean_revenue", "mean_budget")
+    from marquee.functions.aggregates import exact_mean
+    from marquee.operators.groups import membership_label
+
+    return df.groupBy(membership_label(df).alias("is_franchise")).agg(
+        exact_mean("revenue_musd").alias("mean_revenue"),
+        exact_mean("budget_musd").alias("mean_budget")).orderBy("is_franchise")
 
 
 def binned(points: DataFrame, x: str, y: str, width: float) -> DataFrame:
@@ -44,11 +49,11 @@ def binned(points: DataFrame, x: str, y: str, width: float) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def all_feeds(df: DataFrame) -> dict[str, DataFrame]:
+def all_feeds(df: DataFrame, approx_median: bool = False) -> dict[str, DataFrame]:
     """The five chart feeds in their fixed, numbered order."""
     return {
         "01-revenue-vs-budget": revenue_vs_budget(df),
-        "02-roi-by-genre": roi_by_genre(df),
+        "02-roi-by-genre": roi_by_genre(df, approx=approx_median),
         "03-popularity-vs-rating": popularity_vs_rating(df),
         "04-yearly-box-office": yearly_box_office(df),
         "05-franchise-vs-standalone": membership_bars(df),

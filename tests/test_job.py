@@ -54,3 +54,11 @@ def test_command_line_run(spark, tmp_dir, capsys):
     assert "highest_revenue" in capsys.readouterr().out
     write_raw(raw_frame(spark, [raw_record()]).drop("credits"), f"{tmp_dir}/bad", mode="overwrite")
     assert main(["--raw", f"{tmp_dir}/bad", "--out", f"{tmp_dir}/out2"]) == 1
+
+
+def test_run_with_approximate_medians(spark, tmp_dir):
+    recs = [raw_record(id=i, title=f"T{i}", revenue=1_000_000 * (i + 1), budget=500_000 * (i + 2))
+            for i in range(1, 6)]
+    paths = job.run(spark, raw_frame(spark, recs), f"{tmp_dir}/approx", approx_median=True)
+    plan_free = spark.read.parquet(paths["feed_02-roi-by-genre"]).collect()
+    assert len(plan_free) == 1 and plan_free[0]["median_roi"] > 0
