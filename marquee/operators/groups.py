@@ -64,7 +64,10 @@ def ranked_values(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
     spark = df.sparkSession
     # an explicit count: AQE must not coalesce this exchange, because both
     # reads of it (slices and their block table) must agree on task ids
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):  # e.g. a non-numeric 'auto' setting
+        parts = 200
     counted = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
         .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))) \
         .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
