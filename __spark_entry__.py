@@ -8,8 +8,15 @@ independent DuckDB statement over the same tables.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable from any working directory: the package sits next to this file
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
