@@ -143,6 +143,23 @@ def _sql_rank_roi(spark, sf):
         ORDER BY roi DESC, id ASC LIMIT 5""")
 
 
+def _clean_refresh(spark, sf):
+    """Clean an earlier cache (titles released before 2000), then refresh it
+    with the remaining records, recomputing only the ids they touch; the
+    result must equal cleaning everything at once."""
+    import uuid
+
+    from marquee.plans.job import preprocess, refresh_clean
+    from marquee.plans.session import scratch_path
+
+    raw = starview.raw_catalogue(spark, sf)
+    early = F.col("release_date") < F.lit("2000-01-01")
+    old, new = raw.where(early), raw.where(~early | F.col("release_date").isNull())
+    base = scratch_path(spark, f"clean-refresh-{uuid.uuid4().hex}")
+    preprocess(spark, old, f"{base}/old")
+    return refresh_clean(spark, raw, new.select("id"), f"{base}/old", f"{base}/new")
+
+
 def _cache_full_hit(spark, sf):
     """Every requested id is cached already: nothing is taken from landing."""
     landing = starview.raw_catalogue(spark, sf)
@@ -222,6 +239,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parsed_flattened": _parsed_flattened,
         "typed_values": _typed_values,
         "clean_csv_roundtrip": _clean_csv_roundtrip,
+        "clean_refresh": _clean_refresh,
         "raw_encode": _raw_encode,
         "required_keys_rejects": _required_keys_rejects,
         "ingest_accepted": _ingest_accepted,

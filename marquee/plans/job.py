@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import feeds, groups, quality, ranking, search
 from marquee.operators.clean import (
+    clean_catalogue,
     dedupe_by_id,
     drop_missing_keys,
     fix_types,
@@ -177,6 +178,31 @@ def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys
     return run
 
 
+def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, clean_path: str,
+                  out_path: str, fmt: str = "parquet") -> DataFrame:
+    """The clean catalogue after new raw records arrived, recomputing only
+    the ids they touch; equal to cleaning ``raw_all`` from scratch.
+
+    Every cleaning rule is per row or per id (the dedupe), so the clean
+    rows of untouched ids cannot change: they are kept from
+    ``clean_path`` by an anti-join, the touched ids' raw rows (all of
+    them, old and new) are cleaned again, and the union is written to
+    ``out_path`` (a new location: ``clean_path`` is being read). ``changed``
+    holds the ``id`` of every new raw record, e.g. what ``ingest_landing``
+    appended."""
+    if out_path.rstrip("/") == clean_path.rstrip("/"):
+        raise ValueError("refresh_clean must write to a new location")
+    touched = changed.select(F.col("id").try_cast("bigint").alias("_id")) \
+        .where(F.col("_id").isNotNull()).distinct()
+    affected = raw_all.withColumn("_id", F.col("id").try_cast("bigint")) \
+        .join(touched, "_id", "left_semi").drop("_id")
+    recleaned = clean_catalogue(affected)
+    kept = read_clean(spark, clean_path, fmt).join(touched.withColumnRenamed("_id", "id"), "id", "left_anti")
+    out = kept.unionByName(recleaned)
+    out.write.mode("overwrite").format(fmt).save(out_path)
+    return read_clean(spark, out_path, fmt)
+
+
 def checked_marker(out_path: str) -> str:
     """Where ``preprocess`` records that an output passed its gates: a
     ``_checked`` folder inside the output, which Spark's file listing

@@ -233,6 +233,7 @@ SELECT id, title, status, budget_musd, revenue_musd, vote_count, vote_average, p
        runtime, release_date, overview, tagline
 FROM typed"""
     q["clean_csv_roundtrip"] = CATALOGUE + "SELECT * FROM clean"
+    q["clean_refresh"] = CATALOGUE + "SELECT * FROM clean"
     q["stage_counts"] = CATALOGUE + """
 SELECT * FROM (VALUES
   ('raw', (SELECT COUNT(*) FROM typed)),

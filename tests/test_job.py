@@ -62,3 +62,27 @@ def test_run_with_approximate_medians(spark, tmp_dir):
     paths = job.run(spark, raw_frame(spark, recs), f"{tmp_dir}/approx", approx_median=True)
     plan_free = spark.read.parquet(paths["feed_02-roi-by-genre"]).collect()
     assert len(plan_free) == 1 and plan_free[0]["median_roi"] > 0
+
+
+def test_refresh_clean_equals_full_recompute(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from marquee.sources import starview
+
+    raw = starview.raw_catalogue(spark, "/root/testdata/sf0.001")
+    # an earlier cache: titles released before 2000; the new records: the rest,
+    # plus a second copy of a cached title with higher popularity (an update)
+    old = raw.where(F.col("release_date") < "2000-01-01")
+    update = old.where(F.col("id") == "6").withColumn("popularity", F.lit("99999.0"))
+    new = raw.where(~(F.col("release_date") < "2000-01-01") | F.col("release_date").isNull()).unionByName(update)
+    everything = old.unionByName(new)
+    job.preprocess(spark, old, f"{tmp_dir}/clean_old")
+    refreshed = job.refresh_clean(spark, everything, new.select("id"), f"{tmp_dir}/clean_old",
+                                  f"{tmp_dir}/clean_new")
+    full, _ = job.preprocess(spark, everything, f"{tmp_dir}/clean_full")
+    a = sorted(tuple(r) for r in refreshed.collect())
+    b = sorted(tuple(r) for r in full.collect())
+    assert a == b and len(a) > 100
+    assert refreshed.where(F.col("id") == 6).first()["popularity"] == 99999.0
+    with pytest.raises(ValueError):
+        job.refresh_clean(spark, everything, new.select("id"), f"{tmp_dir}/clean_old", f"{tmp_dir}/clean_old")
