@@ -179,7 +179,8 @@ def ingest_landing(spark: SparkSession, landing_path: str, cache_path: str, keys
 
 
 def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, clean_path: str,
-                  out_path: str, fmt: str = "parquet") -> DataFrame:
+                  out_path: str, fmt: str = "parquet",
+                  as_of: str | _dt.date | None = None) -> DataFrame:
     """The clean catalogue after new raw records arrived, recomputing only
     the ids they touch; equal to cleaning ``raw_all`` from scratch.
 
@@ -189,17 +190,29 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
     them, old and new) are cleaned again, and the union is written to
     ``out_path`` (a new location: ``clean_path`` is being read). ``changed``
     holds the ``id`` of every new raw record, e.g. what ``ingest_landing``
-    appended."""
+    appended. The re-cleaned part passes the same gates as ``preprocess``
+    (observed on the one write) before the output is marked checked."""
     if out_path.rstrip("/") == clean_path.rstrip("/"):
         raise ValueError("refresh_clean must write to a new location")
     touched = changed.select(F.col("id").try_cast("bigint").alias("_id")) \
         .where(F.col("_id").isNotNull()).distinct()
     affected = raw_all.withColumn("_id", F.col("id").try_cast("bigint")) \
         .join(touched, "_id", "left_semi").drop("_id")
-    recleaned = clean_catalogue(affected)
+    recleaned, obs = clean_with_metrics(affected, as_of)
     kept = read_clean(spark, clean_path, fmt).join(touched.withColumnRenamed("_id", "id"), "id", "left_anti")
-    out = kept.unionByName(recleaned)
-    out.write.mode("overwrite").format(fmt).save(out_path)
+    kept.unionByName(recleaned).write.mode("overwrite").format(fmt).save(out_path)
+    # gates on the re-cleaned part, as in preprocess; then mark the output checked
+    run = CleanRun(path=out_path)
+    for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
+        run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
+    run.parse = {k: int(v or 0) for k, v in observed(obs["parse"]).items()}
+    run.value_checks = {k: int(v or 0) for k, v in observed(obs["values"]).items()}
+    quality.check_parse(run.parse)
+    if int(observed(obs["final"]).get("null_ids") or 0):
+        raise quality.QualityError("null ids in the refreshed catalogue")
+    spark.createDataFrame([("refresh", k, v) for _, k, v in run.as_rows()] or [("refresh", "rows", 0)],
+                          "group string, metric string, value bigint") \
+        .coalesce(1).write.mode("overwrite").parquet(checked_marker(out_path))
     return read_clean(spark, out_path, fmt)
 
 

@@ -84,5 +84,8 @@ def test_refresh_clean_equals_full_recompute(spark, tmp_dir):
     b = sorted(tuple(r) for r in full.collect())
     assert a == b and len(a) > 100
     assert refreshed.where(F.col("id") == 6).first()["popularity"] == 99999.0
+    from marquee.sources.raw import read_clean
+
+    assert read_clean(spark, f"{tmp_dir}/clean_new", require_checked=True).count() == len(a)
     with pytest.raises(ValueError):
         job.refresh_clean(spark, everything, new.select("id"), f"{tmp_dir}/clean_old", f"{tmp_dir}/clean_old")
