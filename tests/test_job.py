@@ -89,3 +89,15 @@ def test_refresh_clean_equals_full_recompute(spark, tmp_dir):
     assert read_clean(spark, f"{tmp_dir}/clean_new", require_checked=True).count() == len(a)
     with pytest.raises(ValueError):
         job.refresh_clean(spark, everything, new.select("id"), f"{tmp_dir}/clean_old", f"{tmp_dir}/clean_old")
+
+
+def test_cut_lineage_uses_the_shared_checkpoint_folder(spark):
+    from marquee.plans.session import CHECKPOINT_KEY, cut_lineage, ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark)
+    assert spark.conf.get(CHECKPOINT_KEY, None) or folder
+    df = spark.range(100).selectExpr("id", "id * 2 AS twice")
+    cut = cut_lineage(df)
+    assert cut.count() == 100
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan  # lineage now starts at the checkpoint
