@@ -21,6 +21,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--expected-rows", type=int, default=None)
     ap.add_argument("--as-of", default=None, help="date for the 'release after' check (default today)")
     ap.add_argument("--parallel", type=int, default=4, help="KPI tables written at once")
+    ap.add_argument("--refresh-from", default=None,
+                    help="an earlier clean output: re-clean only ids listed in --changed")
+    ap.add_argument("--changed", default=None,
+                    help="ids of the new raw records (a table with an 'id' column, same format as --raw)")
     ap.add_argument("--approx-median", action="store_true",
                     help="bounded-memory approximate medians instead of exact ones")
     args = ap.parse_args(argv)
@@ -34,8 +38,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     try:
         raw = read_raw(spark, args.raw, args.raw_format)
+        changed = read_raw(spark, args.changed, args.raw_format) if args.changed else None
         paths = run(spark, raw, args.out, args.format, args.as_of, args.expected_rows, args.parallel,
-                    args.approx_median)
+                    args.approx_median, refresh_from=args.refresh_from, changed=changed)
     except StageError as e:
         print(f"job failed during the '{e.stage}' stage: {e.__cause__}", file=sys.stderr)
         return 1

@@ -240,9 +240,12 @@ def kpi_tables(clean: DataFrame, approx_median: bool = False) -> dict[str, DataF
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
         as_of: str | _dt.date | None = None, expected_rows: int | None = None,
-        parallel: int = 4, approx_median: bool = False) -> dict[str, str]:
+        parallel: int = 4, approx_median: bool = False,
+        refresh_from: str | None = None, changed: DataFrame | None = None) -> dict[str, str]:
     """Whole job: clean once, then write every KPI table under
-    ``out_dir``. The KPI writes are independent reads of the clean table;
+    ``out_dir``. With ``refresh_from`` (an earlier clean output) and
+    ``changed`` (ids of the new raw records) only the touched ids are
+    cleaned again (``refresh_clean``). The KPI writes are independent reads of the clean table;
     up to ``parallel`` are submitted at once and Spark's scheduler shares
     the cluster between them. A failure names the stage it happened in."""
     import queue
@@ -252,7 +255,10 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
     base = out_dir.rstrip("/")
     stage = "preprocessing"
     try:
-        clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
+        if refresh_from is not None and changed is not None:
+            clean = refresh_clean(spark, raw, changed, refresh_from, f"{base}/clean", fmt, as_of)
+        else:
+            clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
         stage = "analysis"
         paths = {"clean": f"{base}/clean", "metrics": checked_marker(f"{base}/clean")}
         tables = kpi_tables(clean, approx_median)

@@ -54,6 +54,14 @@ def test_command_line_run(spark, tmp_dir, capsys):
     assert "highest_revenue" in capsys.readouterr().out
     write_raw(raw_frame(spark, [raw_record()]).drop("credits"), f"{tmp_dir}/bad", mode="overwrite")
     assert main(["--raw", f"{tmp_dir}/bad", "--out", f"{tmp_dir}/out2"]) == 1
+    # incremental: one new title on top of the first run's clean output
+    write_raw(raw_frame(spark, [raw_record(id=i, title=f"T{i}") for i in range(1, 5)]),
+              f"{tmp_dir}/raw2", mode="overwrite")
+    write_raw(raw_frame(spark, [raw_record(id=4, title="T4")]).select("id"), f"{tmp_dir}/changed",
+              mode="overwrite")
+    assert main(["--raw", f"{tmp_dir}/raw2", "--out", f"{tmp_dir}/out3", "--refresh-from",
+                 f"{tmp_dir}/out/clean", "--changed", f"{tmp_dir}/changed"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out3/clean").count() == 4
 
 
 def test_run_with_approximate_medians(spark, tmp_dir):
