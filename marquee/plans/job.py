@@ -189,8 +189,9 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
     ``clean_path`` by an anti-join, the touched ids' raw rows (all of
     them, old and new) are cleaned again, and the union is written to
     ``out_path`` (a new location: ``clean_path`` is being read). ``changed``
-    holds the ``id`` of every new raw record, e.g. what ``ingest_landing``
-    appended. The re-cleaned part passes the same gates as ``preprocess``
+    holds the ``id`` of every new raw record, e.g. the ids in the landing
+    folder ``ingest_landing`` read. Any superset is fine: an extra id is
+    simply cleaned again, to the same rows. The re-cleaned part passes the same gates as ``preprocess``
     (observed on the one write) before the output is marked checked."""
     if out_path.rstrip("/") == clean_path.rstrip("/"):
         raise ValueError("refresh_clean must write to a new location")
