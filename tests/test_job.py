@@ -95,6 +95,10 @@ def test_refresh_clean_equals_full_recompute(spark, tmp_dir):
     from marquee.sources.raw import read_clean
 
     assert read_clean(spark, f"{tmp_dir}/clean_new", require_checked=True).count() == len(a)
+    # any superset of the touched ids gives the same result
+    every = job.refresh_clean(spark, everything, everything.select("id"), f"{tmp_dir}/clean_old",
+                              f"{tmp_dir}/clean_all")
+    assert sorted(tuple(r) for r in every.collect()) == b
     with pytest.raises(ValueError):
         job.refresh_clean(spark, everything, new.select("id"), f"{tmp_dir}/clean_old", f"{tmp_dir}/clean_old")
 
