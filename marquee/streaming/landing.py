@@ -46,9 +46,10 @@ def append_new(batch: DataFrame, cache_path: str, rejects_path: str, keys: Seque
 
 def start_ingest(spark: SparkSession, landing_dir: str, cache_path: str, rejects_path: str,
                  checkpoint: str, keys: Sequence[str], once: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 interval: str = "30 seconds") -> StreamingQuery:
     """Start the landing -> cache stream. ``once`` processes what is there
-    now and stops (``availableNow``); otherwise it keeps polling."""
+    now and stops (``availableNow``); otherwise it polls every ``interval``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -56,7 +57,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, cache_path: str, rejects
     writer = (lines.writeStream
               .foreachBatch(lambda df, epoch: append_new(df, cache_path, rejects_path, keys, epoch))
               .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.start()
 
 

@@ -152,3 +152,19 @@ def test_batch_ingest_raises_when_nothing_usable(spark, tmp_dir):
 def test_gap_report_outcomes(spark):
     rep = ingest.gap_report(_cache(spark, [1, 2]), _cache(spark, [2, 3]), _req(spark, [1, 3, 0, 0, "x"]))
     assert sorted(tuple(r) for r in rep.collect()) == [(0, "unavailable"), (1, "cached"), (3, "loaded")]
+
+
+def test_stream_ingest_continuous_trigger(spark, tmp_dir):
+    from marquee.streaming import start_ingest
+
+    land = f"{tmp_dir}/land_c"
+    _lines(spark, [raw_record(id=11), raw_record(id=12)]).write.mode("append").text(land)
+    q = start_ingest(spark, land, f"{tmp_dir}/cache_c", f"{tmp_dir}/rej_c", f"{tmp_dir}/ck_c", KEYS,
+                     once=False, max_files_per_trigger=1, interval="1 second")
+    try:
+        q.processAllAvailable()
+        _lines(spark, [raw_record(id=13)]).write.mode("append").text(land)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_dir}/cache_c").collect()) == ["11", "12", "13"]
