@@ -70,6 +70,16 @@ class CleanRun:
         return out
 
 
+def _run_of(obs: dict[str, Observation], path: str) -> CleanRun:
+    """The metrics observed on a clean write."""
+    run = CleanRun(path=path)
+    for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
+        run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
+    run.parse = {k: int(v or 0) for k, v in observed(obs["parse"]).items()}
+    run.value_checks = {k: int(v or 0) for k, v in observed(obs["values"]).items()}
+    return run
+
+
 def clean_with_metrics(raw: DataFrame, as_of: str | _dt.date | None = None):
     """The clean chain with observed metrics attached; returns
     (clean frame, observations). Nothing runs until the frame is written."""
@@ -93,21 +103,19 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
                as_of: str | _dt.date | None = None, expected_rows: int | None = None,
                tolerance: int = 2, verify_ids: bool = False) -> tuple[DataFrame, CleanRun]:
     """Clean ``raw`` and write it once to ``out_path``; returns the
-    catalogue read back from the sink and the run's metrics. The write is
-    the only Spark action: every count and check rides on it. Ids are
-    unique and non-null by construction (dedupe, key filter); the null-id
-    count is observed on the write, and ``verify_ids`` adds one pass over
-    the written id column to re-check uniqueness. Schema-tier failures
-    raise ``QualityError`` (the written output should then be discarded);
-    value-tier findings are logged."""
+    catalogue read back from the sink and the run's metrics. The data is
+    read and written in one pass: every count and check rides on that
+    write as observed metrics. Ids are unique and non-null by construction
+    (dedupe, key filter); the null-id count is observed on the write, and
+    ``verify_ids`` adds one pass over the written id column to re-check
+    uniqueness. Schema-tier failures raise ``QualityError`` and leave the
+    output without its ``_checked`` marker; value-tier findings are
+    logged. On success the marker (the run's metrics, a few rows) is
+    written inside the output."""
     clean, obs = clean_with_metrics(raw, as_of)
     quality.check_contract(clean)
     clean.write.mode("overwrite").format(fmt).save(out_path)  # also drops an old marker
-    run = CleanRun(path=out_path)
-    for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
-        run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
-    run.parse = {k: int(v or 0) for k, v in observed(obs["parse"]).items()}
-    run.value_checks = {k: int(v or 0) for k, v in observed(obs["values"]).items()}
+    run = _run_of(obs, out_path)
     log.info("clean rows by stage: %s", run.stage_rows)
     quality.check_parse(run.parse)
     for name, bad in run.value_checks.items():
@@ -203,11 +211,7 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
     kept = read_clean(spark, clean_path, fmt).join(touched.withColumnRenamed("_id", "id"), "id", "left_anti")
     kept.unionByName(recleaned).write.mode("overwrite").format(fmt).save(out_path)
     # gates on the re-cleaned part, as in preprocess; then mark the output checked
-    run = CleanRun(path=out_path)
-    for stage in ("raw", "keyed", "deduplicated", "populated", "released"):
-        run.stage_rows[stage] = int(observed(obs[stage]).get("rows", 0))
-    run.parse = {k: int(v or 0) for k, v in observed(obs["parse"]).items()}
-    run.value_checks = {k: int(v or 0) for k, v in observed(obs["values"]).items()}
+    run = _run_of(obs, out_path)
     quality.check_parse(run.parse)
     if int(observed(obs["final"]).get("null_ids") or 0):
         raise quality.QualityError("null ids in the refreshed catalogue")
