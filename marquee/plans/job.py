@@ -70,6 +70,26 @@ class CleanRun:
         return out
 
 
+MARKER_JOB = "marquee: quality marker"
+
+
+def _write_marker(spark: SparkSession, rows: list[tuple[str, str, int]], out_path: str) -> None:
+    """Write the ``_checked`` marker (a few rows) as its own, labelled job,
+    restoring the caller's job description afterwards."""
+    try:
+        sc = spark.sparkContext
+        previous = sc.getLocalProperty("spark.job.description")
+        sc.setJobDescription(MARKER_JOB)
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, no label
+        sc = previous = None
+    try:
+        spark.createDataFrame(rows or [("run", "rows", 0)], "group string, metric string, value bigint") \
+            .coalesce(1).write.mode("overwrite").parquet(checked_marker(out_path))
+    finally:
+        if sc is not None:
+            sc.setJobDescription(previous)
+
+
 def _run_of(obs: dict[str, Observation], path: str) -> CleanRun:
     """The metrics observed on a clean write."""
     run = CleanRun(path=path)
@@ -128,8 +148,7 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
         quality.enforce(quality.quality_report(out.select("id"), values=False)
                         .where(F.col("tier") == "schema").collect())
     # every schema gate passed: mark the output as checked (a few rows)
-    spark.createDataFrame(run.as_rows(), "group string, metric string, value bigint") \
-        .coalesce(1).write.mode("overwrite").parquet(checked_marker(out_path))
+    _write_marker(spark, run.as_rows(), out_path)
     if expected_rows is not None and abs(run.stage_rows["released"] - expected_rows) > tolerance:
         log.warning("clean row count %d is not within %d of %d",
                     run.stage_rows["released"], tolerance, expected_rows)
@@ -215,9 +234,7 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
     quality.check_parse(run.parse)
     if int(observed(obs["final"]).get("null_ids") or 0):
         raise quality.QualityError("null ids in the refreshed catalogue")
-    spark.createDataFrame([("refresh", k, v) for _, k, v in run.as_rows()] or [("refresh", "rows", 0)],
-                          "group string, metric string, value bigint") \
-        .coalesce(1).write.mode("overwrite").parquet(checked_marker(out_path))
+    _write_marker(spark, [("refresh", k, v) for _, k, v in run.as_rows()], out_path)
     return read_clean(spark, out_path, fmt)
 
 
