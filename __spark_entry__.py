@@ -182,6 +182,13 @@ def _search_genres_cast(spark, sf):
                                 sort_by="vote_average").select("title", "vote_average", "genres", "cast")
 
 
+def _search_tokens(spark, sf):
+    """Whole-item matching: 'NATION_1' as a cast item, not a substring of
+    NATION_10 .. NATION_19."""
+    return search.search_titles(_clean(spark, sf), genres="RED", cast="nation_1", match="token",
+                                sort_by="popularity").select("title", "popularity", "genres", "cast")
+
+
 def _search_cast_director(spark, sf):
     return search.search_titles(_clean(spark, sf), cast="NATION_12",
                                 director="nation_3", sort_by="runtime", ascending=True) \
@@ -212,6 +219,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         .select("belongs_to_collection", "title", "revenue_musd", "rank"),
         "search_genres_cast": _search_genres_cast,
         "search_cast_director": _search_cast_director,
+        "search_tokens": _search_tokens,
         "search_scifi_action_bruce_willis": _on_clean(search.search_scifi_action_bruce_willis),
         "search_thurman_tarantino": _on_clean(search.search_thurman_tarantino),
         "group_membership": _on_clean(groups.franchise_vs_standalone),

@@ -151,6 +151,10 @@ SELECT belongs_to_collection, title, revenue_musd, rank FROM (
     q["search_cast_director"] = _search(
         f"{_has('\"cast\"', 'NATION_12')} AND {_has('director', 'nation_3')}",
         "runtime", True, 'title, runtime, director, "cast"')
+    q["search_tokens"] = _search(
+        "list_contains(list_transform(string_split(genres, '|'), lambda x: lower(x)), 'red') "
+        "AND list_contains(list_transform(string_split(\"cast\", '|'), lambda x: lower(x)), 'nation_1')",
+        "popularity", False, 'title, popularity, genres, "cast"')
     q["search_scifi_action_bruce_willis"] = _search(
         f"{_has('genres', 'Science Fiction')} AND {_has('genres', 'Action')} AND {_has('\"cast\"', 'Bruce Willis')}",
         "vote_average", False, 'title, vote_average, genres, "cast"')
