@@ -231,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "collection_by_year": lambda s, sf: groups.franchise_summary(_clean(s, sf), min_movies=1,
                                                                      by_year=True),
         "value_counts_genres": lambda s, sf: groups.value_counts(_clean(s, sf), "genres", multi=True),
+        "value_counts_director": lambda s, sf: groups.value_counts(_clean(s, sf), "director", multi=True),
         "value_counts_language": lambda s, sf: groups.value_counts(_clean(s, sf), "original_language"),
         "impute_budget": _impute_budget,
         "feed_revenue_budget": _on_clean(feeds.revenue_vs_budget),

@@ -199,6 +199,11 @@ FROM m WHERE belongs_to_collection IS NOT NULL GROUP BY 1, 2 HAVING COUNT(title)
 SELECT g AS genres, COUNT(*) AS n FROM (
   SELECT unnest(CASE WHEN genres IS NULL THEN [NULL]
                      ELSE list_filter(string_split(genres, '|'), lambda x: x <> '') END) AS g
+  FROM clean) GROUP BY 1"""
+    q["value_counts_director"] = CATALOGUE + """
+SELECT d AS director, COUNT(*) AS n FROM (
+  SELECT unnest(CASE WHEN director IS NULL THEN [NULL]
+                     ELSE list_filter(string_split(director, '|'), lambda x: x <> '') END) AS d
   FROM clean) GROUP BY 1"""
     q["value_counts_language"] = CATALOGUE + """
 SELECT original_language, COUNT(*) AS n FROM clean GROUP BY 1"""
