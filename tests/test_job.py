@@ -113,3 +113,20 @@ def test_cut_lineage_uses_the_shared_checkpoint_folder(spark):
     assert cut.count() == 100
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "Range" not in plan  # lineage now starts at the checkpoint
+
+
+def test_apply_scale_settings_to_a_session(spark):
+    from marquee.plans.session import apply_settings, scale_settings
+
+    settings = scale_settings(10 * 1024 ** 3, total_cores=8)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        apply_settings(spark, settings)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
