@@ -25,6 +25,22 @@ from marquee.operators.clean import dedupe_by_id, drop_missing_keys, fix_types,
 from marquee.operators.nested import flatten, parse_health, parse_nested
 from marquee.sources import ingest, starview
 
+# the text operators and their pipeline are optional: without their files
+# every other query still works
+try:
+    from marquee.llm import oracle as _LLM_ORACLE
+    from marquee.llm import queries as _LLM
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("marquee.llm"):
+        raise
+    _LLM = _LLM_ORACLE = None
+try:
+    import corpus_pipeline as _PIPELINE
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("marquee.llm"):
+        raise
+    _PIPELINE = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -257,10 +273,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cache_full_hit": _cache_full_hit,
         "stream_ingest": _stream_ingest,
     }
+    if _LLM is not None:
+        q |= _LLM.queries()
+    if _PIPELINE is not None:
+        q["pipeline"] = _PIPELINE.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import statements
 
-    return statements()
+    sql = statements()
+    if _LLM_ORACLE is not None:
+        sql |= _LLM_ORACLE.statements()
+    if _PIPELINE is not None and _PIPELINE.ORACLE_SQL:
+        sql["pipeline"] = _PIPELINE.ORACLE_SQL
+    return sql
