@@ -2,6 +2,57 @@
 
 from __future__ import annotations
 
+_LOWER = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(t: str) -> str:
+    return f"list_filter(regexp_split_to_array({_LOWER.format(t=t)}, '{_GAP}'), lambda x: x <> '')"
+
+
+_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_words('text')} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_words('text')} AS w FROM benchmark)
+      WHERE len(w) > 0),
+g AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM i)),
+lens AS (SELECT DISTINCT n FROM g),
+dg AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS gram
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens)),
+hits AS (SELECT doc_id, s, n, item_id FROM dg JOIN g USING (n, gram)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+            (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM
+          (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def _escaped(t: str, role: bool = False) -> str:
+    s = f"replace(replace(replace({t}, '\\', '\\b'), '<', '\\l'), '#', '\\h')"
+    return f"replace({s}, ':', '\\c')" if role else s
+
+
+_CHAT = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+           UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+o AS (SELECT *, lag(role) OVER w AS before, row_number() OVER w AS k FROM t
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length({_escaped('text')}) + CASE WHEN before IS NOT NULL AND before = role THEN 7
+           ELSE 4 + length({_escaped('role', True)}) + 2 + 8 END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op9_decontamination": _DECONTAMINATION,
+        "op10_chat_formatting": _CHAT,
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import rules
+from marquee.llm import chat, decontam, rules
 from marquee.llm.common import table
 
 
@@ -10,7 +10,21 @@ def op8_quality_rules(spark, sf_dir):
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_decontamination(spark, sf_dir):
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_chat_formatting(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.digest(chat.format_conversations(turns.unionByName(extra)))
+
+
 def queries():
     return {
         "op8_quality_rules": op8_quality_rules,
+        "op9_decontamination": op9_decontamination,
+        "op10_chat_formatting": op10_chat_formatting,
     }
