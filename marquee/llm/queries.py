@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import chat, decontam, rules
+from marquee.llm import bpe, chat, decontam, rules
 from marquee.llm.common import table
 
 
@@ -22,8 +22,17 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op2_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return bpe.tokenize(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                        outputs=("ids_sha256", "decoded_sha256"))
+
+
 def queries():
     return {
+        "op2_byte_bpe": op2_byte_bpe,
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,
         "op10_chat_formatting": op10_chat_formatting,
