@@ -32,7 +32,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import BLANKS, bind, materialize, words_of
@@ -172,10 +172,8 @@ def certify(held: DataFrame, risk: float = 0.02, delta: float = 0.05, penalty: f
     counted = binned.groupBy("stratum", "rule", "bin").agg(
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad"))
     sizes = counted.where("rule = 0").groupBy("stratum").agg(F.sum(F.col("good") + F.col("bad")).alias("rows"))
-    total = sizes.agg(F.sum("rows").alias("total")).select(F.lit(1).alias("one"), "total")
-    named = (sizes.select("*", F.lit(1).alias("one")).join(total, "one")
-             .select("stratum", F.when(F.col("rows") * 100 >= F.col("total"), F.col("stratum"))
-                     .otherwise(F.lit(OTHER)).alias("name")))
+    named = sizes.select("stratum", F.when(
+        F.col("rows") * 100 >= F.sum("rows").over(_all()), F.col("stratum")).otherwise(F.lit(OTHER)).alias("name"))
     pooled = (counted.join(named, "stratum").groupBy("name", "rule", "bin")
               .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
     # cutoff i rejects the documents of bins above i
@@ -196,7 +194,7 @@ def certify(held: DataFrame, risk: float = 0.02, delta: float = 0.05, penalty: f
 
 
 def _all():
-    from pyspark.sql import Window
+    """One window over a table of at most a few thousand rows."""
     return Window.partitionBy(F.lit(1))
 
 
