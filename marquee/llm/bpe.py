@@ -33,6 +33,8 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import ship
+
 LEAF = 24
 MEMO = 300_000
 MEMO_CHARS = 64
@@ -169,6 +171,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     types = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"`{id_col}` {id_type}", "n_tokens bigint", *(f"{o} {types[o]}" for o in outputs)])
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(batches):

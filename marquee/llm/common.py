@@ -41,3 +41,23 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (a small zip, once a session),
+    so that they need no installed copy. Files only; nothing is stored on a
+    machine that later tasks rely on."""
+    import pathlib
+    import tempfile
+    import zipfile
+
+    context = spark.sparkContext
+    if getattr(context, "_marquee_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='marquee-src-')}/marquee-src.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"{root.name}/{file.relative_to(root)}")
+    context.addPyFile(path)
+    context._marquee_shipped = True

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, chat, decontam, rules
+from marquee.llm import bpe, chat, decontam, neardup, rules
 from marquee.llm.common import table
 
 
@@ -30,9 +30,14 @@ def op2_byte_bpe(spark, sf_dir):
                         outputs=("ids_sha256", "decoded_sha256"))
 
 
+def op7_minhash_dedup(spark, sf_dir):
+    return neardup.deduplicate(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def queries():
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op7_minhash_dedup": op7_minhash_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,
         "op10_chat_formatting": op10_chat_formatting,
