@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.plans.session import scratch_path
@@ -61,3 +61,19 @@ def ship(spark: SparkSession) -> None:
             out.write(file, f"{root.name}/{file.relative_to(root)}")
     context.addPyFile(path)
     context._marquee_shipped = True
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """At most ``per_class`` labelled texts of each class 0 and 1: id, text,
+    label. The ids are chosen from the narrow label table, by a hash that
+    does not depend on partitioning; a document labelled both ways, or with
+    no text row, teaches nothing. Of a repeated id one row per text stays."""
+    marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).alias("id"))
+             .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other")).where("label = other"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    chosen = marks.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class).select("id", "label")
+    # at most 2 * per_class ids
+    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
+        .join(F.broadcast(chosen), "id").dropDuplicates(["id", "text"])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, chat, decontam, neardup, rules
+from pyspark.sql import functions as F
+
+from marquee.llm import bpe, chat, decontam, langid, neardup, quality, rules
 from marquee.llm.common import table
 
 
@@ -22,6 +24,19 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns.unionByName(extra)))
 
 
+def _fold(column, n):
+    """crc32 of an id as text, modulo n."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held = _fold("doc_id", 4) == 2
+    model = langid.learn(docs.where(~held))
+    return langid.predict(docs, model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "phrase_rate")
+
+
 def op2_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -30,13 +45,23 @@ def op2_byte_bpe(spark, sf_dir):
                         outputs=("ids_sha256", "decoded_sha256"))
 
 
+def op3_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels.where(_fold("doc_id", 5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_minhash_dedup(spark, sf_dir):
     return neardup.deduplicate(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
 def queries():
     return {
+        "op1_language_id": op1_language_id,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_quality_classifier": op3_quality_classifier,
         "op7_minhash_dedup": op7_minhash_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,
