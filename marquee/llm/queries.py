@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, neardup, quality, rules
+from marquee.llm import bpe, chat, decontam, langid, neardup, quality, rules, toxicity
 from marquee.llm.common import table
 
 
@@ -53,6 +53,14 @@ def op3_quality_classifier(spark, sf_dir):
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(_fold("doc_id", 5) != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")
+
+
 def op7_minhash_dedup(spark, sf_dir):
     return neardup.deduplicate(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -62,6 +70,7 @@ def queries():
         "op1_language_id": op1_language_id,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_classifier": op3_quality_classifier,
+        "op6_toxicity": op6_toxicity,
         "op7_minhash_dedup": op7_minhash_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,

@@ -65,16 +65,23 @@ def chunks(offsets: np.ndarray):
         first = min(last, n)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray):
+#: separates words of ASCII letters and digits and anything beyond ASCII
+NOT_ALPHANUMERIC = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _BLANK, prefixes: tuple[int, ...] = ()):
     """Hashes of the words of the documents between ``offsets``, and the
-    first word of each document (one more for the end)."""
+    first word of each document (one more for the end). With ``prefixes``
+    also, for each of these byte lengths, (hashes of the prefixes of all
+    longer words, the words they belong to)."""
     low = int(offsets[0])
     raw = data[low:int(offsets[-1])]
     at = offsets - low
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_BLANK[raw]
+        empty = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return (*empty, [(empty[0], empty[0].astype(np.int64))] * len(prefixes)) if prefixes else empty
+    inside = ~gaps[raw]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     start = inside.copy()
@@ -85,8 +92,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray):
     up, down = _Powers.of(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[:n], out=total[1:])
-    words = mix((total[ends + 1] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return words, np.searchsorted(starts, at)
+    size = ends + 1 - starts
+    words = mix((total[ends + 1] - total[starts]) * down[starts] + size.astype(np.uint64))
+    first = np.searchsorted(starts, at)
+    if not prefixes:
+        return words, first
+    cut = []
+    for length in prefixes:
+        of = np.flatnonzero(size > length)
+        begin = starts[of]
+        cut.append((mix((total[begin + length] - total[begin]) * down[begin] + U(length << 32)), of))
+    return words, first, cut
 
 
 def shingles(words: np.ndarray, first: np.ndarray, size: int):
