@@ -119,7 +119,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
                      text_col: str = "text", max_share: float = 0.0) -> DataFrame:
     """``docs`` without the documents whose hit words exceed ``max_share``
     of their words (0: any hit)."""
-    bad = judge(docs, benchmark, id_col, text_col).where(F.col("n_hit") > max_share * F.col("n_words"))
+    bad = hits(docs, benchmark, id_col, text_col) if max_share <= 0 else judge(
+        docs, benchmark, id_col, text_col).where(F.col("n_hit") > max_share * F.col("n_words"))
     return docs.join(bad.select(F.col("doc_id").alias("__bad")).distinct(),
                      F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, neardup, quality, rules, toxicity
+from marquee.llm import bpe, chat, decontam, langid, neardup, pii, quality, rules, secrets, toxicity
 from marquee.llm.common import table
 
 
@@ -53,6 +53,15 @@ def op3_quality_classifier(spark, sf_dir):
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
+def op5_secret_scan(spark, sf_dir):
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.learn(docs, labels.where(_fold("doc_id", 5) != 0))
@@ -70,6 +79,8 @@ def queries():
         "op1_language_id": op1_language_id,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_pii": op4_pii,
+        "op5_secret_scan": op5_secret_scan,
         "op6_toxicity": op6_toxicity,
         "op7_minhash_dedup": op7_minhash_dedup,
         "op8_quality_rules": op8_quality_rules,
