@@ -1,6 +1,7 @@
 """Driver contract and Spark-vs-DuckDB agreement on the smallest tables."""
 
 import os
+import re
 import sys
 from collections import Counter
 
@@ -22,8 +23,12 @@ def test_entry_runs(spark):
     assert len(rows) == 5
 
 
+# the text operators, where installed, are tested in tests/llm
+CATALOGUE = sorted(n for n in E.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) <= set(E.oracle_sql())
+    assert set(CATALOGUE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +41,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", CATALOGUE)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns

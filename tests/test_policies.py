@@ -4,7 +4,8 @@ import pathlib
 import re
 
 LIB = pathlib.Path(__file__).resolve().parents[1] / "marquee"
-SOURCES = {p: p.read_text() for p in LIB.rglob("*.py")}
+# the text operators have policy tests of their own
+SOURCES = {p: p.read_text() for p in LIB.rglob("*.py") if p.parent.name != "llm"}
 
 # the only driver collects, each of a bounded, small result
 ALLOWED_COLLECTS = {
