@@ -48,6 +48,12 @@ def _windows(words: Column, length: int) -> Column:
         .otherwise(F.array().cast("array<bigint>")))
 
 
+def _placed(words: Column, length: int) -> Column:
+    """The windows of one length as (length, start, hash)."""
+    return F.transform(_windows(words, length), lambda h, i: F.struct(
+        F.lit(length).alias("length"), i.alias("start"), h.alias("hash")))
+
+
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row per distinct (item_id, window): hash, length, words."""
     items = benchmark.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w")).where(
@@ -72,14 +78,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     small = sum(r["count"] for r in lengths) <= MAX_BROADCAST_WINDOWS
     wanted = sorted(r["length"] for r in lengths) or [WINDOW]
     doc = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"))
-    starts = F.concat(*[F.transform(_windows(F.col("w"), n), lambda h, i, n=n: F.struct(
-        F.lit(n).alias("length"), i.alias("start"), h.alias("hash"))) for n in wanted]) \
-        if len(wanted) > 1 else None
-    if starts is None:
-        rows = doc.select("doc_id", F.posexplode(_windows(F.col("w"), wanted[0])).alias("start", "hash")) \
-            .withColumn("length", F.lit(wanted[0]))
+    if len(wanted) == 1:
+        rows = doc.select("doc_id", F.lit(wanted[0]).alias("length"),
+                          F.posexplode(_windows(F.col("w"), wanted[0])).alias("start", "hash"))
     else:
-        rows = doc.select("doc_id", F.inline(starts))
+        rows = doc.select("doc_id", F.inline(F.concat(*[_placed(F.col("w"), n) for n in wanted])))
     met = rows.join(F.broadcast(keys) if small else keys, ["length", "hash"], "left_semi")
     found = met.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "hash")).alias("at"))
     # verify on the words themselves: only texts with a hit are read again
@@ -131,22 +134,30 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words, with the gaps inside it, becomes ``mark``. Clean texts are not
     touched."""
     at = hits(docs, benchmark, id_col, text_col).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.array_distinct(F.flatten(F.collect_set(
-            F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)))).alias("__hit"))
+        F.sort_array(F.collect_set(F.struct(
+            F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")))).alias("__hit"))
     joined = docs.join(at, F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    # words and gaps in turn: gap 0, word 0, gap 1, word 1, ...
-    text = F.col(text_col).cast("string")
-    found = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
-    gaps = F.split(text, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    flags = F.map_from_entries(F.transform("__hit", lambda p: F.struct(p, F.lit(True))))
+    # words and gaps in turn: gap 0, word 0, gap 1, word 1, ..., last gap
+    text, raw = F.col(text_col).cast("string"), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    found = F.regexp_extract_all(text, F.lit(f"({raw})"), F.lit(1))
+    gaps = F.split(text, raw)
+    # runs of hit words: windows that overlap or touch become one
+    merged = F.aggregate("__hit", F.array().cast("array<struct<s:int,e:int>>"), lambda acc, x: F.when(
+        (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
+            F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))))
+        .otherwise(F.concat(acc, F.array(x))))
+
+    def between(w: Column, g: Column, first: Column, last: Column) -> Column:
+        return F.array_join(F.zip_with(F.slice(g, first + 1, last - first), F.slice(w, first + 1, last - first),
+                                       lambda a, b: F.concat(a, b)), "")
 
     def rebuilt(w: Column) -> Column:
-        return bind(flags, lambda f: bind(gaps, lambda g: F.concat(
-            F.array_join(F.transform(w, lambda x, i: F.when(
-                f[i].isNotNull(), F.when(f[i - 1].isNotNull() & (i > 0), F.lit(""))
-                .otherwise(F.concat(F.get(g, i), F.lit(mark))))
-                .otherwise(F.concat(F.get(g, i), x))), ""),
-            F.get(g, F.size(w)))))
+        return bind(merged, lambda runs: bind(gaps, lambda g: F.concat(
+            F.array_join(F.transform(runs, lambda r, j: F.concat(
+                between(w, g, F.when(j > 0, F.get(runs, j - 1)["e"]).otherwise(F.lit(0)), r["s"]),
+                F.get(g, r["s"]), F.lit(mark))), ""),
+            between(w, g, F.element_at(runs, -1)["e"], F.size(w)), F.get(g, F.size(w)))))
 
     return joined.withColumn(text_col, F.when(F.col("__hit").isNull(), F.col(text_col)).otherwise(
         bind(found, rebuilt))).drop("__id", "__hit")

@@ -8,12 +8,17 @@ confirmation, connected components.
 2. Class representatives that agree on a band (``ROWS`` = 4 values) share
    a bucket. A pair at similarity 0.8 misses all 32 bands with probability
    (1 - 0.8**4)**32 = 5e-8.
-3. In every bucket a hub meets all members outside its component; verified
-   links merge components, the hub leaves the bucket, and the next hubs are
-   taken from the bucket's smallest components, until each bucket holds one
-   component. So a group of copies costs about one pair per member instead
-   of all pairs, and yet every pair of a bucket that is not connected in
-   another way has met; there is no cap on members or partners.
+3. In every bucket the smallest member first meets all others. Verified
+   links merge components, which closes most buckets, so a group of copies
+   costs about one pair per member instead of all pairs. What is left is
+   met exactly, without a cap: buckets of up to ``SMALL`` members by all
+   pairs across components; the members of larger ones by a prefix filter,
+   since two sets at the threshold share a shingle among the rarest of
+   either (rarest by counts over these members). A text of a large group
+   whose own shingles exceed the allowed difference has no shared shingle
+   there and needs no pair at all. Buckets of prefix shingles are then
+   closed by rounds of hubs from their smallest components: a hub meets all
+   members outside its component and leaves the bucket.
 4. A candidate pair is compared ``BATCH`` signature values at a time. With m
    of n values equal, the similarity has the posterior Beta(m + 1, n - m + 1);
    a pair is pruned as soon as its posterior probability of reaching the
@@ -40,6 +45,9 @@ from marquee.llm.components import connected
 BANDS, ROWS = 32, 4
 BATCH = 16
 MISS = 1e-6
+SMALL = 16
+# ids are broadcast up to this many (some 16 MB), else joined by a shuffle
+MAX_BROADCAST_IDS = 1_000_000
 
 
 def _permutations():
@@ -140,20 +148,24 @@ def screen(pairs: DataFrame, reps: DataFrame, percent: int, miss: float = MISS)
 def sets_of(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """The full shingle sets of the documents named in ``ids`` (doc_id)."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    few = ids.count() <= MAX_BROADCAST_IDS
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
-        ids, "doc_id", "left_semi")
+        F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         from marquee.llm.shingles import shingle_sets
 
         for batch in batches:
+            sets = list(shingle_sets(batch.column(1), size))
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), size)], pa.binary())],
-                ["doc_id", "items"])
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "items"])
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, items binary")
+    return texts.mapInArrow(run, f"doc_id {id_type}, items array<bigint>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,10 +177,14 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        def parts(column):
+            ends = np.asarray(column.offsets)
+            flat = np.asarray(column.values)
+            return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(parts(batch.column(2)), parts(batch.column(3)), strict=True):
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 same = int((both[1:] == both[:-1]).sum())
@@ -181,46 +197,117 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, f"a {kind}, b {kind}").distinct())
 
 
+def _may_reach(na, ra, nb, rb, percent: int):
+    """Whether sets of na and nb shingles can reach the threshold when no
+    more than ra of the one and rb of the other can be shared (exact)."""
+    return F.least(ra, rb) * (100 + percent) >= (na + nb) * percent
+
+
+def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, id, n, room): the shared shingles in the prefix of every
+    set. With the shingles in order of their counts over ``sets``, two sets
+    at the threshold share one of the first n - ceil(percent * n) + 1 of
+    each, and have no more in common than what follows their first common
+    shingle: the ``room`` there. A set whose room cannot reach the threshold
+    even with the smallest set of a bucket is not in that bucket."""
+    rows = sets.select(F.col("doc_id").alias("id"), F.size("items").alias("n"), F.explode("items").alias("bucket"))
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("id")
+    need = F.ceil(F.col("n") * percent / 100).cast("int")
+    # the n - shared shingles of one set alone come first in its order
+    kept = materialize(
+        rows.join(counts, "bucket").withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= need)
+        .withColumn("k", F.row_number().over(own.orderBy("df", "bucket")))
+        .where(F.col("k") <= F.col("shared") - need + 1)
+        .select("bucket", "id", "n", (F.col("shared") - F.col("k") + 1).alias("room")), "prefixes")
+    low = kept.groupBy("bucket").agg(F.min("n").alias("low"))
+    return kept.join(low, "bucket").where(
+        _may_reach(F.col("n"), F.col("room"), F.col("low"), F.col("room"), percent)).drop("low")
+
+
+def _open(members: DataFrame, links_: DataFrame) -> DataFrame:
+    """(bucket, id, n, room, label, size) of the buckets that hold several
+    components."""
+    labels = connected(links_)
+    named = members.join(labels, F.col("id") == F.col("node"), "left").select(
+        "bucket", "id", "n", "room", F.coalesce("component", "id").alias("label"))
+    several = named.groupBy("bucket").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")).where("l != h")
+    return named.join(several.select("bucket", "size"), "bucket")
+
+
+def _hubs(members: DataFrame, at_once: int) -> DataFrame:
+    """Members of the smallest components, never of the largest one: that
+    one needs no hub, the others meet it."""
+    sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("rows"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("rows", "label")).alias("top"))
+    order = Window.partitionBy("bucket").orderBy("rows", "label", "id")
+    return (members.join(sizes, ["bucket", "label"]).join(largest, "bucket")
+            .where(F.col("label") != F.col("top.label")).withColumn("k", F.row_number().over(order))
+            .where(F.col("k") <= at_once).select("bucket", "id", "n", "room", "label"))
+
+
+def _across(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of hubs and members of other components that the exact
+    bound does not rule out."""
+    h, m = hubs.alias("h"), members.alias("m")
+    met = h.join(m, (F.col("h.bucket") == F.col("m.bucket")) & (F.col("h.label") != F.col("m.label")) & _may_reach(
+        F.col("h.n"), F.col("h.room"), F.col("m.n"), F.col("m.room"), percent))
+    return met.select(F.least("h.id", "m.id").alias("a"), F.greatest("h.id", "m.id").alias("b")).distinct()
+
+
 def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str = "doc_id",
           text_col: str = "text", miss: float = MISS, hubs_at_once: int = 8) -> DataFrame:
     """Verified links (u, v) between representatives: enough of them that
     the components are those of all verified pairs of all buckets."""
     spark = docs.sparkSession
     kind = reps.schema["doc_id"].dataType.simpleString()
-    slots = reps.select(F.col("doc_id").alias("id"), F.posexplode("sig").alias("band", "value")).select(
-        "id", F.xxhash64("band", "value").alias("bucket"))
-    shared = slots.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last")
-    members = materialize(slots.join(shared.select("bucket", "hub"), "bucket"), "buckets")
-    wanted = members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    members = members.where("id != hub").select("bucket", "id")
-    found = spark.createDataFrame([], f"a {kind}, b {kind}")
-    failed = found
-    while True:
+    found = failed = spark.createDataFrame([], f"a {kind}, b {kind}")
+
+    def sets_for(ids: DataFrame, tag: str) -> DataFrame:
+        return materialize(sets_of(docs, materialize(ids.distinct(), "ids"), size, id_col, text_col), tag)
+
+    def verified(wanted: DataFrame):
+        """Links among the wanted pairs, and the pairs that failed."""
         likely = materialize(screen(wanted, reps, percent, miss).join(failed, ["a", "b"], "left_anti"), "likely")
-        ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-        sets = materialize(sets_of(docs, ids, size, id_col, text_col), "sets")
-        good = materialize(confirm(likely, sets, percent), "links")
-        failed = failed.union(likely.join(good, ["a", "b"], "left_anti"))
-        found = found.union(good)
-        labels = connected(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        named = members.join(labels, F.col("id") == F.col("node"), "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("label"))
-        open_ = named.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h")
-        members = materialize(named.join(open_.select("bucket"), "bucket", "left_semi"), "open")
+        if likely.isEmpty():
+            return likely, likely
+        ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b"))
+        good = materialize(confirm(likely, sets_for(ids, "sets"), percent), "links")
+        return good, likely.join(good, ["a", "b"], "left_anti")
+
+    def as_links(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    n = F.col("n_shingles").alias("n")
+    slots = reps.select(F.col("doc_id").alias("id"), n, F.posexplode("sig").alias("band", "value")).select(
+        "id", "n", F.xxhash64("band", "value").alias("bucket"))
+    shared = slots.groupBy("bucket").agg(
+        F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id != last")
+    members = materialize(slots.join(shared.select("bucket", "hub"), "bucket"), "buckets").select(
+        "bucket", "id", "n", F.col("n").alias("room"), "hub").where("id != hub.id")
+    wanted = members.where(_may_reach(F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n"), percent)).select(
+        F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
+    found, failed = verified(wanted)
+
+    left = materialize(_open(members.drop("hub"), as_links(found)), "open")
+    little = left.where(F.col("size") <= SMALL)
+    wanted = _across(little, little, percent)
+    large = left.where(F.col("size") > SMALL).select(F.col("id").alias("doc_id"))
+    members = None
+    if not large.isEmpty():
+        members = prefix_buckets(sets_for(large, "large"), percent)
+    while True:
+        good, bad = verified(wanted)
+        found, failed = found.union(good), failed.union(bad)
+        if members is None:
+            return as_links(found)
+        members = materialize(_open(members.select("bucket", "id", "n", "room"), as_links(found)), "open")
         if members.isEmpty():
-            return found.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        # the largest component of a bucket needs no hub: the others meet it
-        sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"))
-        ranked = (members.join(sizes, ["bucket", "label"]).join(largest, "bucket")
-                  .where(F.col("label") != F.col("top.label"))
-                  .withColumn("k", F.row_number().over(Window.partitionBy("bucket").orderBy("n", "label", "id")))
-                  .where(F.col("k") <= hubs_at_once).select("bucket", "id", "label"))
-        hubs = materialize(ranked, "hubs")
-        met = hubs.select("bucket", F.col("id").alias("h"), F.col("label").alias("hl")).join(members, "bucket").where(
-            "hl != label")
-        wanted = met.select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct()
-        members = members.select("bucket", "id").join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti")
+            return as_links(found)
+        hubs = materialize(_hubs(members, hubs_at_once), "hubs")
+        wanted = _across(hubs, members, percent)
+        members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti")
         hubs_at_once *= 8
 
 
