@@ -1,10 +1,12 @@
 """Aggregate expressions with partition-independent results.
 
 Double sums depend on the order rows are added in, so the same query can
-give different last digits on a different partitioning. Money and scores
-in the catalogue carry at most 6 decimals, so they are summed as
-fixed-point decimals: associative, exact, and the same on 8 or 8,000
-partitions. The mean is that exact sum divided by the count.
+give different last digits on a different partitioning. Values that a
+fixed-point decimal holds exactly (up to 6 decimals, under 1e17) are summed
+as such: associative, exact, and the same on 8 or 8,000 partitions. Any
+other value (finer, larger, infinite) goes into a double sum beside it, so
+nothing is rounded away, no size fails, and the mean divides by the count of
+exactly the values that were added. NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -16,20 +18,22 @@ from marquee.functions.columns import col_
 from marquee.schemas import FIXED
 
 
-def fixed(c: str | Column) -> Column:
-    return col_(c).cast(FIXED)
+def _parts(c: str | Column) -> tuple[Column, Column]:
+    """(sum, count) of the non-missing values."""
+    v = col_(c).cast("double")
+    v = F.when(~F.isnan(v), v)
+    plain = (F.abs(v) < F.lit(1e17)) & (F.round(v, 6) == v)
+    exact = F.sum(F.when(plain, F.when(plain, v).otherwise(F.lit(0.0)).cast(FIXED))).cast("double")
+    rest = F.sum(F.when(~plain, v))
+    return F.when(exact.isNull(), rest).when(rest.isNull(), exact).otherwise(exact + rest), F.count(v)
 
 
 def exact_sum(c: str | Column) -> Column:
-    """Sum as fixed-point, returned as double (null when no values)."""
-    return F.sum(fixed(c)).cast("double")
+    """Sum, returned as double (null when no values)."""
+    return _parts(c)[0]
 
 
 def exact_mean(c: str | Column) -> Column:
-    """Mean over non-null values from the fixed-point sum."""
-    v = col_(c)
-    return F.sum(fixed(v)).cast("double") / F.count(v)
-
-
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
+    """Mean over the non-missing values."""
+    total, n = _parts(c)
+    return F.when(n > 0, total / n)

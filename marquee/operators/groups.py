@@ -23,72 +23,87 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
                  alias: str = "median", approx: bool = False,
                  accuracy: int = 10000) -> DataFrame:
     """Exact median (linear interpolation between the two middle values)
-    of ``value`` per group of ``keys``; nulls and NaN are skipped.
+    of ``value`` per group of ``keys``; nulls and NaN are skipped, and a
+    group without any other value has no row.
 
     Spark's ``percentile`` merges every distinct value of a group into one
-    task. Here, deterministically and without a hot task:
+    task. Here the middle ranks are found by narrowing value ranges, so no
+    task holds a whole group:
 
-    1. identical (key, value) pairs are counted (map-side combined, so a
-       run of one value in a hot group collapses to one weighted row);
-    2. the distinct pairs are range-partitioned on (key, value), which
-       spreads a hot group over many tasks;
-    3. a running weight inside each (task, key) slice, plus the slice's
-       offset from a small per-(task, key) table, gives every distinct
-       value its rank interval in the group;
-    4. only values whose interval holds one of the middle ranks are kept.
+    1. identical (key, value) pairs are counted (combined before the shuffle);
+    2. they are counted again per (key, coarse range of the value), at most
+       some 80,000 ranges a key, and the ranges of the middle ranks are kept;
+    3. the same inside those, per fine range (relative width 2**-20);
+    4. the values inside the fine ranges are ranked.
+
+    The ranges are functions of the value alone and the steps are joined on
+    values, so the result does not depend on partitioning, on the reuse of
+    exchanges or on adaptive execution.
 
     ``approx=True`` uses the bounded-memory ``percentile_approx`` instead.
     """
     keys = list(keys)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    named = df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if approx:
-        return df.groupBy(*keys).agg(F.percentile_approx(v, 0.5, accuracy).alias(alias))
-    ranked = ranked_values(df, keys, v)
-    n = F.col("_n")
-    lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
-    start, end = F.col("_start"), F.col("_start") + F.col("_w")
-    has_lo = (start <= lo) & (lo < end)
-    has_hi = (start <= hi) & (hi < end)
-    picked = ranked.where(has_lo | has_hi).groupBy(*keys).agg(
-        F.max(F.when(has_lo, F.col("_v"))).alias("_lo"),
-        F.max(F.when(has_hi, F.col("_v"))).alias("_hi"))
-    return picked.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias(alias))
-
-
-def ranked_values(df: DataFrame, keys: Sequence[str], v: Column) -> DataFrame:
-    """Distinct (keys, _v) with weight ``_w`` (rows holding that value),
-    ``_start`` (0-based rank of its first row in the group) and ``_n``
-    (rows in the group). Deterministic: no row ids and nothing that
-    depends on row order, so a retried task reproduces its output."""
-    keys = list(keys)
-    spark = df.sparkSession
-    # an explicit count: AQE must not coalesce this exchange, because both
-    # reads of it (slices and their block table) must agree on task ids
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):  # e.g. a non-numeric 'auto' setting
-        parts = 200
-    counted = df.select(*[F.col(k) for k in keys], v.alias("_v")) \
-        .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))) \
-        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    order = [F.col(k).asc() for k in keys] + [F.col("_v").asc()]
-    sliced = counted.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
-    inside = Window.partitionBy("_pid", *keys).orderBy("_v") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sliced = sliced.withColumn("_cum", F.sum("_w").over(inside))
-    blocks = sliced.groupBy("_pid", *keys).agg(F.sum("_w").alias("_bw"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumns({
-        "_before": F.coalesce(F.sum("_bw").over(before), F.lit(0)),
-        "_n": F.sum("_bw").over(Window.partitionBy(*keys)),
-    }).select(F.col("_pid").alias("_bpid"), *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)],
-              "_before", "_n")
-    cond = F.col("_pid") == F.col("_bpid")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_b{i}"))
-    # blocks has at most (tasks + groups) rows: AQE broadcasts it once measured
-    return sliced.join(blocks, cond).select(
-        *keys, "_v", "_w", (F.col("_before") + F.col("_cum") - F.col("_w")).alias("_start"), "_n")
+        return named.groupBy(*keys).agg(F.percentile_approx("_v", 0.5, accuracy).alias(alias))
+    counted = named.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    ranged = counted.withColumn("_b0", _coarse(F.col("_v"))).withColumn("_b1", _fine(F.col("_v"), F.col("_b0")))
+
+    total = Window.partitionBy(*keys)
+    first = ranged.groupBy(*keys, "_b0").agg(F.sum("_w").alias("_w")).withColumn("_n", F.sum("_w").over(total))
+    first = _middle(first, keys, ["_b0"], F.lit(0))
+    second = _matched(ranged, first, keys, ["_b0"]).groupBy(*keys, "_b0", "_b1").agg(
+        F.sum("_w").alias("_w"), F.min("_at").alias("_at"), F.min("_n").alias("_n"))
+    second = _middle(second, [*keys, "_b0"], ["_b1"], F.col("_at"))
+    third = _matched(ranged, second, keys, ["_b0", "_b1"])
+    picked = _middle(third, [*keys, "_b0", "_b1"], ["_v"], F.col("_at"))
+    lo, hi = _ranks()
+    here = lambda r: (F.col("_at") <= r) & (r < F.col("_at") + F.col("_w"))
+    out = picked.groupBy(*keys).agg(F.max(F.when(here(lo), F.col("_v"))).alias("_lo"),
+                                    F.max(F.when(here(hi), F.col("_v"))).alias("_hi"))
+    middle = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5))
+    return out.select(*keys, middle.alias(alias))
+
+
+def _coarse(v: Column) -> Column:
+    """Number of a value's range of 1/16 octave; grows with the value."""
+    size = F.when(F.abs(v) == float("inf"), F.lit(40000)).otherwise(
+        F.floor(F.log2(F.abs(v)) * 16).cast("int") + 20000)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("int") * size)
+
+
+def _fine(v: Column, coarse: Column) -> Column:
+    """Number of a value's part of its coarse range; grows with the value."""
+    scale = F.pow(F.lit(2.0), (F.abs(coarse) - 20000) / F.lit(16.0))
+    return F.when((v == 0) | (F.abs(v) == float("inf")), F.lit(0).cast("long")).otherwise(
+        F.floor(v / scale * F.lit(float(1 << 20))).cast("long"))
+
+
+def _ranks() -> tuple[Column, Column]:
+    return F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+
+
+def _middle(ranges: DataFrame, group: Sequence[str], order: Sequence[str], start: Column) -> DataFrame:
+    """The rows of each group that hold a middle rank, with ``_at``, the
+    0-based rank of their first value (``start``: that of the group's)."""
+    run = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranges.withColumn("_at", start + F.sum("_w").over(run) - F.col("_w"))
+    lo, hi = _ranks()
+    end = F.col("_at") + F.col("_w")
+    return placed.where(((F.col("_at") <= lo) & (lo < end)) | ((F.col("_at") <= hi) & (hi < end)))
+
+
+def _matched(ranged: DataFrame, kept: DataFrame, keys: Sequence[str], bins: Sequence[str]) -> DataFrame:
+    """The counted values inside the kept ranges (at most two a key), with
+    the rank their range starts at."""
+    on = [*keys, *bins]
+    small = kept.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on)], "_at", "_n")
+    cond = F.lit(True)
+    for i, c in enumerate(on):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return ranged.join(small, cond).drop(*[f"_k{i}" for i in range(len(on))])
 
 
 def membership_label(df: DataFrame) -> Column:
@@ -177,10 +192,12 @@ def impute_from_similar(df: DataFrame, column: str, by: str = "belongs_to_collec
                         approx: bool = False) -> DataFrame:
     """Opt-in repair: fill a missing ``column`` with the median of the
     titles sharing ``by``; adds ``<column>_imputed``. Titles without a
-    group, or whose group has no value, stay null."""
+    group, or whose group has no value, stay null; they take no part in the
+    join, so they are not gathered under one null key."""
     med = group_median(df.where(F.col(by).isNotNull()), [by], column, "_fill", approx=approx)
-    out = df.join(med, by, "left")
+    out = df.where(F.col(by).isNotNull()).join(med, by, "left").unionByName(
+        df.where(F.col(by).isNull()).withColumn("_fill", F.lit(None).cast("double")))
     return out.withColumns({
         f"{column}_imputed": F.col(column).isNull() & F.col("_fill").isNotNull(),
         column: F.coalesce(F.col(column), F.col("_fill")),
-    }).drop("_fill")
+    }).select(by, *[c for c in df.columns if c != by], f"{column}_imputed")

@@ -12,8 +12,10 @@ the cleaning chain, nothing lost with an executor).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,6 +34,7 @@ from marquee.operators.clean import (
 from marquee.operators.nested import flatten, parse_health, parse_nested
 from marquee.sources import ingest as ingest_ops
 from marquee.sources.raw import read_clean, read_raw_if_exists
+from marquee.sources.sinks import CSV_WRITE, write_clean
 
 log = logging.getLogger("marquee.job")
 
@@ -128,31 +131,64 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     write as observed metrics. Ids are unique and non-null by construction
     (dedupe, key filter); the null-id count is observed on the write, and
     ``verify_ids`` adds one pass over the written id column to re-check
-    uniqueness. Schema-tier failures raise ``QualityError`` and leave the
-    output without its ``_checked`` marker; value-tier findings are
-    logged. On success the marker (the run's metrics, a few rows) is
-    written inside the output."""
+    uniqueness. The write goes to a staging folder beside the output, which
+    takes its place only when every gate has passed: schema-tier failures
+    raise ``QualityError`` and leave an earlier output as it was; value-tier
+    findings are logged. The ``_checked`` marker (the run's metrics, a few
+    rows) is published with the output."""
     clean, obs = clean_with_metrics(raw, as_of)
     quality.check_contract(clean)
-    clean.write.mode("overwrite").format(fmt).save(out_path)  # also drops an old marker
+    with staged(spark, out_path) as stage:
+        run, released = _gated_write(spark, clean, obs, stage, out_path, fmt, verify_ids)
+    if expected_rows is not None and abs(released - expected_rows) > tolerance:
+        log.warning("clean row count %d is not within %d of %d", released, tolerance, expected_rows)
+    return read_clean(spark, out_path, fmt), run
+
+
+def _gated_write(spark: SparkSession, clean: DataFrame, obs: dict[str, Observation], stage: str, out_path: str,
+                 fmt: str, verify_ids: bool) -> tuple[CleanRun, int]:
+    """Write to the staging folder and pass every gate there."""
+    write_clean(clean, stage, fmt)
     run = _run_of(obs, out_path)
     log.info("clean rows by stage: %s", run.stage_rows)
     quality.check_parse(run.parse)
     for name, bad in run.value_checks.items():
         if bad:
             log.warning("value check failed for %d row(s): %s", bad, name)
-    out = read_clean(spark, out_path, fmt)
     if int(observed(obs["final"]).get("null_ids") or 0):
         raise quality.QualityError("null ids in the clean catalogue")
     if verify_ids:  # one pass over the written id column
-        quality.enforce(quality.quality_report(out.select("id"), values=False)
+        quality.enforce(quality.quality_report(read_clean(spark, stage, fmt).select("id"), values=False)
                         .where(F.col("tier") == "schema").collect())
     # every schema gate passed: mark the output as checked (a few rows)
-    _write_marker(spark, run.as_rows(), out_path)
-    if expected_rows is not None and abs(run.stage_rows["released"] - expected_rows) > tolerance:
-        log.warning("clean row count %d is not within %d of %d",
-                    run.stage_rows["released"], tolerance, expected_rows)
-    return out, run
+    _write_marker(spark, run.as_rows(), stage)
+    return run, run.stage_rows["released"]
+
+
+@contextlib.contextmanager
+def staged(spark: SparkSession, out_path: str):
+    """A folder beside ``out_path`` to write to; it takes the place of
+    ``out_path`` when the block ends, and is removed when it raises, so a
+    failed run leaves the published table as it was."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = out_path.rstrip("/")
+    target, stage, old = (hadoop.Path(f"{base}{x}") for x in ("", f"__staging-{uuid.uuid4().hex}",
+                                                             f"__old-{uuid.uuid4().hex}"))
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        yield stage.toString()
+    except BaseException:
+        fs.delete(stage, True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{base} could not be set aside")
+    if not fs.rename(stage, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{stage} could not be published as {base}")
+    if had:
+        fs.delete(old, True)
 
 
 @dataclass
@@ -228,13 +264,14 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
         .join(touched, "_id", "left_semi").drop("_id")
     recleaned, obs = clean_with_metrics(affected, as_of)
     kept = read_clean(spark, clean_path, fmt).join(touched.withColumnRenamed("_id", "id"), "id", "left_anti")
-    kept.unionByName(recleaned).write.mode("overwrite").format(fmt).save(out_path)
-    # gates on the re-cleaned part, as in preprocess; then mark the output checked
-    run = _run_of(obs, out_path)
-    quality.check_parse(run.parse)
-    if int(observed(obs["final"]).get("null_ids") or 0):
-        raise quality.QualityError("null ids in the refreshed catalogue")
-    _write_marker(spark, [("refresh", k, v) for _, k, v in run.as_rows()], out_path)
+    with staged(spark, out_path) as stage:
+        write_clean(kept.unionByName(recleaned), stage, fmt)
+        # the parse gates judge a whole catalogue; a delta may well hold no
+        # genre at all, so only its ids are gated
+        run = _run_of(obs, out_path)
+        if int(observed(obs["final"]).get("null_ids") or 0):
+            raise quality.QualityError("null ids in the refreshed catalogue")
+        _write_marker(spark, [("refresh", k, v) for _, k, v in run.as_rows()], stage)
     return read_clean(spark, out_path, fmt)
 
 
@@ -276,6 +313,8 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
 
     base = out_dir.rstrip("/")
     stage = "preprocessing"
+    if (refresh_from is None) != (changed is None):
+        raise ValueError("an incremental run needs both refresh_from and changed")
     try:
         if refresh_from is not None and changed is not None:
             clean = refresh_clean(spark, raw, changed, refresh_from, f"{base}/clean", fmt, as_of)
@@ -300,7 +339,8 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
                     return
                 path = f"{base}/{name}"
                 try:
-                    tables[name].write.mode("overwrite").format(fmt).save(path)
+                    tables[name].write.mode("overwrite").options(
+                        **(CSV_WRITE if fmt == "csv" else {})).format(fmt).save(path)
                     paths[name] = path
                 except Exception as e:  # noqa: BLE001 - re-raised with the KPI's name
                     failures.append(StageError(f"analysis:{name}", e))

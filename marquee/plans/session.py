@@ -63,14 +63,18 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) is
-    a fresh scratch folder created for it. Works on Spark Connect
-    sessions too (no SparkContext there: the setting is only read)."""
+    a fresh scratch folder created for it; elsewhere that folder would be
+    another one on every machine, so an unset setting raises. Works on Spark
+    Connect sessions too (no SparkContext there: the setting is only read)."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
         sc = None
     d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local") or str(master).startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all machines share")
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_KEY, d)

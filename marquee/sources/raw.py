@@ -70,6 +70,9 @@ def read_clean(spark: SparkSession, path: str, fmt: str = "parquet",
         except AnalysisException as e:
             raise QualityError(f"{path} has not passed its quality gates") from e
     if fmt == "csv":
-        return typed_clean(spark.read.option("header", True).option("multiLine", True)
-                           .option("quote", '"').option("escape", '"').csv(path))
+        from marquee.sources.sinks import CSV_NULL
+
+        text = StructType([StructField(c, StringType()) for c in CLEAN_COLUMNS])
+        return typed_clean(spark.read.schema(text).option("header", True).option("multiLine", True)
+                           .option("quote", '"').option("escape", '"').options(**CSV_NULL).csv(path))
     return spark.read.format(fmt).load(path)

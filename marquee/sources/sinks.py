@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 
+# one set of CSV options for every write; text is never trimmed
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+# the clean catalogue tells null from empty text in CSV
+CSV_NULL = {"nullValue": "\\N", "emptyValue": ""}
+
+
 def encode_raw(df: DataFrame) -> DataFrame:
     """Raw-cache shape: columns in sorted order, nested values (arrays,
     structs, maps) as JSON text, every other value as text. Text that is
@@ -32,7 +39,7 @@ def write_raw(df: DataFrame, path: str, mode: str = "append", fmt: str = "parque
     """Write encoded records (parallel; append keeps the cache incremental)."""
     w = encode_raw(df).write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", True).option("quote", '"').option("escape", '"')
+        w = w.options(**CSV_WRITE)
     w.format(fmt).save(path)
 
 
@@ -42,5 +49,5 @@ def write_clean(df: DataFrame, path: str, fmt: str = "parquet", single_file: boo
     out = df.coalesce(1) if single_file else df
     w = out.write.mode("overwrite")
     if fmt == "csv":
-        w = w.option("header", True).option("quote", '"').option("escape", '"')
+        w = w.options(**CSV_WRITE, **CSV_NULL)
     w.format(fmt).save(path)

@@ -166,7 +166,7 @@ def title_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "genres": F.when(_on(k, NO_GENRES), F.array().cast(genres_type())).otherwise(genres),
         "homepage": F.concat(F.lit("https://example.com/title/"), ks),
         "id": F.when(_on(k, NULL_ID), F.lit(None).cast("string")).otherwise(ks),
-        "imdb_id": F.concat(F.lit("tt"), F.lpad(ks, 7, "0")),
+        "imdb_id": F.concat(F.lit("tt"), F.when(F.length(ks) < 7, F.lpad(ks, 7, "0")).otherwise(ks)),
         "origin_country": F.col("nations"),
         "original_language": F.lower(F.substring(F.col("p_type"), 1, 2)),
         "original_title": F.col("p_name"),

@@ -5,16 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import groups
-from tests.helpers import kpi_frame, title
+from tests.helpers import USUAL, kpi_frame, title
 
 
 def test_membership_labels_and_means(spark):
-    df = kpi_frame(spark, [title(1, "In", revenue_musd=100.0, belongs_to_collection="C"),
+    df = kpi_frame(spark, [title(1, "In", budget_musd=20.0, revenue_musd=100.0, belongs_to_collection="C"),
                            title(2, "Out", revenue_musd=200.0)])
     rows = {r["is_franchise"]: r for r in groups.franchise_vs_standalone(df).collect()}
     assert rows["Franchise"]["mean_revenue"] == pytest.approx(100.0)
     assert rows["Standalone"]["mean_revenue"] == pytest.approx(200.0)
-    assert rows["Franchise"]["median_roi"] == pytest.approx(1.0)
+    assert rows["Franchise"]["median_roi"] == pytest.approx(5.0)
 
 
 def test_collection_min_movies(spark):
@@ -23,7 +23,7 @@ def test_collection_min_movies(spark):
                            title(3, "C", belongs_to_collection="Two")])
     rows = groups.franchise_summary(df, min_movies=2).collect()
     assert [(r["belongs_to_collection"], r["num_movies"]) for r in rows] == [("Two", 2)]
-    assert rows[0]["total_budget"] == pytest.approx(200.0)
+    assert rows[0]["total_budget"] == pytest.approx(2 * USUAL["budget_musd"])
 
 
 def test_codirectors_count_in_full(spark):
@@ -105,14 +105,48 @@ def test_group_median_multi_key_and_approx(spark):
 
 
 def test_median_of_a_hot_run_of_identical_values(spark):
-    df = spark.createDataFrame([("hot", 1.0)] * 4000 + [("hot", 3.0)] * 3999 + [("cold", 2.0)] * 10,
-                               "k string, v double").repartition(8)
-    ranked = groups.ranked_values(df, ["k"], F.col("v"))
-    # identical values collapse to one weighted row each before any shuffle
-    assert sorted((r["k"], r["_v"], r["_w"], r["_start"], r["_n"]) for r in ranked.collect()) == [
-        ("cold", 2.0, 10, 0, 10), ("hot", 1.0, 4000, 0, 7999), ("hot", 3.0, 3999, 4000, 7999)]
+    rows = [("hot", 5.0)] * 2000 + [("hot", float(i)) for i in range(10)] + [("few", 1.0), ("few", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
     got = {r["k"]: r["m"] for r in groups.group_median(df, ["k"], "v", "m").collect()}
-    assert got == {"hot": 1.0, "cold": 2.0}
+    assert got == {"hot": 5.0, "few": 2.5}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("parts", ["1", "7", "200"])
+def test_median_does_not_depend_on_the_plan(spark, reuse, adaptive, parts):
+    values = [((i * 7919) % 1009 - 500) / 7 for i in range(3000)] + [float("inf"), float("-inf"), 0.0, -0.0, 5e-324,
+                                                                    1e300, -1e300, float("nan"), None]
+    rows = [("hot" if i % 3 else None if i % 2 else f"g{i % 11}", v) for i, v in enumerate(values)]
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(keep, (reuse, adaptive, parts), strict=True):
+            spark.conf.set(k, v)
+        got = {r["k"]: r["m"] for r in groups.group_median(
+            spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m").collect()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    want = {}
+    for k, v in rows:
+        if v is not None and v == v:
+            want.setdefault(k, []).append(v)
+    assert got == {k: pytest.approx(statistics.median(v)) for k, v in want.items()}
+
+
+def test_sums_and_means_of_unusual_values(spark):
+    from marquee.functions.aggregates import exact_mean, exact_sum
+
+    inf = float("inf")
+    rows = [("inf", inf), ("inf", 10.0), ("large", 1e30), ("large", 1.0), ("small", 1e-9), ("small", 3e-9),
+            ("nan", float("nan")), ("nan", 4.0), ("none", None), ("money", 0.1), ("money", 0.2)]
+    for parts in (1, 200):
+        df = spark.createDataFrame(rows, "k string, v double").repartition(parts).groupBy("k").agg(
+            exact_sum("v").alias("s"), exact_mean("v").alias("m"))
+        got = {r["k"]: (r["s"], r["m"]) for r in df.collect()}
+        assert got == {"inf": (inf, inf), "large": (1e30, 5e29), "small": (4e-9, 2e-9), "nan": (4.0, 4.0),
+                       "none": (None, None), "money": (0.3, 0.15)}
 
 
 def test_median_is_deterministic_across_partitionings(spark):
