@@ -26,16 +26,25 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u != v").distinct()
 
 
+# up to this many links (a few MB) one task does a round faster than a shuffle
+FEW_LINKS = 200_000
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(u, v) links -> (node, component): every linked node, with the
-    smallest node it can reach."""
+    smallest node it can reach. Tables of at most ``FEW_LINKS`` links are
+    held in one partition, where Spark needs no shuffle; larger ones are
+    spread, and may be split on skew."""
     def oriented(e):
         return e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
 
     edges = materialize(oriented(links), "edges")
+    few = edges.count() <= FEW_LINKS
     state = None
     while True:
+        edges = edges.coalesce(1) if few else edges
         both = edges.union(edges.select("v", "u"))
+        both = both.coalesce(1) if few else both
         mid = _star(both, large=True)
         edges = materialize(_star(oriented(mid), large=False), "edges")
         row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -225,10 +225,9 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
         _may_reach(F.col("n"), F.col("room"), F.col("low"), F.col("room"), percent)).drop("low")
 
 
-def _open(members: DataFrame, links_: DataFrame) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, id, n, room, label, size) of the buckets that hold several
-    components."""
-    labels = connected(links_)
+    components. labels: (node, component)."""
     named = members.join(labels, F.col("id") == F.col("node"), "left").select(
         "bucket", "id", "n", "room", F.coalesce("component", "id").alias("label"))
     several = named.groupBy("bucket").agg(
@@ -257,7 +256,7 @@ def _across(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str = "doc_id",
-          text_col: str = "text", miss: float = MISS, hubs_at_once: int = 8) -> DataFrame:
+          text_col: str = "text", miss: float = MISS, hubs_at_once: int = 256) -> DataFrame:
     """Verified links (u, v) between representatives: enough of them that
     the components are those of all verified pairs of all buckets."""
     spark = docs.sparkSession
@@ -289,25 +288,30 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
     wanted = members.where(_may_reach(F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n"), percent)).select(
         F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
     found, failed = verified(wanted)
+    labels = materialize(connected(as_links(found)), "labels")
 
-    left = materialize(_open(members.drop("hub"), as_links(found)), "open")
+    left = materialize(_open(members.drop("hub"), labels), "open")
     little = left.where(F.col("size") <= SMALL)
     wanted = _across(little, little, percent)
     large = left.where(F.col("size") > SMALL).select(F.col("id").alias("doc_id"))
-    members = None
-    if not large.isEmpty():
-        members = prefix_buckets(sets_for(large, "large"), percent)
+    if large.isEmpty():
+        return as_links(found.union(verified(wanted)[0]))
+    members = prefix_buckets(sets_for(large, "large"), percent)
     while True:
+        members = materialize(_open(members, labels), "open")
+        hubs = materialize(_hubs(members, hubs_at_once), "hubs")
+        wanted = _across(hubs, members, percent) if wanted is None else wanted.union(
+            _across(hubs, members, percent)).distinct()
         good, bad = verified(wanted)
-        found, failed = found.union(good), failed.union(bad)
-        if members is None:
-            return as_links(found)
-        members = materialize(_open(members.select("bucket", "id", "n", "room"), as_links(found)), "open")
-        if members.isEmpty():
+        if not good.isEmpty():
+            found = found.union(good)
+            labels = materialize(connected(as_links(found)), "labels")
+        failed, wanted = failed.union(bad), None
+        members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti").select(
+            "bucket", "id", "n", "room")
+        # every hub has met its bucket; what is left may hold several components
+        if _open(members, labels).isEmpty():
             return as_links(found)
-        hubs = materialize(_hubs(members, hubs_at_once), "hubs")
-        wanted = _across(hubs, members, percent)
-        members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti")
         hubs_at_once *= 8
 
 
