@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from marquee.llm.common import materialize
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, pack) -> DataFrame:
     low = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     met = edges.join(low, "u")
     out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else \
-        met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low.select("u", F.col("m").alias("v")))
+        pack(met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            low.select("u", F.col("m").alias("v"))))
     return out.where("u != v").distinct()
 
 
@@ -40,13 +40,13 @@ def connected(links: DataFrame) -> DataFrame:
 
     edges = materialize(oriented(links), "edges")
     few = edges.count() <= FEW_LINKS
+    pack = (lambda e: e.coalesce(1)) if few else (lambda e: e)
+    edges = materialize(pack(edges), "edges") if few else edges
     state = None
     while True:
-        edges = edges.coalesce(1) if few else edges
-        both = edges.union(edges.select("v", "u"))
-        both = both.coalesce(1) if few else both
-        mid = _star(both, large=True)
-        edges = materialize(_star(oriented(mid), large=False), "edges")
+        both = pack(pack(edges).union(pack(edges).select("v", "u")))
+        mid = _star(both, large=True, pack=pack)
+        edges = materialize(_star(oriented(mid), large=False, pack=pack), "edges")
         row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(row) == state:
             break
