@@ -102,6 +102,39 @@ def _clean_csv_roundtrip(spark, sf):
     return read_clean(spark, path, fmt="csv")
 
 
+def _raw_csv_clean(spark, sf):
+    """IO1, IO4, IO9 in CSV: the raw catalogue written as CSV, read back as
+    text, cleaned, written as a CSV catalogue and read again."""
+    import uuid
+
+    from marquee.plans.job import preprocess
+    from marquee.plans.session import scratch_path
+    from marquee.sources.raw import read_raw
+    from marquee.sources.sinks import write_raw
+
+    base = scratch_path(spark, f"raw-csv-{uuid.uuid4().hex}")
+    write_raw(starview.raw_catalogue(spark, sf), f"{base}/raw", fmt="csv")
+    out, _ = preprocess(spark, read_raw(spark, f"{base}/raw", "csv"), f"{base}/clean", fmt="csv")
+    return out
+
+
+def _cache_growing_keys(spark, sf):
+    """IO5, IO8: two landings of the raw cache that differ in keys; the
+    cache reads back with the columns of both."""
+    import uuid
+
+    from marquee.plans.session import scratch_path
+    from marquee.sources.raw import read_raw
+    from marquee.sources.sinks import write_raw
+
+    path = scratch_path(spark, f"cache-keys-{uuid.uuid4().hex}")
+    raw = starview.raw_catalogue(spark, sf).select("id", "title", "status", "poster_path")
+    early = F.col("id").cast("bigint") % 2 == 0
+    write_raw(raw.where(early).drop("poster_path"), path)
+    write_raw(raw.where(~early | early.isNull()).drop("status"), path)
+    return read_raw(spark, path).select("id", "title", "status", "poster_path")
+
+
 def _raw_encode(spark, sf):
     return starview.raw_catalogue(spark, sf).select(
         "id", "title", "status", "budget", "revenue", "release_date", "popularity",
@@ -265,6 +298,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "typed_values": _typed_values,
         "clean_csv_roundtrip": _clean_csv_roundtrip,
         "clean_refresh": _clean_refresh,
+        "raw_csv_clean": _raw_csv_clean,
+        "cache_growing_keys": _cache_growing_keys,
         "raw_encode": _raw_encode,
         "required_keys_rejects": _required_keys_rejects,
         "ingest_accepted": _ingest_accepted,

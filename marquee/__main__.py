@@ -16,8 +16,10 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="marquee", description=__doc__.splitlines()[0])
     ap.add_argument("--raw", required=True, help="raw records (CSV / JSON lines / Parquet)")
     ap.add_argument("--raw-format", default="parquet", choices=["csv", "json", "parquet"])
+    ap.add_argument("--single-line", action="store_true",
+                    help="no CSV cell holds a line break: read each CSV file in many tasks")
     ap.add_argument("--out", required=True, help="output folder for the clean table and KPI tables")
-    ap.add_argument("--format", default="parquet", help="output format")
+    ap.add_argument("--format", default="parquet", choices=["csv", "parquet"], help="output format")
     ap.add_argument("--expected-rows", type=int, default=None)
     ap.add_argument("--as-of", default=None, help="date for the 'release after' check (default today)")
     ap.add_argument("--parallel", type=int, default=4, help="KPI tables written at once")
@@ -28,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--approx-median", action="store_true",
                     help="bounded-memory approximate medians instead of exact ones")
     args = ap.parse_args(argv)
+    if bool(args.refresh_from) != bool(args.changed):
+        ap.error("--refresh-from and --changed go together")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     from pyspark.sql import SparkSession
@@ -37,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     try:
-        raw = read_raw(spark, args.raw, args.raw_format)
+        raw = read_raw(spark, args.raw, args.raw_format, multiline=not args.single_line)
         changed = read_raw(spark, args.changed, args.raw_format) if args.changed else None
         paths = run(spark, raw, args.out, args.format, args.as_of, args.expected_rows, args.parallel,
                     args.approx_median, refresh_from=args.refresh_from, changed=changed)

@@ -25,6 +25,8 @@ def search_titles(df: DataFrame, genres: str | Sequence[str] | None = None,
     ``match='substring'`` (default) tests literal substrings of the
     pipe-joined text, ``match='token'`` whole items. A null column never
     matches. Sorted by ``sort_by`` with nulls last, ties by id."""
+    if match not in ("substring", "token"):
+        raise ValueError(f"match must be 'substring' or 'token', not {match!r}")
     test = contains_ci if match == "substring" else has_token_ci
     cond = None
     for column, value in (("genres", genres), ("cast", cast), ("director", director)):

@@ -14,22 +14,21 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
     """Raw cache, every column as text. CSV: header names (bound by name,
     never by position), RFC-4180 quoting with doubled quotes, no type
     inference, and ``multiLine`` so line breaks inside quoted text stay in
-    their cell. JSON lines: one column per key (``keys``, or the union of
-    keys found, like Spark's own JSON schema inference), scalars as their
-    text and nested values as their original JSON text. Parquet / JSON
-    lines are splittable and preferred."""
+    their cell (``multiline=False`` reads a CSV file in many tasks when no
+    cell holds a line break). JSON lines: one column per key of ``keys`` (the
+    declared raw keys when not given), scalars as their text and nested values
+    as their original JSON text; no pass over the data looks for keys.
+    Parquet caches may grow columns: all files' columns are read, null where
+    a file lacks one. Parquet / JSON lines are splittable and preferred."""
     if fmt == "csv":
         return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
                 .option("multiLine", multiline).option("inferSchema", False).csv(path))
     if fmt == "json":
         from marquee.sources.ingest import parse_records
+        from marquee.sources.starview import RAW_KEYS
 
-        lines = spark.read.text(path)
-        if keys is None:
-            found = lines.select(F.explode(F.json_object_keys("value")).alias("k")).distinct()
-            keys = sorted(r["k"] for r in found.collect())
-        return parse_records(lines, keys)
-    df = spark.read.format(fmt).load(path)
+        return parse_records(spark.read.text(path), keys or RAW_KEYS)
+    df = spark.read.option("mergeSchema", True).format(fmt).load(path)
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 

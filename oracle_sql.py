@@ -270,6 +270,14 @@ SELECT * FROM (VALUES
   ('null id', 'schema', (SELECT COUNT(*) FROM typed WHERE id IS NULL)),
   ('row count near expected', 'value', (SELECT greatest(abs(COUNT(*) - 18) - 2, 0) FROM typed))
 ) AS t("check", tier, bad_rows)"""
+    q["raw_csv_clean"] = CATALOGUE + "SELECT * FROM clean"
+    q["cache_growing_keys"] = f"WITH {_FACTS}" + """
+SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE CAST(k AS VARCHAR) END AS id,
+       CASE WHEN k % 53 = 7 THEN NULL ELSE p_name || ' #' || CAST(k AS VARCHAR) END AS title,
+       CASE WHEN k % 97 <> 13 AND k % 2 = 0 THEN
+            CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END END AS status,
+       CASE WHEN (k % 97 = 13 OR k % 2 <> 0) AND k % 37 <> 4 THEN '/p' || CAST(k AS VARCHAR) || '.jpg' END AS poster_path
+FROM copies"""
     q["raw_encode"] = f"WITH {_FACTS}" + """
 SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE CAST(k AS VARCHAR) END AS id,
        CASE WHEN k % 53 = 7 THEN NULL ELSE p_name || ' #' || CAST(k AS VARCHAR) END AS title,
