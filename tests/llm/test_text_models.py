@@ -89,6 +89,25 @@ def test_components_equal_brute_force(spark, size):
     assert sizes == sorted(len(shingle_set(t, size)) for _, t in rows)
 
 
+def test_large_buckets_are_closed_exactly(spark, monkeypatch):
+    """All open buckets go through the prefix filter, one hub a round."""
+    monkeypatch.setattr(neardup, "SMALL", 1)
+    kept = neardup.links.__defaults__
+    monkeypatch.setattr(neardup.links, "__defaults__", (*kept[:-1], 1))
+    rng = random.Random(8)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(50)]
+        for i in range(14):  # from equal to far, so that many pairs are near the threshold
+            w = list(base)
+            for _ in range(i % 7):
+                w[rng.randrange(50)] = rng.choice(["p", "q", "r"]) + str(rng.randrange(4))
+            rows.append((100 * g + i, " ".join(w)))
+    want = components(rows, 4, 80)
+    got = {r.doc_id: r.component_id for r in neardup.deduplicate(documents(spark, rows), size=4).collect()}
+    assert got == want
+
+
 def test_one_of_each_group_stays(spark):
     rows = _near_rows()
     docs = documents(spark, rows + rows[:1])
