@@ -182,9 +182,11 @@ def _stream_ingest(spark, sf):
 
 def _sql_rank_roi(spark, sf):
     """Highest ROI through the SQL surface: a temp view plus SQL functions."""
+    import uuid
+
     from marquee.functions.sql import register_catalogue
 
-    view = register_catalogue(_clean(spark, sf), "marquee_titles")
+    view = register_catalogue(_clean(spark, sf), f"marquee_titles_{uuid.uuid4().hex}")
     return spark.sql(f"""
         SELECT title, mq_roi(revenue_musd, budget_musd) AS roi, revenue_musd, budget_musd
         FROM {view}
