@@ -29,8 +29,8 @@ from marquee.llm.common import ascii_lower, bind, materialize
 WINDOW = 10
 # what separates words: every ASCII character but letters and digits
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# 2 million windows of 8-byte hash, length and short key: under 100 MB
-MAX_BROADCAST_WINDOWS = 2_000_000
+# (item, window) rows: hash, length, item and ten words, under 100 MB
+MAX_BROADCAST_WINDOWS = 500_000
 
 
 def words_of(text: Column) -> Column:
@@ -74,7 +74,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     windows = materialize(item_windows(benchmark), "windows")
     keys = windows.select("length", "hash").distinct()
     # at most ten lengths; the count bounds what may be broadcast
-    lengths = keys.groupBy("length").count().collect()
+    lengths = windows.groupBy("length").count().collect()
     small = sum(r["count"] for r in lengths) <= MAX_BROADCAST_WINDOWS
     wanted = sorted(r["length"] for r in lengths) or [WINDOW]
     doc = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"))
