@@ -178,8 +178,10 @@ def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         import numpy as np
         import pyarrow as pa
 
+        from marquee.llm.shingles import slices
+
         encoder = _encoder(shared.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             ids = [encoder.encode(t or "") for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64())]
             want = {}

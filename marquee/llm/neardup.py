@@ -79,10 +79,10 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
         import xxhash
 
-        from marquee.llm.shingles import shingle_sets
+        from marquee.llm.shingles import shingle_sets, slices
 
         masks, factors = _permutations()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             n, digests, sigs = [], [], []
             for s in shingle_sets(batch.column(1), size):
                 n.append(len(s))
@@ -156,9 +156,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: s
         import numpy as np
         import pyarrow as pa
 
-        from marquee.llm.shingles import shingle_sets
+        from marquee.llm.shingles import shingle_sets, slices
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             sets = list(shingle_sets(batch.column(1), size))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)

@@ -56,6 +56,17 @@ def text_bytes(column):
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
+def slices(batch, column: int, limit: int = 8 << 20):
+    """A record batch in parts of about ``limit`` text bytes, so that what
+    is made of a part stays small; a longer text is a part of its own."""
+    _, offsets = text_bytes(batch.column(column))
+    first, n = 0, batch.num_rows
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        yield batch.slice(first, min(last, n) - first)
+        first = last
+
+
 def chunks(offsets: np.ndarray):
     """Ranges of documents of about CHUNK bytes."""
     first, n = 0, len(offsets) - 1
