@@ -14,9 +14,10 @@ the task that made them.
 
 Defined results: null and word-less texts have no words and are clean; an
 empty benchmark leaves every document clean; equal items share windows and
-are all reported; repeated documents are judged one by one; rows that share
-a doc_id share their verdict; other columns are kept by ``remove_documents``
-and ``remove_spans`` and never read.
+are all reported; rows are told apart by doc_id and a hash of the text, so
+rows without doc_id, or of a repeated one, are judged each by its own text,
+and equal rows get equal results; other columns are kept by
+``remove_documents`` and ``remove_spans`` and never read.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def row_of(text: Column) -> Column:
+    """What tells rows of one doc_id apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _windows(words: Column, length: int) -> Column:
     """Hash of every window of ``length`` words, in order of its start."""
     return bind(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(
@@ -70,36 +76,46 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified hits: doc_id, start (word index), length, item_id."""
+    """Verified hits of every distinct (doc_id, text): doc_id, row (a hash of
+    the text), start (word index), length, item_id."""
     windows = materialize(item_windows(benchmark), "windows")
     keys = windows.select("length", "hash").distinct()
     # at most ten lengths; the count bounds what may be broadcast
     lengths = windows.groupBy("length").count().collect()
     small = sum(r["count"] for r in lengths) <= MAX_BROADCAST_WINDOWS
     wanted = sorted(r["length"] for r in lengths) or [WINDOW]
-    doc = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"))
+    doc = docs.select(F.col(id_col).alias("doc_id"), row_of(F.col(text_col)).alias("row"),
+                      words_of(F.col(text_col)).alias("w"))
     if len(wanted) == 1:
-        rows = doc.select("doc_id", F.lit(wanted[0]).alias("length"),
+        rows = doc.select("doc_id", "row", F.lit(wanted[0]).alias("length"),
                           F.posexplode(_windows(F.col("w"), wanted[0])).alias("start", "hash"))
     else:
-        rows = doc.select("doc_id", F.inline(F.concat(*[_placed(F.col("w"), n) for n in wanted])))
+        rows = doc.select("doc_id", "row", F.inline(F.concat(*[_placed(F.col("w"), n) for n in wanted])))
     met = rows.join(F.broadcast(keys) if small else keys, ["length", "hash"], "left_semi")
-    found = met.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "hash")).alias("at"))
+    # a set: no more than the windows of one text, however often it occurs
+    found = met.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "length", "hash")).alias("at"))
     # verify on the words themselves: only texts with a hit are read again
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    cut = found.join(texts, F.col("doc_id").eqNullSafe(F.col("__id"))).select(
-        "doc_id", "at", words_of(F.col("__text")).alias("w"))
-    spelled = cut.select("doc_id", F.inline(bind(F.col("w"), lambda w: F.transform("at", lambda a: F.struct(
+    texts = docs.select(F.col(id_col).alias("__id"), row_of(F.col(text_col)).alias("__row"),
+                        F.col(text_col).alias("__text"))
+    cut = found.join(texts, _same("doc_id", "row")).select("doc_id", "row", "at", words_of(F.col("__text")).alias("w"))
+    spelled = cut.select("doc_id", "row", F.inline(bind(F.col("w"), lambda w: F.transform("at", lambda a: F.struct(
         a["start"].alias("start"), a["length"].alias("length"), a["hash"].alias("hash"),
         F.array_join(F.slice(w, a["start"] + 1, a["length"]), " ").alias("gram"))))))
     return (spelled.join(F.broadcast(windows) if small else windows, ["length", "hash", "gram"])
-            .select("doc_id", "start", "length", "item_id"))
+            .select("doc_id", "row", "start", "length", "item_id").distinct())
+
+
+def _same(id_col: str, row: str | Column) -> Column:
+    """Whether a row is that of (__id, __row)."""
+    return F.col(id_col).eqNullSafe(F.col("__id")) & ((F.col(row) if isinstance(row, str) else row) == F.col("__row"))
 
 
-def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: words, hit words, items that occur, digest, verdict."""
+def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          rows: bool = False) -> DataFrame:
+    """Per document: words, hit words, items that occur, digest, verdict;
+    with ``rows`` also the hash of the text."""
     found = hits(docs, benchmark, id_col, text_col)
-    per = found.groupBy("doc_id").agg(
+    per = found.groupBy("doc_id", "row").agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("at"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     ends = F.transform("at", lambda a: F.struct(a["start"].alias("s"), (a["start"] + a["length"]).alias("e")))
@@ -108,11 +124,13 @@ def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         lambda acc, x: F.struct(F.greatest(acc["to"], x["e"]).alias("to"),
                                 (acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], acc["to"]))).alias("n")),
         lambda acc: acc["n"])
-    marked = per.select(F.col("doc_id").alias("__id"), covered.alias("hit"), "items")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
+    marked = per.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), covered.alias("hit"), "items")
+    base = docs.select(F.col(id_col).alias("doc_id"), row_of(F.col(text_col)).alias("row"),
+                       F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
     items = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    return base.join(marked, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select(
-        "doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
+    return base.join(marked, _same("doc_id", "row"), "left").select(
+        *(["doc_id", "row"] if rows else ["doc_id"]), "n_words",
+        F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (F.coalesce("hit", F.lit(0)) > 0).alias("contaminated"))
@@ -123,9 +141,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     """``docs`` without the documents whose hit words exceed ``max_share``
     of their words (0: any hit)."""
     bad = hits(docs, benchmark, id_col, text_col) if max_share <= 0 else judge(
-        docs, benchmark, id_col, text_col).where(F.col("n_hit") > max_share * F.col("n_words"))
-    return docs.join(bad.select(F.col("doc_id").alias("__bad")).distinct(),
-                     F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+        docs, benchmark, id_col, text_col, rows=True).where(F.col("n_hit") > max_share * F.col("n_words"))
+    return docs.join(bad.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct(),
+                     _same(id_col, row_of(F.col(text_col))), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -133,10 +151,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` with the text of every hit word replaced: each run of hit
     words, with the gaps inside it, becomes ``mark``. Clean texts are not
     touched."""
-    at = hits(docs, benchmark, id_col, text_col).groupBy(F.col("doc_id").alias("__id")).agg(
+    at = hits(docs, benchmark, id_col, text_col).groupBy(
+        F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(
         F.sort_array(F.collect_set(F.struct(
             F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")))).alias("__hit"))
-    joined = docs.join(at, F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    joined = docs.join(at, _same(id_col, row_of(F.col(text_col))), "left")
     # words and gaps in turn: gap 0, word 0, gap 1, word 1, ..., last gap
     text, raw = F.col(text_col).cast("string"), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     found = F.regexp_extract_all(text, F.lit(f"({raw})"), F.lit(1))
@@ -160,4 +179,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             between(w, g, F.element_at(runs, -1)["e"], F.size(w)), F.get(g, F.size(w)))))
 
     return joined.withColumn(text_col, F.when(F.col("__hit").isNull(), F.col(text_col)).otherwise(
-        bind(found, rebuilt))).drop("__id", "__hit")
+        bind(found, rebuilt))).drop("__id", "__row", "__hit")

@@ -181,6 +181,25 @@ def test_decontamination_matches_brute_force(spark):
     assert cut[40] == "x _, y _" and cut[41] == "a _" and cut[42] == "short items"
 
 
+def test_rows_without_id_or_of_a_repeated_id_are_judged_by_their_text(spark):
+    items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    leak, clean = "so the quick brown fox jumps over the lazy dog again yes", "nothing of it is in here"
+    rows = [(None, leak), (None, clean), (None, clean), (5, leak), (5, clean), (5, leak), (5, "SHORT item")]
+    docs = documents(spark, rows)
+    got = sorted((r.doc_id or -1, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
+                 for r in decontam.judge(docs, items).collect())
+    assert got == sorted((i or -1, *_hits(t)) for i, t in rows)
+    key = lambda r: (r[0] or -1, r[1])
+    want = sorted([(None, clean), (None, clean), (5, clean)], key=key)
+    for share in (0.0, 0.5):
+        kept = decontam.remove_documents(docs, items, max_share=share)
+        assert kept.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == want
+    cut = sorted(((r.doc_id, r.text) for r in decontam.remove_spans(docs, items, mark="_").collect()), key=key)
+    assert cut == sorted([(None, "so _ yes"), (None, clean), (None, clean), (5, "so _ yes"), (5, clean),
+                          (5, "so _ yes"), (5, "_")], key=key)
+
+
 def test_decontamination_of_empty_tables(spark):
     items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
     docs = documents(spark, LEAKS)
