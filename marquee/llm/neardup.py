@@ -4,7 +4,8 @@ confirmation, connected components.
 1. One pass makes for every text its set of distinct word shingles (64-bit
    hashes), its size, a 128-bit digest and a MinHash signature of
    ``ROWS * BANDS`` 16-bit values. Equal digests are equal sets and become
-   one class, represented by its smallest doc_id.
+   one class, represented by its first row: of smallest doc_id, rows without
+   doc_id last.
 2. Class representatives that agree on a band (``ROWS`` = 4 values) share
    a bucket. A pair at similarity 0.8 misses all 32 bands with probability
    (1 - 0.8**4)**32 = 5e-8.
@@ -27,16 +28,18 @@ confirmation, connected components.
 
 Defined results: texts without words, and null texts, have no shingles and
 are linked with nothing; a text of fewer words than a shingle has its whole
-sequence as one; rows that share a doc_id are one document with the links
-of all of them; a row without doc_id is kept when nothing equals it; an
-empty table gives an empty table; other columns are ignored.
+sequence as one; rows are judged by their texts, told apart by a 64-bit hash
+of doc_id and text, so an id with several texts may be in several
+components; a component is named by its smallest doc_id, or null where no
+row of it has one, and then one of its rows is kept; an empty table gives an
+empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import materialize, ship
@@ -69,9 +72,14 @@ def minhash(items, masks, factors):
     return ((low >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart: a hash of id and text."""
+    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest, sig: one bigint per band, the four 16-bit
-    values of the band side by side."""
+    """doc_id, key, n_shingles, digest, sig: one bigint per band, the four
+    16-bit values of the band side by side."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -82,20 +90,21 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
         from marquee.llm.shingles import shingle_sets, slices
 
         masks, factors = _permutations()
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             n, digests, sigs = [], [], []
-            for s in shingle_sets(batch.column(1), size):
+            for s in shingle_sets(batch.column(2), size):
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sigs.append(minhash(s, masks, factors).view(np.int64) if len(s) else np.zeros(BANDS, np.int64))
             flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(flat))],
-                ["doc_id", "n_shingles", "digest", "sig"])
+                ["doc_id", "key", "n_shingles", "digest", "sig"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n_shingles bigint, digest binary, sig array<bigint>")
+    return docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"),
+                       F.col(text_col).cast("string").alias("text")).mapInArrow(
+        run, f"doc_id {id_type}, key bigint, n_shingles bigint, digest binary, sig array<bigint>")
 
 
 def least_matches(percent: int, miss: float = MISS) -> list[int]:
@@ -315,39 +324,70 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
         hubs_at_once *= 8
 
 
+def _verdicts(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, miss: float) -> DataFrame:
+    """Per row: doc_id, key, at (of this row alone), n_shingles, and the
+    first row of its component as top: (no_id, doc_id, key, at). Rows without
+    shingles have no top."""
+    ship(docs.sparkSession)
+    # numbered once and stored: later reads see the same numbers
+    sigs = materialize(signatures(docs, size, id_col, text_col).withColumn(
+        "at", F.monotonically_increasing_id()), "signatures")
+    some = sigs.where("n_shingles > 0").withColumn("me", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "at"))
+    classes = materialize(some.groupBy("digest").agg(F.min("me").alias("first"), F.count("*").alias("n")).where(
+        "n > 1").select("digest", "first"), "classes")
+    own = some.join(classes, "digest", "left").withColumn("first", F.coalesce("first", "me"))
+    reps = materialize(own.where(F.col("first.at") == F.col("at")).select(
+        F.col("key").alias("doc_id"), "n_shingles", "sig", "me"), "representatives")
+    # a text is read once where several rows are equal in id and text
+    texts = docs.select(row_key(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    again = materialize(some.groupBy(F.col("key").alias("doc_id")).count().where("count > 1").select("doc_id"), "again")
+    if not again.isEmpty():
+        texts = texts.join(again, "doc_id", "left_anti").union(
+            texts.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    parts = materialize(connected(links(texts, reps, size, percent, "doc_id", "text", miss)), "components")
+    tops = parts.join(reps.select(F.col("doc_id").alias("node"), "me"), "node").groupBy("component").agg(
+        F.min("me").alias("linked"))
+    named = materialize(parts.join(tops, "component").select("node", "linked"), "tops")
+    judged = own.select("doc_id", "key", "at", "n_shingles", "first").join(
+        named, F.col("first.key") == F.col("node"), "left").select(
+        "doc_id", "key", "at", "n_shingles", F.coalesce("linked", "first").alias("top"))
+    bare = sigs.where("n_shingles = 0").select(
+        "doc_id", "key", "at", "n_shingles", F.lit(None).cast(judged.schema["top"].dataType).alias("top"))
+    return judged.union(bare)
+
+
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text", miss: float = MISS) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    ship(docs.sparkSession)
-    sigs = materialize(signatures(docs, size, id_col, text_col), "signatures")
-    some = sigs.where("n_shingles > 0")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where(
-        "n > 1").select("digest", "rep")
-    classes = materialize(classes, "classes")
-    own = some.where(F.col("doc_id").isNotNull()).join(classes, "digest", "left")
-    reps = own.where(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id"))).select(
-        "doc_id", "n_shingles", "sig")
-    reps = materialize(reps.dropDuplicates(), "representatives")
-    parts = materialize(connected(links(docs, reps, size, percent, id_col, text_col, miss).union(
-        # rows of one doc_id are one document even where their texts differ
-        own.where("rep IS NOT NULL").select(F.col("doc_id"), "rep").where("doc_id != rep"))), "components")
-    named = sigs.select("doc_id", "n_shingles").join(parts, F.col("doc_id") == F.col("node"), "left")
-    unnamed = F.coalesce("component", "doc_id")
-    return named.select("doc_id", "n_shingles", unnamed.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == unnamed, F.lit(True)).alias("kept"))
+    """Per row: doc_id, n_shingles, component_id, kept. Rows of the id that
+    names their component are kept, as is one row of a component without ids."""
+    rows = _verdicts(docs, size, percent, id_col, text_col, miss)
+    top = F.col("top")
+    return rows.select(
+        "doc_id", "n_shingles", F.when(top.isNull(), F.col("doc_id")).otherwise(top["doc_id"]).alias("component_id"),
+        F.when(top.isNull(), F.lit(True)).when(F.col("doc_id").isNull(), F.col("at") == top["at"])
+        .otherwise(F.col("doc_id") == top["doc_id"]).alias("kept"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one of smallest id.
-    Repeated rows of one id count once."""
-    verdicts = deduplicate(docs, size, percent, id_col, text_col)
-    gone = materialize(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
-    twice = verdicts.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(
-        F.col("doc_id").alias("__twice"))
+    """``docs`` with one row of each group of copies: the one of smallest id,
+    then of smallest hash of id and text; rows without id last. Other texts
+    of its id stay. Rows equal in id and text count once, as the smallest of
+    them over all columns; rows with neither id nor words all stay."""
+    rows = materialize(_verdicts(docs, size, percent, id_col, text_col, MISS), "verdicts")
+    last = rows.where(F.col("top").isNull() | (F.col("key") == F.col("top.key")))
+    gone = materialize(rows.where(F.col("key") != F.col("top.key")).select(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "gone")
+    same = (row_key(id_col, text_col) == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    left = docs.join(gone, same, "left_anti")
+    twice = last.where("doc_id IS NOT NULL OR top IS NOT NULL").groupBy(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__key")).count().where("count > 1").drop("count")
     twice = materialize(twice, "repeated")
     if twice.isEmpty():
         return left
-    again = left.join(twice, F.col(id_col) == F.col("__twice"), "left_semi").dropDuplicates([id_col])
-    return left.join(twice, F.col(id_col) == F.col("__twice"), "left_anti").unionByName(again)
+    names = [F.col(f"__one.`{c}`").alias(c) for c in docs.columns]
+    again = left.join(twice, same, "left_semi").groupBy(
+        F.col(id_col).alias("__id"), row_key(id_col, text_col).alias("__key")).agg(
+        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__one")).select(*names)
+    return left.join(twice, same, "left_anti").unionByName(again)

@@ -117,6 +117,27 @@ def test_one_of_each_group_stays(spark):
     assert neardup.keep_one(docs.where("false")).count() == 0
 
 
+def test_rows_without_id_and_texts_of_a_repeated_id(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    near, alone = long.replace("w59", "x"), " ".join(f"a{i}" for i in range(30))
+    other, third = " ".join(f"o{i}" for i in range(30)), " ".join(f"t{i}" for i in range(30))
+    rows = [(None, long), (None, near), (None, long), (5, near),      # copies of a row with an id
+            (None, alone), (None, alone), (None, alone + " more"),    # copies without any id
+            (7, other), (7, third), (7, third), (3, other),           # one text of id 7 is a copy, the other is not
+            (None, ""), (None, None), (9, "")]
+    docs = documents(spark, rows)
+    kept = sorted(((r.doc_id or -1, r.text or "") for r in neardup.keep_one(docs, size=5).collect()))
+    groups = [[x for x in kept if x[0] == -1 and x[1].startswith(alone)], [x for x in kept if not x[1].startswith(alone)]]
+    assert len(groups[0]) == 1
+    assert groups[1] == sorted([(5, near), (7, third), (3, other), (-1, ""), (-1, ""), (9, "")])
+    got = neardup.deduplicate(docs, size=5).collect()
+    assert len(got) == len(rows)
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None and r.n_shingles > 50] == [(5, False)] * 3
+    bare = [r for r in got if r.doc_id is None and 0 < r.n_shingles < 50]
+    assert [r.component_id for r in bare] == [None] * 3 and sum(r.kept for r in bare) == 1
+    assert sorted((r.component_id, r.kept) for r in got if r.doc_id == 7) == [(3, False), (7, True), (7, True)]
+
+
 def test_screening_bounds():
     least = neardup.least_matches(80)
     assert len(least) == 8 and least == sorted(least) and least[0] >= 1
