@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, neardup, pii, quality, rules, secrets, toxicity
+from marquee.llm import bpe, chat, decontam, langid, neardup, packing, pii, quality, rules, secrets, toxicity
 from marquee.llm.common import table
 
 
@@ -74,6 +74,13 @@ def op7_minhash_dedup(spark, sf_dir):
     return neardup.deduplicate(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op13_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                        outputs=("ids_crc32",))
+
+
 def queries():
     return {
         "op1_language_id": op1_language_id,
@@ -86,4 +93,5 @@ def queries():
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,
         "op10_chat_formatting": op10_chat_formatting,
+        "op13_packing": op13_packing,
     }

@@ -116,6 +116,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _BLANK
     return words, first, cut
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans [start, end) of ``raw``; A-Z and a-z count
+    as equal."""
+    up, down = _Powers.of(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * up[:len(raw)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingles(words: np.ndarray, first: np.ndarray, size: int):
     """Hashes of ``size`` consecutive words, and the first shingle of each
     document. A document of fewer words, but not none, has one shingle: its
