@@ -51,8 +51,36 @@ FROM o GROUP BY conv_id
 """
 
 
+_PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array({_LOWER.format(t='text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents)),
+grams AS (SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase
+          FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s
+                FROM (SELECT lang, w, unnest([1, 2, 3, 4]) AS m FROM pieces))),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 30),
+cuts AS (SELECT *, array_to_string(w[1:k], ' ') AS fst, array_to_string(w[k + 1:m], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (SELECT c.lang, c.m, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+                  ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.fst JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(w[s:s + j - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, m - j + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS j FROM cand))
+           GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best b LEFT JOIN inner_ i USING (lang, phrase) JOIN total t ON t.lang = b.lang
+WHERE coalesce(longer, 0)::HUGEINT * 100 < a::HUGEINT * 80
+QUALIFY rank <= 2000
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op9_decontamination": _DECONTAMINATION,
         "op10_chat_formatting": _CHAT,
+        "op11_phrase_collocations": _PHRASES,
     }

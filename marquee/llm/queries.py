@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, neardup, packing, pii, quality, rules, secrets, toxicity
+from marquee.llm import bpe, chat, decontam, langid, neardup, packing, phrases, pii, quality, rules, secrets, toxicity
 from marquee.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op7_minhash_dedup(spark, sf_dir):
     return neardup.deduplicate(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -93,5 +97,6 @@ def queries():
         "op8_quality_rules": op8_quality_rules,
         "op9_decontamination": op9_decontamination,
         "op10_chat_formatting": op10_chat_formatting,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op13_packing": op13_packing,
     }
