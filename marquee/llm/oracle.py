@@ -78,9 +78,44 @@ QUALIFY rank <= 2000
 """
 
 
+def _share(count: str, total: str) -> str:
+    return f"(1 + (1000000000::HUGEINT * ({count} + 2)) // ({total} + 2 * v))"
+
+
+def _apart(p: str, q: str) -> str:
+    return f"((({p} - {q}) * ({p} - {q})) // ({p} + {q}))"
+
+
+_DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER.format(t='text')}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+occ AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM occ JOIN kept USING (lang, term) GROUP BY ALL),
+m AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, v FROM g JOIN kept ON kept.lang = g.lang
+      JOIN vs ON vs.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT *, {_share('n', 'sum(n) OVER (PARTITION BY lang, source)')} AS p,
+             {_share('sum(n) OVER (PARTITION BY lang, term)', 'sum(n) OVER (PARTITION BY lang)')} AS q FROM m),
+pairs AS (SELECT x.lang, x.source, y.source AS item,
+                 coalesce((SELECT sum({_apart('a.p', 'b.p')}) FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term
+                           WHERE a.lang = x.lang AND a.source = x.source AND b.source = y.source), 0)::BIGINT AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source),
+terms AS (SELECT lang, source, term AS item, {_apart('p', 'q')}::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms)
+WHERE rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op9_decontamination": _DECONTAMINATION,
         "op10_chat_formatting": _CHAT,
         "op11_phrase_collocations": _PHRASES,
+        "op12_source_divergence": _DIVERGENCE,
     }

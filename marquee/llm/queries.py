@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, neardup, packing, phrases, pii, quality, rules, secrets, toxicity
+from marquee.llm import bpe, chat, decontam, divergence, langid, neardup, packing, phrases, pii, quality, rules, secrets, toxicity
 from marquee.llm.common import table
 
 
@@ -78,6 +78,10 @@ def op11_phrase_collocations(spark, sf_dir):
     return phrases.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -98,5 +102,6 @@ def queries():
         "op9_decontamination": op9_decontamination,
         "op10_chat_formatting": op10_chat_formatting,
         "op11_phrase_collocations": op11_phrase_collocations,
+        "op12_source_divergence": op12_source_divergence,
         "op13_packing": op13_packing,
     }
