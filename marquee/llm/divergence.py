@@ -40,7 +40,7 @@ LEAST = 10
 TERMS = 10
 SCALE = 1_000_000_000
 SOURCES = 1024
-BLOCK = 8 << 20
+BLOCK = 3 << 20
 
 
 def collapse(docs: DataFrame, groups: int, lang_col: str = "lang", source_col: str = "source",
