@@ -251,6 +251,13 @@ def _impute_budget(spark, sf):
         .select("id", "budget_musd", "budget_musd_imputed")
 
 
+def _feed_sample_merged(spark, sf):
+    """Samples of three disjoint parts of the catalogue, merged."""
+    clean = _clean(spark, sf)
+    parts = [feeds.sampled(clean.where(F.col("id") % 3 == i), "budget_musd", "revenue_musd", 20) for i in range(3)]
+    return feeds.merge_samples(parts, 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
@@ -264,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_rating_high": _on_clean(ranking.highest_rated),
         "rank_rating_low": _on_clean(ranking.lowest_rated),
         "rank_popularity": _on_clean(ranking.most_popular),
+        "rank_all": _on_clean(ranking.rank_all),
         "sql_rank_roi": _sql_rank_roi,
         "rank_within_collection": lambda s, sf: ranking.top_per_group(
             _clean(s, sf), "belongs_to_collection", "revenue_musd")
@@ -288,6 +296,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_revenue_budget": _on_clean(feeds.revenue_vs_budget),
         "feed_breakeven": _on_clean(feeds.breakeven_end),
         "feed_rating_popularity": _on_clean(feeds.popularity_vs_rating),
+        "feed_revenue_budget_sampled": lambda s, sf: feeds.sampled(_clean(s, sf), "budget_musd", "revenue_musd", 20),
+        "feed_rating_popularity_sampled": lambda s, sf: feeds.sampled(_clean(s, sf), "vote_average", "popularity", 20),
+        "feed_sample_merged": _feed_sample_merged,
         "feed_membership_bars": _on_clean(feeds.membership_bars),
         "feed_revenue_budget_binned": lambda s, sf: feeds.binned(
             feeds.revenue_vs_budget(_clean(s, sf)), "budget_musd", "revenue_musd", 10.0),

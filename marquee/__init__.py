@@ -10,7 +10,15 @@ Typical use::
 """
 
 from marquee.operators.clean import clean_catalogue, clean_rows, dedupe_by_id, fix_types, stage_counts
-from marquee.operators.feeds import all_feeds, breakeven_end, popularity_vs_rating, revenue_vs_budget, write_feeds
+from marquee.operators.feeds import (
+    all_feeds,
+    breakeven_end,
+    merge_samples,
+    popularity_vs_rating,
+    revenue_vs_budget,
+    sampled,
+    write_feeds,
+)
 from marquee.operators.groups import (
     director_summary,
     franchise_summary,
@@ -35,6 +43,7 @@ from marquee.operators.ranking import (
     lowest_roi,
     most_popular,
     most_voted,
+    rank_all,
     rank_titles,
     top_per_group,
     with_rank,
@@ -52,9 +61,9 @@ __all__ = [
     "clean_rows", "dedupe_by_id", "director_summary", "encode_raw", "fix_types", "flatten",
     "franchise_summary", "franchise_vs_standalone", "gap_fill", "group_median", "highest_budget",
     "highest_profit", "highest_rated", "highest_revenue", "highest_roi", "impute_from_similar",
-    "ingest", "ingest_landing", "lowest_profit", "lowest_rated", "lowest_roi", "most_popular",
+    "ingest", "ingest_landing", "lowest_profit", "lowest_rated", "lowest_roi", "merge_samples", "most_popular",
     "most_voted", "parse_nested", "popularity_vs_rating", "preprocess", "quality_report",
-    "rank_titles", "read_clean", "read_raw", "revenue_vs_budget", "roi_by_genre", "run",
+    "rank_all", "rank_titles", "read_clean", "read_raw", "revenue_vs_budget", "roi_by_genre", "run", "sampled",
     "search_scifi_action_bruce_willis", "search_thurman_tarantino", "search_titles",
     "stage_counts", "top_per_group", "value_counts", "with_rank", "write_clean", "write_feeds",
     "write_raw", "yearly_box_office",

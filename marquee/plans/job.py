@@ -282,16 +282,22 @@ def checked_marker(out_path: str) -> str:
     return f"{out_path.rstrip('/')}/_checked"
 
 
-def kpi_tables(clean: DataFrame, approx_median: bool = False) -> dict[str, DataFrame]:
+def kpi_tables(clean: DataFrame, approx_median: bool = False, ranked: DataFrame | None = None,
+               points_per_year: int | None = None) -> dict[str, DataFrame]:
     """Every report of the catalogue, by name. ``approx_median`` trades the
-    exact medians for bounded-memory ``percentile_approx``."""
-    out = {name: fn(clean) for name, fn in ranking.ALL_RANKINGS.items()}
+    exact medians for bounded-memory ``percentile_approx``; ``ranked``
+    (``rank_all`` of the catalogue, stored) serves the ten rankings without
+    another scan; ``points_per_year`` samples the point feeds."""
+    if ranked is None:
+        out = {name: fn(clean) for name, fn in ranking.ALL_RANKINGS.items()}
+    else:
+        out = {name: ranking.ranking_of(ranked, name) for name in ranking.RANKINGS}
     out["search_scifi_action_bruce_willis"] = search.search_scifi_action_bruce_willis(clean)
     out["search_thurman_tarantino"] = search.search_thurman_tarantino(clean)
     out["franchise_vs_standalone"] = groups.franchise_vs_standalone(clean, approx=approx_median)
     out["franchise_summary"] = groups.franchise_summary(clean)
     out["director_summary"] = groups.director_summary(clean)
-    for name, feed in feeds.all_feeds(clean, approx_median=approx_median).items():
+    for name, feed in feeds.all_feeds(clean, approx_median, points_per_year).items():
         out[f"feed_{name}"] = feed
     out["feed_breakeven"] = feeds.breakeven_end(clean)
     return out
@@ -300,12 +306,14 @@ def kpi_tables(clean: DataFrame, approx_median: bool = False) -> dict[str, DataF
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
         as_of: str | _dt.date | None = None, expected_rows: int | None = None,
         parallel: int = 4, approx_median: bool = False,
-        refresh_from: str | None = None, changed: DataFrame | None = None) -> dict[str, str]:
+        refresh_from: str | None = None, changed: DataFrame | None = None,
+        points_per_year: int | None = None) -> dict[str, str]:
     """Whole job: clean once, then write every KPI table under
     ``out_dir``. With ``refresh_from`` (an earlier clean output) and
     ``changed`` (ids of the new raw records) only the touched ids are
-    cleaned again (``refresh_clean``). The KPI writes are independent reads of the clean table;
-    up to ``parallel`` are submitted at once and Spark's scheduler shares
+    cleaned again (``refresh_clean``). The ten rankings come from one scan,
+    written as ``rankings``. The KPI writes are independent reads of the
+    clean table; up to ``parallel`` are submitted at once and Spark's scheduler shares
     the cluster between them. A failure names the stage it happened in."""
     import queue
 
@@ -322,7 +330,10 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
             clean, _ = preprocess(spark, raw, f"{base}/clean", fmt, as_of, expected_rows)
         stage = "analysis"
         paths = {"clean": f"{base}/clean", "metrics": checked_marker(f"{base}/clean")}
-        tables = kpi_tables(clean, approx_median)
+        ranked = f"{base}/rankings"
+        ranking.rank_all(clean).write.mode("overwrite").parquet(ranked)
+        paths["rankings"] = ranked
+        tables = kpi_tables(clean, approx_median, spark.read.parquet(ranked), points_per_year)
 
         todo: queue.Queue = queue.Queue()
         for name in tables:
@@ -352,7 +363,7 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, fmt: str = "parquet",
             t.join()
         if failures:
             raise failures[0]
-        return {"clean": paths["clean"], "metrics": paths["metrics"],
+        return {"clean": paths["clean"], "metrics": paths["metrics"], "rankings": paths["rankings"],
                 **{n: paths[n] for n in tables}}
     except StageError:
         raise

@@ -140,6 +140,17 @@ def statements() -> dict[str, str]:
     q["rank_rating_low"] = _rank("vote_average", True, ["vote_count"], "vote_count >= 10")
     q["rank_popularity"] = _rank("popularity", False, [])
     q["sql_rank_roi"] = q["rank_roi_high"]
+    shown = "title, revenue_musd, budget_musd, vote_count, popularity, profit_musd, roi, vote_average"
+    reports = {"highest_revenue": ("revenue_musd DESC", ""), "highest_budget": ("budget_musd DESC", ""),
+               "highest_profit": ("profit_musd DESC", ""), "lowest_profit": ("profit_musd", ""),
+               "highest_roi": ("roi DESC", "budget_musd >= 10"), "lowest_roi": ("roi", "budget_musd >= 10"),
+               "most_voted": ("vote_count DESC", ""), "most_popular": ("popularity DESC", ""),
+               "highest_rated": ("vote_average DESC", "vote_count >= 10"),
+               "lowest_rated": ("vote_average", "vote_count >= 10")}
+    q["rank_all"] = CATALOGUE + " UNION ALL ".join(
+        f"(SELECT '{name}' AS ranking, CAST(row_number() OVER (ORDER BY {by}, id) AS INTEGER) AS rank, id, {shown} "
+        f"FROM m WHERE {by.split()[0]} IS NOT NULL {'AND ' + cond if cond else ''} ORDER BY {by}, id LIMIT 5)"
+        for name, (by, cond) in reports.items())
     q["rank_within_collection"] = CATALOGUE + """
 SELECT belongs_to_collection, title, revenue_musd, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY belongs_to_collection
@@ -217,6 +228,15 @@ ON c.belongs_to_collection = g.belongs_to_collection"""
     q["feed_revenue_budget"] = CATALOGUE + """
 SELECT budget_musd, revenue_musd FROM clean
 WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL"""
+    for name, x, y in (("feed_revenue_budget_sampled", "budget_musd", "revenue_musd"),
+                       ("feed_rating_popularity_sampled", "vote_average", "popularity")):
+        q[name] = CATALOGUE + f"""
+SELECT year, id, {x}, {y}, stratum_rows FROM (
+  SELECT *, count(*) OVER (PARTITION BY year) AS stratum_rows,
+         row_number() OVER (PARTITION BY year ORDER BY md5(CAST(id AS VARCHAR)), id) AS k
+  FROM (SELECT *, CAST(year(release_date) AS INTEGER) AS year FROM clean WHERE {x} IS NOT NULL AND {y} IS NOT NULL))
+WHERE k <= 20"""
+    q["feed_sample_merged"] = q["feed_revenue_budget_sampled"]
     q["feed_breakeven"] = CATALOGUE + """
 SELECT greatest(MAX(budget_musd), MAX(revenue_musd)) AS breakeven_end FROM clean
 WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL"""
@@ -259,13 +279,13 @@ SELECT COUNT(*) AS "rows",
 FROM typed"""
     q["quality_report"] = CATALOGUE + """
 SELECT * FROM (VALUES
-  ('budget_musd negative', 'value', (SELECT COUNT(*) FROM typed WHERE budget_musd < 0)),
-  ('revenue_musd negative', 'value', (SELECT COUNT(*) FROM typed WHERE revenue_musd < 0)),
-  ('runtime <= 0', 'value', (SELECT COUNT(*) FROM typed WHERE runtime <= 0)),
-  ('vote_average outside [0, 10]', 'value', (SELECT COUNT(*) FROM typed WHERE vote_average < 0 OR vote_average > 10)),
-  ('vote_average set with vote_count 0', 'value', (SELECT COUNT(*) FROM typed WHERE vote_count = 0 AND vote_average IS NOT NULL)),
-  ('release_date after as_of', 'value', (SELECT COUNT(*) FROM typed WHERE release_date > DATE '2025-12-31')),
-  ('release_date before 1888-01-01', 'value', (SELECT COUNT(*) FROM typed WHERE release_date < DATE '1888-01-01')),
+  ('rating_scale', 'value', (SELECT COUNT(*) FROM typed WHERE vote_average < 0 OR vote_average > 10)),
+  ('rating_needs_votes', 'value', (SELECT COUNT(*) FROM typed WHERE vote_count = 0 AND vote_average IS NOT NULL)),
+  ('release_too_early', 'value', (SELECT COUNT(*) FROM typed WHERE release_date < DATE '1888-01-01')),
+  ('release_in_future', 'value', (SELECT COUNT(*) FROM typed WHERE release_date > DATE '2025-12-31')),
+  ('running_time', 'value', (SELECT COUNT(*) FROM typed WHERE runtime <= 0)),
+  ('budget_sign', 'value', (SELECT COUNT(*) FROM typed WHERE budget_musd < 0)),
+  ('revenue_sign', 'value', (SELECT COUNT(*) FROM typed WHERE revenue_musd < 0)),
   ('duplicate id', 'schema', (SELECT COUNT(id) - COUNT(DISTINCT id) FROM typed)),
   ('null id', 'schema', (SELECT COUNT(*) FROM typed WHERE id IS NULL)),
   ('row count near expected', 'value', (SELECT greatest(abs(COUNT(*) - 18) - 2, 0) FROM typed))

@@ -115,7 +115,7 @@ def test_value_checks_count_and_keep(spark):
     df = _typed(spark, odd)
     found = {r["check"]: r["bad_rows"] for r in quality.quality_report(df, as_of="2020-01-01").collect()}
     value = [n for n in found if n in quality.value_checks()]
-    assert {found[n] for n in value if n != "vote_average set with vote_count 0"} == {1}
+    assert {found[n] for n in value if n != "rating_needs_votes"} == {1}
     assert clean.clean_rows(df).count() == len(odd)
 
 
