@@ -258,6 +258,94 @@ def _feed_sample_merged(spark, sf):
     return feeds.merge_samples(parts, 20)
 
 
+def _moved_lines(spark, sf):
+    """Landing lines whose shape has moved: budgets as JSON numbers on every
+    fifth id, a new nested key on every seventh."""
+    lines = _landing_lines(spark, sf)
+    k = F.get_json_object("value", "$.id").try_cast("bigint")
+    text = F.when(k % 5 == 0, F.regexp_replace("value", r'"budget":"(\d+)"', r'"budget":$1')).otherwise(F.col("value"))
+    studio = F.concat(text.substr(F.lit(1), F.length(text) - 1), F.lit(',"studio":{"founded":'),
+                      (F.lit(1900) + k % 100).cast("string"), F.lit(',"names":["x",null]}}'))
+    return lines.select(F.when(k % 7 == 0, studio).otherwise(text).alias("value"), k.alias("k"),
+                        F.when(F.get_json_object("value", "$.release_date") < "2000-01-01", F.lit("early"))
+                        .otherwise(F.lit("late")).alias("landing"))
+
+
+def _schema_drift(spark, sf):
+    """IO6, N1-N5: per landing, the paths whose key is unknown or whose type
+    has changed; some records are cut off, and some taglines are lists."""
+    from marquee.sources import drift
+
+    lines = _moved_lines(spark, sf)
+    text = F.when(F.col("k") % 6 == 1, F.regexp_replace("value", r'"tagline":"([^"]*)"', r'"tagline":["$1"]'))
+    text = F.when(F.col("k") % 41 == 0, F.substring("value", 1, 20)).otherwise(F.coalesce(text, F.col("value")))
+    records = drift.as_variant(lines.select("landing", text.alias("value")))
+    shaped = drift.shapes(records, by=["landing"])
+    expected = {**drift.expected_types(starview.RAW_KEYS), "$.origin_country": ["ARRAY"]}
+    return drift.drift(shaped, expected, starview.RAW_KEYS).where(
+        F.col("status").isin("unknown key", "type changed"))
+
+
+def _clean_from_variant(spark, sf):
+    """The clean catalogue from records read as VARIANT, though numbers and
+    keys have moved."""
+    from marquee.operators.clean import clean_catalogue
+    from marquee.sources import drift
+
+    return clean_catalogue(drift.raw_from_variant(drift.as_variant(_moved_lines(spark, sf)), starview.RAW_KEYS))
+
+
+def _stream_keyed_ingest(spark, sf):
+    """IO7, IO8 on an unbounded stream: three drops of landing files with
+    repeated and late records, each taken in from the checkpoint the one
+    before left. Event time: the release date; 1,000 days of delay."""
+    import uuid
+
+    from marquee.plans.session import scratch_path
+    from marquee.streaming import keyed
+
+    base = scratch_path(spark, f"stream-keyed-{uuid.uuid4().hex}")
+    lines = _landing_lines(spark, sf)
+    k = F.get_json_object("value", "$.id").try_cast("bigint")
+    for i, drop in enumerate((k % 3 == 0, (k % 3 == 1) | (k % 6 == 0), (k % 3 == 2) | (k % 12 == 0))):
+        lines.where(drop).write.text(f"{base}/landing/drop-{i}")
+        keyed.ingest_keyed(spark, f"{base}/landing/*", f"{base}/out", "release_date", "1000 days")
+    loaded = keyed.keyed_cache(spark, f"{base}/out", starview.RAW_KEYS).select("id", F.lit("loaded").alias("outcome"))
+    late = keyed.late_records(spark, f"{base}/out").select(
+        F.get_json_object("value", "$.id").alias("id"), F.lit("late").alias("outcome"))
+    bad = keyed.rejected_records(spark, f"{base}/out").select(
+        F.get_json_object("record", "$.id").alias("id"), F.concat(F.lit("lacks "), "missing").alias("outcome"))
+    return loaded.unionByName(late).unionByName(bad)
+
+
+def _kpi_refresh(spark, sf):
+    """A1-A5 kept up to date: reports built from an earlier catalogue (fewer
+    titles, other revenues, titles that are gone by now), then refreshed with
+    the titles that changed. Long form: report, key, column, value."""
+    import uuid
+
+    from marquee.plans import kpi_state
+    from marquee.plans.session import scratch_path
+
+    base = scratch_path(spark, f"kpi-refresh-{uuid.uuid4().hex}")
+    _clean(spark, sf).write.parquet(f"{base}/clean")
+    clean = spark.read.parquet(f"{base}/clean")
+    early = clean.where("id % 4 != 0").withColumn("revenue_musd", F.when(
+        F.col("id") % 5 == 0, F.col("revenue_musd") * 1.5 + 1e-7).otherwise(F.col("revenue_musd")))
+    gone = clean.where("id % 9 = 0").withColumn("id", -F.col("id")).withColumn("director", F.lit("NOBODY|NATION_1"))
+    kpi_state.build_kpis(spark, early.unionByName(gone), f"{base}/kpis")
+    touched = clean.where("id % 4 = 0 OR id % 5 = 0").select("id").union(gone.select("id"))
+    kpi_state.refresh_kpis(spark, f"{base}/kpis", touched, clean.where("id % 4 = 0 OR id % 5 = 0"))
+    out = None
+    for name, report in kpi_state.kpi_reports(spark, f"{base}/kpis").items():
+        key, *columns = report.columns
+        rows = report.select(F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("x")) \
+            .select("report", "key", "x.column", "x.value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
@@ -320,6 +408,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cache_gap_report": _cache_gap_report,
         "cache_full_hit": _cache_full_hit,
         "stream_ingest": _stream_ingest,
+        "stream_keyed_ingest": _stream_keyed_ingest,
+        "schema_drift": _schema_drift,
+        "clean_from_variant": _clean_from_variant,
+        "kpi_refresh": _kpi_refresh,
     }
     if _LLM is not None:
         q |= _LLM.queries()

@@ -48,6 +48,13 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     if approx:
         return named.groupBy(*keys).agg(F.percentile_approx("_v", 0.5, accuracy).alias(alias))
     counted = named.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    return median_of_counts(counted, keys, alias)
+
+
+def median_of_counts(counted: DataFrame, keys: Sequence[str], alias: str = "median") -> DataFrame:
+    """Exact median per group of values that come with their counts
+    (``_v``, ``_w``): steps 2 to 4 of ``group_median``."""
+    keys = list(keys)
     ranged = counted.withColumn("_b0", _coarse(F.col("_v"))).withColumn("_b1", _fine(F.col("_v"), F.col("_b0")))
 
     total = Window.partitionBy(*keys)

@@ -335,6 +335,51 @@ accepted AS (
          CASE WHEN k % 11 = 3 THEN 'In Production' ELSE 'Released' END AS status
   FROM copies WHERE NOT (k % 97 = 13 OR k % 53 = 7 OR k % 37 = 4))
 SELECT id, title, status FROM accepted"""
+    q["clean_from_variant"] = CATALOGUE + "SELECT * FROM clean"
+    q["schema_drift"] = f"WITH {_FACTS}" + """,
+recs AS (
+  SELECT k, k % 37 = 4 AS sparse, k % 41 = 0 AS cut, k % 31 IN (3, 4) AS odd_tagline, k % 101 = 5 AS bad_budget,
+         CASE WHEN k % 37 <> 4 AND k % 89 <> 1 AND first_ship + CAST(k % 2500 AS INTEGER) < DATE '2000-01-01'
+              THEN 'early' ELSE 'late' END AS landing
+  FROM copies WHERE k % 97 <> 13),
+found AS (
+  SELECT landing, '$' AS path, 'MALFORMED' AS type, 'type changed' AS status FROM recs WHERE cut
+  UNION ALL SELECT landing, '$.budget', 'BIGINT', 'type changed' FROM recs
+            WHERE NOT cut AND k % 5 = 0 AND NOT sparse AND NOT bad_budget
+  UNION ALL SELECT landing, '$.tagline', 'ARRAY', 'type changed' FROM recs WHERE NOT cut AND k % 6 = 1 AND NOT sparse
+  UNION ALL SELECT landing, p.path, p.type, 'unknown key' FROM recs, (VALUES
+    ('$.studio', 'OBJECT'), ('$.studio.founded', 'BIGINT'), ('$.studio.names', 'ARRAY'),
+    ('$.studio.names[*]', 'STRING'), ('$.studio.names[*]', 'VOID')) AS p(path, type)
+    WHERE NOT cut AND k % 7 = 0)
+SELECT landing, path, type, COUNT(*) AS "rows", status FROM found GROUP BY ALL"""
+    q["stream_keyed_ingest"] = f"WITH {_FACTS}" + """,
+recs AS (
+  SELECT k, k % 53 = 7 AS untitled, k % 37 = 4 AS sparse, k % 89 = 1 AS undated,
+         first_ship + CAST(k % 2500 AS INTEGER) AS e FROM copies WHERE k % 97 <> 13),
+drops AS (
+  SELECT 1 AS d, * FROM recs WHERE k % 3 = 0
+  UNION ALL SELECT 2, * FROM recs WHERE k % 3 = 1 OR k % 6 = 0
+  UNION ALL SELECT 3, * FROM recs WHERE k % 3 = 2 OR k % 12 = 0),
+good AS (SELECT * FROM drops WHERE NOT (untitled OR sparse OR undated)),
+marks AS (SELECT s.d, max(g.e) - INTERVAL 1000 DAY AS low FROM (VALUES (1), (2), (3)) AS s(d)
+          LEFT JOIN good g ON g.d < s.d GROUP BY s.d),
+judged AS (SELECT k, coalesce(e <= low, false) AS late FROM good JOIN marks USING (d))
+SELECT DISTINCT CAST(k AS VARCHAR) AS id, 'loaded' AS outcome FROM judged WHERE NOT late
+UNION ALL SELECT CAST(k AS VARCHAR), 'late' FROM judged WHERE late
+UNION ALL SELECT CAST(k AS VARCHAR), 'lacks ' || array_to_string(list_filter([
+         CASE WHEN untitled THEN 'title' END,
+         CASE WHEN sparse THEN 'budget' END, CASE WHEN sparse THEN 'revenue' END, CASE WHEN sparse THEN 'genres' END,
+         CASE WHEN sparse THEN 'credits' END,
+         CASE WHEN sparse OR undated THEN 'release_date' END], lambda x: x IS NOT NULL), '|')
+FROM drops WHERE untitled OR sparse OR undated"""
+    reports = {"membership": ("group_membership", "is_franchise", "mean_revenue median_roi mean_budget mean_popularity mean_rating"),
+               "collection": ("group_collection", "belongs_to_collection",
+                              "num_movies total_budget mean_budget total_revenue mean_revenue mean_rating"),
+               "director": ("group_director", "director", "num_movies total_revenue mean_rating"),
+               "genre": ("group_genre_roi", "genres", "median_roi"), "year": ("group_year", "year", "total_revenue")}
+    q["kpi_refresh"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value "
+        f"FROM ({q[of]})" for name, (of, key, columns) in reports.items() for c in columns.split())
     q["cache_full_hit"] = f"WITH {_FACTS}" + """
 SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE CAST(k AS VARCHAR) END AS id,
        CASE WHEN k % 53 = 7 THEN NULL ELSE p_name || ' #' || CAST(k AS VARCHAR) END AS title,
