@@ -20,7 +20,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import feeds, groups, quality, ranking, search
+from marquee.operators import feeds, groups, lattice, quality, ranking, search, trends, variants
 from marquee.operators.clean import dedupe_by_id, drop_missing_keys, fix_types, stage_counts
 from marquee.operators.nested import flatten, parse_health, parse_nested
 from marquee.sources import ingest, starview
@@ -346,6 +346,65 @@ def _kpi_refresh(spark, sf):
     return out
 
 
+def _spelt(spark, sf):
+    """Companies of the clean catalogue, spelt in six ways by the id."""
+    name, k = F.col("production_companies"), F.col("id") % 10
+    ways = (F.when(k == 1, F.lower(name)).when(k == 2, F.concat(name, F.lit(" ")))
+            .when(k == 3, F.replace(name, F.lit("#"), F.lit(" "))).when(k == 4, F.replace(name, F.lit("#"), F.lit("")))
+            .when(k == 5, F.concat(F.substring(name, 7, 9), F.lit(", Brand"))).otherwise(name))
+    return _clean(spark, sf).withColumn("production_companies", ways)
+
+
+def _named_searches(spark, sf):
+    """S1 and S2 on a catalogue that holds what they look for: genres, cast
+    and directors are put in front of a title's own, by its id."""
+    def put(text, column, n, rest):
+        return F.when(F.col("id") % n == rest, F.concat_ws("|", F.lit(text), F.col(column))).otherwise(F.col(column))
+
+    clean = _clean(spark, sf).withColumns({
+        "genres": put("Action|science fiction", "genres", 4, 0),
+        "director": put("Quentin Tarantino", "director", 3, 1)}).withColumn(
+        "cast", put("BRUCE WILLIS", "cast", 3, 0)).withColumn("cast", put("Uma Thurman", "cast", 6, 1))
+    one = search.search_scifi_action_bruce_willis(clean)
+    two = search.search_thurman_tarantino(clean)
+    return one.select(F.lit("S1").alias("search"), "title", F.col("vote_average").alias("sorted_by"), "cast").unionByName(
+        two.select(F.lit("S2").alias("search"), "title", F.col("runtime").alias("sorted_by"), "cast"))
+
+
+def _quality_report_planted(spark, sf):
+    """Q3-Q9 where every rule is broken by some titles."""
+    def when(n, rest, value, column):
+        return F.when(F.col("id") % n == rest, value).otherwise(F.col(column))
+
+    day = F.lit("1870-05-01").cast("date")
+    typed = _typed(spark, sf).withColumns({
+        "budget_musd": when(13, 5, -F.col("budget_musd"), "budget_musd"),
+        "revenue_musd": when(17, 3, -F.col("revenue_musd"), "revenue_musd"),
+        "runtime": when(19, 4, F.lit(0.0), "runtime"),
+        "vote_average": when(23, 0, F.lit(5.0), "vote_average")}).withColumn(
+        "vote_average", when(29, 7, F.lit(10.5), "vote_average")).withColumn(
+        "release_date", when(31, 9, F.lit("2030-01-01").cast("date"), "release_date")).withColumn(
+        "release_date", when(31, 10, day, "release_date"))
+    return quality.quality_report(typed, as_of="2025-12-31", expected_rows=18)
+
+
+def _whole_run(spark, sf):
+    """IO10, V6: the whole job into a scratch folder; rows of every table it
+    wrote, read back."""
+    import uuid
+
+    from marquee.plans import job
+    from marquee.plans.session import scratch_path
+
+    paths = job.run(spark, starview.raw_catalogue(spark, sf), scratch_path(spark, f"job-{uuid.uuid4().hex}"))
+    out = None
+    for name, path in paths.items():
+        if name != "metrics":
+            rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
@@ -381,6 +440,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "value_counts_director": lambda s, sf: groups.value_counts(_clean(s, sf), "director", multi=True),
         "value_counts_language": lambda s, sf: groups.value_counts(_clean(s, sf), "original_language"),
         "impute_budget": _impute_budget,
+        "impute_lattice": lambda s, sf: lattice.impute_from_lattice(_clean(s, sf), "budget_musd")
+        .select("id", "budget_musd", "budget_musd_level"),
+        "director_over_time": lambda s, sf: trends.over_time(_clean(s, sf), "director", multi=True),
+        "collection_over_time": lambda s, sf: trends.over_time(_clean(s, sf), "belongs_to_collection"),
+        "company_variants": lambda s, sf: variants.value_variants(_spelt(s, sf), "production_companies"),
+        "named_searches_planted": _named_searches,
+        "quality_report_planted": _quality_report_planted,
+        "whole_run": _whole_run,
         "feed_revenue_budget": _on_clean(feeds.revenue_vs_budget),
         "feed_breakeven": _on_clean(feeds.breakeven_end),
         "feed_rating_popularity": _on_clean(feeds.popularity_vs_rating),

@@ -380,6 +380,82 @@ FROM drops WHERE untitled OR sparse OR undated"""
     q["kpi_refresh"] = " UNION ALL ".join(
         f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value "
         f"FROM ({q[of]})" for name, (of, key, columns) in reports.items() for c in columns.split())
+    for name, key, source in (
+            ("director_over_time", "director", "(SELECT * EXCLUDE director, unnest(list_filter(string_split(director, '|'), "
+             "lambda x: x <> '')) AS director FROM clean)"),
+            ("collection_over_time", "belongs_to_collection", "clean")):
+        q[name] = CATALOGUE + f""",
+dated AS (SELECT {key} AS key, CAST(year(release_date) AS INTEGER) AS year, title, revenue_musd FROM {source}
+          WHERE release_date IS NOT NULL AND {key} IS NOT NULL),
+yearly AS (SELECT key, year, COUNT(title) AS n, COALESCE({_sum('revenue_musd')}, 0.0) AS revenue FROM dated GROUP BY 1, 2),
+spine AS (SELECT key, CAST(unnest(range(min(year), max(year) + 1)) AS INTEGER) AS year FROM dated GROUP BY key)
+SELECT s.key AS {key}, s.year, COALESCE(n, 0) AS num_movies, COALESCE(revenue, 0.0) AS total_revenue,
+       CAST(SUM(COALESCE(n, 0)) OVER w AS BIGINT) AS running_movies,
+       CAST(SUM(CAST(COALESCE(revenue, 0.0) AS DECIMAL(24,6))) OVER w AS DOUBLE) AS running_revenue,
+       CAST(CAST(COALESCE(revenue, 0.0) AS DECIMAL(24,6)) - lag(CAST(COALESCE(revenue, 0.0) AS DECIMAL(24,6))) OVER w
+            AS DOUBLE) AS revenue_change
+FROM spine s LEFT JOIN yearly y ON y.key = s.key AND y.year = s.year
+WINDOW w AS (PARTITION BY s.key ORDER BY s.year)"""
+    split = "list_distinct(list_filter(string_split({0}, '|'), lambda x: x <> ''))"
+    q["impute_lattice"] = CATALOGUE + f""",
+own AS (
+  SELECT id, budget_musd AS v, 0 AS level, belongs_to_collection AS key FROM clean WHERE belongs_to_collection IS NOT NULL
+  UNION ALL SELECT id, v, 1, d || ' / ' || g FROM (SELECT id, v, d, unnest(gs) AS g FROM (
+      SELECT id, budget_musd AS v, unnest({split.format('director')}) AS d, {split.format('genres')} AS gs FROM clean))
+  UNION ALL SELECT id, budget_musd, 2, unnest({split.format('genres')}) FROM clean
+  UNION ALL SELECT id, budget_musd, 3, CAST(year(release_date) AS VARCHAR) FROM clean WHERE release_date IS NOT NULL),
+grouped AS (SELECT level, key, COUNT(v) AS n, median(v) AS fill FROM own GROUP BY 1, 2 HAVING COUNT(v) >= 3),
+best AS (SELECT id, level, fill FROM own JOIN grouped USING (level, key) WHERE v IS NULL
+         QUALIFY row_number() OVER (PARTITION BY id ORDER BY level, n DESC, key) = 1)
+SELECT c.id, COALESCE(c.budget_musd, b.fill) AS budget_musd,
+       ['collection', 'director and genre', 'genre', 'year'][b.level + 1] AS budget_musd_level
+FROM clean c LEFT JOIN best b ON b.id = c.id"""
+    q["company_variants"] = CATALOGUE + """,
+spelt AS (SELECT CASE id % 10 WHEN 1 THEN lower(p) WHEN 2 THEN p || ' ' WHEN 3 THEN replace(p, '#', ' ')
+                 WHEN 4 THEN replace(p, '#', '') WHEN 5 THEN substr(p, 7, 9) || ', Brand' ELSE p END AS value
+          FROM (SELECT id, production_companies AS p FROM clean)),
+counted AS (SELECT value, n, print, replace(print, ' ', '') AS bare FROM (
+  SELECT value, COUNT(*) AS n, array_to_string(list_sort(list_distinct(list_filter(
+    regexp_split_to_array(lower(value), '[^\\pL\\pN]+'), lambda x: x <> ''))), ' ') AS print
+  FROM spelt WHERE value IS NOT NULL GROUP BY value) WHERE print <> ''),
+keyed AS (SELECT *, array_to_string(list_sort(list_distinct(list_transform(range(1, greatest(length(bare) - 1, 1) + 1),
+                 lambda i: substr(bare, i, 2)))), '') AS key FROM counted),
+heads AS (SELECT key, value AS canonical, print AS head_print, bare AS head_bare FROM keyed
+          QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, value) = 1),
+met AS (SELECT value, n, canonical, CAST(levenshtein(value, canonical) AS INTEGER) AS distance FROM keyed JOIN heads USING (key)
+        WHERE print = head_print OR levenshtein(bare, head_bare) <= 2)
+SELECT * FROM met WHERE canonical IN (SELECT canonical FROM met GROUP BY 1 HAVING COUNT(*) > 1)"""
+    q["named_searches_planted"] = CATALOGUE + """,
+planted AS (
+  SELECT title, vote_average, runtime,
+         CASE WHEN id % 4 = 0 THEN concat_ws('|', 'Action|science fiction', genres) ELSE genres END AS genres,
+         CASE WHEN id % 3 = 1 THEN concat_ws('|', 'Quentin Tarantino', director) ELSE director END AS director,
+         CASE WHEN id % 3 = 0 THEN concat_ws('|', 'BRUCE WILLIS', "cast")
+              WHEN id % 6 = 1 THEN concat_ws('|', 'Uma Thurman', "cast") ELSE "cast" END AS "cast" FROM clean)
+SELECT 'S1' AS search, title, vote_average AS sorted_by, "cast" FROM planted
+WHERE contains(lower(genres), 'science fiction') AND contains(lower(genres), 'action') AND contains(lower("cast"), 'bruce willis')
+UNION ALL SELECT 'S2', title, runtime, "cast" FROM planted
+WHERE contains(lower("cast"), 'uma thurman') AND contains(lower(director), 'quentin tarantino')"""
+    q["quality_report_planted"] = q["quality_report"].replace("SELECT * FROM (VALUES", """, broken AS (
+  SELECT id, vote_count, CASE WHEN id % 13 = 5 THEN -budget_musd ELSE budget_musd END AS budget_musd,
+         CASE WHEN id % 17 = 3 THEN -revenue_musd ELSE revenue_musd END AS revenue_musd,
+         CASE WHEN id % 19 = 4 THEN 0.0 ELSE runtime END AS runtime,
+         CASE WHEN id % 29 = 7 THEN 10.5 WHEN id % 23 = 0 THEN 5.0 ELSE vote_average END AS vote_average,
+         CASE WHEN id % 31 = 9 THEN DATE '2030-01-01' WHEN id % 31 = 10 THEN DATE '1870-05-01' ELSE release_date END AS release_date
+  FROM typed)
+SELECT * FROM (VALUES""").replace("FROM typed W", "FROM broken W")
+    tables = {"clean": "clean_catalogue", "rankings": "rank_all", "highest_revenue": "rank_revenue",
+              "highest_budget": "rank_budget", "highest_profit": "rank_profit_high", "lowest_profit": "rank_profit_low",
+              "highest_roi": "rank_roi_high", "lowest_roi": "rank_roi_low", "most_voted": "rank_votes",
+              "most_popular": "rank_popularity", "highest_rated": "rank_rating_high", "lowest_rated": "rank_rating_low",
+              "search_scifi_action_bruce_willis": "search_scifi_action_bruce_willis",
+              "search_thurman_tarantino": "search_thurman_tarantino", "franchise_vs_standalone": "group_membership",
+              "franchise_summary": "group_collection", "director_summary": "group_director",
+              "feed_01-revenue-vs-budget": "feed_revenue_budget", "feed_02-roi-by-genre": "group_genre_roi",
+              "feed_03-popularity-vs-rating": "feed_rating_popularity", "feed_04-yearly-box-office": "group_year",
+              "feed_05-franchise-vs-standalone": "feed_membership_bars", "feed_breakeven": "feed_breakeven"}
+    q["whole_run"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, COUNT(*) AS \"rows\" FROM ({q[of]})" for name, of in tables.items())
     q["cache_full_hit"] = f"WITH {_FACTS}" + """
 SELECT CASE WHEN k % 97 = 13 THEN NULL ELSE CAST(k AS VARCHAR) END AS id,
        CASE WHEN k % 53 = 7 THEN NULL ELSE p_name || ' #' || CAST(k AS VARCHAR) END AS title,
