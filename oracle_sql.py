@@ -414,16 +414,20 @@ FROM clean c LEFT JOIN best b ON b.id = c.id"""
 spelt AS (SELECT CASE id % 10 WHEN 1 THEN lower(p) WHEN 2 THEN p || ' ' WHEN 3 THEN replace(p, '#', ' ')
                  WHEN 4 THEN replace(p, '#', '') WHEN 5 THEN substr(p, 7, 9) || ', Brand' ELSE p END AS value
           FROM (SELECT id, production_companies AS p FROM clean)),
-counted AS (SELECT value, n, print, replace(print, ' ', '') AS bare FROM (
+counted AS (SELECT * FROM (
   SELECT value, COUNT(*) AS n, array_to_string(list_sort(list_distinct(list_filter(
     regexp_split_to_array(lower(value), '[^\\pL\\pN]+'), lambda x: x <> ''))), ' ') AS print
   FROM spelt WHERE value IS NOT NULL GROUP BY value) WHERE print <> ''),
+groups_ AS (SELECT print, SUM(n) AS total, arg_min(value, (-n, value)) AS head FROM counted GROUP BY print),
+bared AS (SELECT *, regexp_replace(lower(head), '[^\\pL\\pN]+', '', 'g') AS bare FROM groups_),
 keyed AS (SELECT *, array_to_string(list_sort(list_distinct(list_transform(range(1, greatest(length(bare) - 1, 1) + 1),
-                 lambda i: substr(bare, i, 2)))), '') AS key FROM counted),
-heads AS (SELECT key, value AS canonical, print AS head_print, bare AS head_bare FROM keyed
-          QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, value) = 1),
-met AS (SELECT value, n, canonical, CAST(levenshtein(value, canonical) AS INTEGER) AS distance FROM keyed JOIN heads USING (key)
-        WHERE print = head_print OR levenshtein(bare, head_bare) <= 2)
+                 lambda i: substr(bare, i, 2)))), '') AS key FROM bared),
+tops AS (SELECT key, head AS top, bare AS top_bare FROM keyed
+         QUALIFY row_number() OVER (PARTITION BY key ORDER BY total DESC, head) = 1),
+linked AS (SELECT print, CASE WHEN levenshtein(bare, top_bare) <= 2 THEN top ELSE head END AS canonical
+           FROM keyed JOIN tops USING (key)),
+met AS (SELECT value, n, canonical, CAST(levenshtein(value, canonical) AS INTEGER) AS distance
+        FROM counted JOIN linked USING (print))
 SELECT * FROM met WHERE canonical IN (SELECT canonical FROM met GROUP BY 1 HAVING COUNT(*) > 1)"""
     q["named_searches_planted"] = CATALOGUE + """,
 planted AS (
