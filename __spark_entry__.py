@@ -405,6 +405,52 @@ def _whole_run(spark, sf):
     return out
 
 
+def _roi_sketch_medians(spark, sf):
+    """A1, A4 from stored sketches: n and exact median per genre and overall,
+    and whether the sketch's rank error keeps three times the bound."""
+    import uuid
+
+    from marquee.operators import sketches
+    from marquee.plans.session import scratch_path
+
+    base = scratch_path(spark, f"roi-sketches-{uuid.uuid4().hex}")
+    _clean(spark, sf).write.parquet(f"{base}/clean")
+    clean = spark.read.parquet(f"{base}/clean")
+    sketches.roi_sketches(clean).write.parquet(f"{base}/sketches")
+    report = sketches.median_report(clean, spark.read.parquet(f"{base}/sketches"))
+    return report.select("genre", "n", "exact_median",
+                         (F.col("rank_error") <= 3 * sketches.rank_error()).alias("within_bound"))
+
+
+def _landing_overlaps(spark, sf):
+    """A7, Q11 across landings by release year: exact counts beside those of
+    stored sketches, as whether these lie within their bound."""
+    from marquee.operators import sketches
+
+    raw = starview.raw_catalogue(spark, sf).select(
+        "id", F.concat(F.lit("to "), (F.substring("release_date", 1, 4).try_cast("int") - F.coalesce(
+            F.col("id").try_cast("bigint"), F.lit(0)) % 3).cast("string")).alias("landing")).where("landing IS NOT NULL")
+    later = raw.where(F.col("id").try_cast("bigint") % 2 == 0).withColumn("landing", F.concat("landing", F.lit(" again")))
+    records = raw.unionByName(later)
+    ids = records.select("landing", F.col("id").try_cast("bigint").alias("k")).where("k IS NOT NULL").distinct()
+    pairs = ids.groupBy("k").agg(F.array_sort(F.collect_set("landing")).alias("of"))  # a few landings an id
+    two = pairs.select(F.explode(F.flatten(F.transform("of", lambda x: F.transform(
+        F.filter("of", lambda y: y > x), lambda y: F.struct(x.alias("first"), y.alias("second")))))).alias("p"))
+    shared = two.groupBy("p.first", "p.second").agg(F.count(F.lit(1)).alias("both"))
+    sizes = ids.groupBy("landing").agg(F.count(F.lit(1)).alias("size"))
+    found = sketches.landing_overlaps(sketches.landing_sketches(records))
+    joined = found.join(shared, ["first", "second"], "left").join(
+        sizes.select(F.col("landing").alias("first"), F.col("size").alias("a")), "first").join(
+        sizes.select(F.col("landing").alias("second"), F.col("size").alias("b")), "second")
+    both = F.coalesce("both", F.lit(0))
+    union = F.col("a") + F.col("b") - both
+    room = F.lit(sketches.distinct_error()) * union
+    near = ((F.abs(F.col("union_ids") - union) <= room) & (F.abs(F.col("shared_ids") - both) <= room)
+            & (F.abs(F.col("only_ids") - (F.col("a") - both)) <= room))
+    return joined.select("first", "second", union.alias("union_ids"), both.alias("shared_ids"),
+                         (F.col("a") - both).alias("only_ids"), near.alias("within_bound"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
@@ -444,6 +490,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         .select("id", "budget_musd", "budget_musd_level"),
         "director_over_time": lambda s, sf: trends.over_time(_clean(s, sf), "director", multi=True),
         "collection_over_time": lambda s, sf: trends.over_time(_clean(s, sf), "belongs_to_collection"),
+        "roi_sketch_medians": _roi_sketch_medians,
+        "landing_overlaps": _landing_overlaps,
         "company_variants": lambda s, sf: variants.value_variants(_spelt(s, sf), "production_companies"),
         "named_searches_planted": _named_searches,
         "quality_report_planted": _quality_report_planted,

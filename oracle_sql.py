@@ -410,6 +410,24 @@ best AS (SELECT id, level, fill FROM own JOIN grouped USING (level, key) WHERE v
 SELECT c.id, COALESCE(c.budget_musd, b.fill) AS budget_musd,
        ['collection', 'director and genre', 'genre', 'year'][b.level + 1] AS budget_musd_level
 FROM clean c LEFT JOIN best b ON b.id = c.id"""
+    q["roi_sketch_medians"] = CATALOGUE + """,
+g AS (SELECT roi, unnest(list_filter(string_split(genres, '|'), lambda x: x <> '')) AS genre
+      FROM m WHERE genres IS NOT NULL AND roi IS NOT NULL)
+SELECT genre, COUNT(*) AS n, median(roi) AS exact_median, TRUE AS within_bound FROM g GROUP BY genre
+UNION ALL SELECT NULL, COUNT(*), median(roi), TRUE FROM g HAVING COUNT(*) > 0"""
+    q["landing_overlaps"] = f"WITH {_FACTS}" + """,
+recs AS (SELECT k, 'to ' || CAST(year(first_ship + CAST(k % 2500 AS INTEGER)) - (CASE WHEN k % 97 = 13 THEN 0 ELSE k % 3 END) AS VARCHAR) AS landing,
+                k % 97 = 13 AS anon FROM copies WHERE k % 37 <> 4 AND k % 89 <> 1),
+held AS (SELECT landing, k, anon FROM recs
+         UNION SELECT landing || ' again', k, anon FROM recs WHERE k % 2 = 0 AND NOT anon),
+names AS (SELECT DISTINCT landing FROM held),
+ids AS (SELECT DISTINCT landing, k FROM held WHERE NOT anon),
+sizes AS (SELECT landing, COUNT(*) AS size FROM ids GROUP BY 1),
+shared AS (SELECT x.landing AS first, y.landing AS second, COUNT(*) AS n FROM ids x JOIN ids y ON x.k = y.k AND x.landing < y.landing
+           GROUP BY 1, 2)
+SELECT a.landing AS first, b.landing AS second, a.size + b.size - COALESCE(n, 0) AS union_ids, COALESCE(n, 0) AS shared_ids,
+       a.size - COALESCE(n, 0) AS only_ids, TRUE AS within_bound
+FROM sizes a JOIN sizes b ON a.landing < b.landing LEFT JOIN shared s ON s.first = a.landing AND s.second = b.landing"""
     q["company_variants"] = CATALOGUE + """,
 spelt AS (SELECT CASE id % 10 WHEN 1 THEN lower(p) WHEN 2 THEN p || ' ' WHEN 3 THEN replace(p, '#', ' ')
                  WHEN 4 THEN replace(p, '#', '') WHEN 5 THEN substr(p, 7, 9) || ', Brand' ELSE p END AS value
