@@ -9,8 +9,8 @@ more often than by chance when the phrase is frequent beside its parts.
    language as first label. The count of any shorter n-gram is the weight of
    its arc, the sum over the range of n-grams that start with it. Labels are
    64-bit hashes of words.
-2. **Union by prefix range.** The transducers are stored; marks, every
-   ``MARK``-th n-gram of each, give range bounds of about ``RANGE`` n-grams.
+2. **Union by prefix range.** The transducers are stored in runs of ``MARK``
+   n-grams; the first n-grams of the runs, the marks, give range bounds of about ``RANGE`` n-grams.
    Bounds are whole n-grams, so a hot word, or a hot prefix of any length,
    is spread over as many ranges as it needs. Each range is summed in one
    task. An n-gram inside a range has its count there; one that a bound
@@ -45,7 +45,7 @@ TOP = 2000
 COVER_PERCENT = 80
 NO_LANGUAGE = "und"
 MARK = 1 << 15
-RANGE = 1 << 20
+RANGE = 1 << 19
 # marks on the driver (some 40 MB at most): beyond it, chosen by their hash
 MAX_MARKS = 1_000_000
 BITS = 1 << 27
@@ -78,9 +78,9 @@ def _slots(rows):
 
 
 def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None) -> DataFrame:
-    """Per block of text: marks, n (distinct n-grams), body (the transducer),
-    and, with ``pairs`` (the broadcast bits of the frequent pairs), the words
-    of frequent pairs as labels and words. With ``pairs`` only n-grams of
+    """Per block of text, in runs of ``MARK`` n-grams: mark (the first one), n
+    (how many), body (the transducer), and, with ``pairs`` (the broadcast bits
+    of the frequent pairs), the words of frequent pairs as labels and words. With ``pairs`` only n-grams of
     over two words inside runs of frequent pairs are counted."""
     ship(docs.sparkSession)
 
@@ -119,8 +119,11 @@ def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None
                     run = np.where(good[:n], 1 + np.append(run[1:], 1), 1)
                 room = np.where(run > 2, np.minimum(run, order), 0)
             tree = Tree.of_sequence(symbols, head, items, np.minimum(room, order), order)
-            rows, _ = tree.rows()
-            marks = [r.astype(">u8").tobytes() for r in rows[::MARK]]
+            rows, counts = tree.rows()
+            # in runs: no cell of the stored table is large
+            runs = [(rows[a].astype(">u8").tobytes(), min(MARK, len(rows) - a),
+                     Counts.of(Tree.of_rows(rows[a:a + MARK], counts[a:a + MARK])).dump())
+                    for a in range(0, len(rows), MARK)]
             kept = np.flatnonzero(kept)
             dictionary = words.strings(index[kept]).to_pylist() if pairs is not None else []
             labels = of_word[kept].view(np.int64).tolist()
@@ -128,19 +131,23 @@ def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None
                 for lang, label in sorted(set(zip(langs.to_pylist(), heads.view(np.int64).tolist(), strict=True))):
                     dictionary.append(lang)
                     labels.append(label)
-            return marks, len(rows), Counts.of(tree).dump(), labels, dictionary
+            return runs, labels, dictionary
 
         for batch in batches:
             for data, offsets, owner in blocks(batch.column(1), cuts):
-                out = shard(data, offsets, batch.column(0).take(pa.array(owner)))
+                runs, labels, dictionary = shard(data, offsets, batch.column(0).take(pa.array(owner)))
+                runs = runs or [(None, 0, b"")]
+                rest = len(runs) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([out[0]], pa.list_(pa.binary())), pa.array([out[1]], pa.int64()),
-                     pa.array([out[2]], pa.binary()), pa.array([out[3]], pa.list_(pa.int64())),
-                     pa.array([out[4]], pa.list_(pa.string()))], ["marks", "n", "body", "labels", "words"])
+                    [pa.array([r[0] for r in runs], pa.binary()), pa.array([r[1] for r in runs], pa.int64()),
+                     pa.array([r[2] for r in runs], pa.binary()),
+                     pa.array([labels, *[[]] * rest], pa.list_(pa.int64())),
+                     pa.array([dictionary, *[[]] * rest], pa.list_(pa.string()))],
+                    ["mark", "n", "body", "labels", "words"])
 
     return docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
-        run, "marks array<binary>, n bigint, body binary, labels array<bigint>, words array<string>")
+        run, "mark binary, n bigint, body binary, labels array<bigint>, words array<string>")
 
 
 def _bounds(stored: DataFrame, order: int):
@@ -151,7 +158,7 @@ def _bounds(stored: DataFrame, order: int):
     parts = total // RANGE
     if not parts:
         return np.zeros((0, order + 1), np.uint64)
-    marks = stored.select(F.explode("marks").alias("mark")).orderBy(F.xxhash64("mark")).limit(MAX_MARKS)
+    marks = stored.select("mark").where("n > 0").orderBy(F.xxhash64("mark")).limit(MAX_MARKS)
     found = sorted(r.mark for r in marks.collect())
     chosen = sorted({bytes(found[i * len(found) // (parts + 1)]) for i in range(1, min(parts, len(found)) + 1)})
     return np.frombuffer(b"".join(chosen), ">u8").astype(np.uint64).reshape(-1, order + 1)
@@ -315,8 +322,8 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
          top: int = TOP) -> DataFrame:
     """The ``top`` phrases of every language: lang, rank, phrase, a, l, r,
     n, score."""
-    pairs = materialize(shards(docs, 2, lang_col, text_col).select("marks", "n", "body"), "pairs")
-    short = materialize(count(pairs, 2, least), "short")
+    pairs = materialize(shards(docs, 2, lang_col, text_col).select("mark", "n", "body"), "pairs")
+    short = materialize(count(pairs.where("n > 0"), 2, least), "short")
     bits = _pair_bits(short)
     longer = materialize(shards(docs, ORDER, lang_col, text_col, bits), "phrases")
     long = materialize(count(longer.where("n > 0"), ORDER, least).where(F.size("path") > 3), "long")

@@ -7,7 +7,7 @@ import numpy as np
 
 from marquee.llm.shingles import span_hashes
 
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 def classes(chars: str | bytes | range) -> np.ndarray:
