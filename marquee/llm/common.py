@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,6 +39,24 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20):
+    """Jobs inside the block hand wide rows to Python in batches of at most
+    ``rows`` rows (and ``size`` bytes where Spark cuts by bytes), so that
+    neither side holds ten thousand sets at once. The session's own settings
+    come back afterwards."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

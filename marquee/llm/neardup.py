@@ -15,7 +15,8 @@ confirmation, connected components.
    met exactly, without a cap: buckets of up to ``SMALL`` members by all
    pairs across components; the members of larger ones by a prefix filter,
    since two sets at the threshold share a shingle among the rarest of
-   either (rarest by counts over these members). A text of a large group
+   either (rarest by counts over these members). A pair is met in the first
+   bucket that both prefixes share and nowhere else. A text of a large group
    whose own shingles exceed the allowed difference has no shared shingle
    there and needs no pair at all. Buckets of prefix shingles are then
    closed by rounds of hubs from their smallest components: a hub meets all
@@ -42,13 +43,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import materialize, ship
+from marquee.llm.common import materialize, ship, small_batches
 from marquee.llm.components import connected
 
 BANDS, ROWS = 32, 4
 BATCH = 16
 MISS = 1e-6
 SMALL = 16
+# a pair of sets with longer prefixes may be met more than once (harmless)
+BEFORE = 64
 # ids are broadcast up to this many (some 16 MB), else joined by a shuffle
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -228,17 +231,19 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
         rows.join(counts, "bucket").withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= need)
         .withColumn("k", F.row_number().over(own.orderBy("df", "bucket")))
         .where(F.col("k") <= F.col("shared") - need + 1)
-        .select("bucket", "id", "n", (F.col("shared") - F.col("k") + 1).alias("room")), "prefixes")
+        .select("bucket", "id", "n", (F.col("shared") - F.col("k") + 1).alias("room"),
+                F.collect_list("bucket").over(own.orderBy("df", "bucket").rowsBetween(-BEFORE, -1)).alias("before")),
+        "prefixes")
     low = kept.groupBy("bucket").agg(F.min("n").alias("low"))
     return kept.join(low, "bucket").where(
         _may_reach(F.col("n"), F.col("room"), F.col("low"), F.col("room"), percent)).drop("low")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, id, n, room, label, size) of the buckets that hold several
-    components. labels: (node, component)."""
+    """(bucket, id, n, room, before, label, size) of the buckets that hold
+    several components. labels: (node, component)."""
     named = members.join(labels, F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", "n", "room", F.coalesce("component", "id").alias("label"))
+        "bucket", "id", "n", "room", "before", F.coalesce("component", "id").alias("label"))
     several = named.groupBy("bucket").agg(
         F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")).where("l != h")
     return named.join(several.select("bucket", "size"), "bucket")
@@ -252,15 +257,16 @@ def _hubs(members: DataFrame, at_once: int) -> DataFrame:
     order = Window.partitionBy("bucket").orderBy("rows", "label", "id")
     return (members.join(sizes, ["bucket", "label"]).join(largest, "bucket")
             .where(F.col("label") != F.col("top.label")).withColumn("k", F.row_number().over(order))
-            .where(F.col("k") <= at_once).select("bucket", "id", "n", "room", "label"))
+            .where(F.col("k") <= at_once).select("bucket", "id", "n", "room", "before", "label"))
 
 
 def _across(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of hubs and members of other components that the exact
-    bound does not rule out."""
+    bound does not rule out, in the first bucket that they share."""
     h, m = hubs.alias("h"), members.alias("m")
     met = h.join(m, (F.col("h.bucket") == F.col("m.bucket")) & (F.col("h.label") != F.col("m.label")) & _may_reach(
-        F.col("h.n"), F.col("h.room"), F.col("m.n"), F.col("m.room"), percent))
+        F.col("h.n"), F.col("h.room"), F.col("m.n"), F.col("m.room"), percent)
+        & ~F.arrays_overlap("h.before", "m.before"))
     return met.select(F.least("h.id", "m.id").alias("a"), F.greatest("h.id", "m.id").alias("b")).distinct()
 
 
@@ -293,7 +299,8 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
     shared = slots.groupBy("bucket").agg(
         F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id != last")
     members = materialize(slots.join(shared.select("bucket", "hub"), "bucket"), "buckets").select(
-        "bucket", "id", "n", F.col("n").alias("room"), "hub").where("id != hub.id")
+        "bucket", "id", "n", F.col("n").alias("room"), F.array().cast("array<bigint>").alias("before"),
+        "hub").where("id != hub.id")
     wanted = members.where(_may_reach(F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n"), percent)).select(
         F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
     found, failed = verified(wanted)
@@ -317,7 +324,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
             labels = materialize(connected(as_links(found)), "labels")
         failed, wanted = failed.union(bad), None
         members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti").select(
-            "bucket", "id", "n", "room")
+            "bucket", "id", "n", "room", "before")
         # every hub has met its bucket; what is left may hold several components
         if _open(members, labels).isEmpty():
             return as_links(found)
@@ -328,7 +335,13 @@ def _verdicts(docs: DataFrame, size: int, percent: int, id_col: str, text_col: s
     """Per row: doc_id, key, at (of this row alone), n_shingles, and the
     first row of its component as top: (no_id, doc_id, key, at). Rows without
     shingles have no top."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
+    with small_batches(spark):
+        return _judged(docs, size, percent, id_col, text_col, miss)
+
+
+def _judged(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, miss: float) -> DataFrame:
     # numbered once and stored: later reads see the same numbers
     sigs = materialize(signatures(docs, size, id_col, text_col).withColumn(
         "at", F.monotonically_increasing_id()), "signatures")
