@@ -451,6 +451,21 @@ def _landing_overlaps(spark, sf):
                          (F.col("a") - both).alias("only_ids"), near.alias("within_bound"))
 
 
+def _search_indexed(spark, sf):
+    """S0 by stored postings: the rows of ``search_genres_cast``."""
+    import uuid
+
+    from marquee.operators import postings
+    from marquee.plans.session import scratch_path
+
+    base = scratch_path(spark, f"postings-{uuid.uuid4().hex}")
+    _clean(spark, sf).write.parquet(f"{base}/clean")
+    clean = spark.read.parquet(f"{base}/clean")
+    postings.build_postings(clean, f"{base}/postings")
+    return postings.search_indexed(clean, f"{base}/postings", genres=["Hot", "widget"], cast="nation_1").select(
+        "title", "vote_average", "genres", "cast")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "clean_catalogue": _clean,
@@ -472,6 +487,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_genres_cast": _search_genres_cast,
         "search_cast_director": _search_cast_director,
         "search_tokens": _search_tokens,
+        "search_indexed": _search_indexed,
         "search_scifi_action_bruce_willis": _on_clean(search.search_scifi_action_bruce_willis),
         "search_thurman_tarantino": _on_clean(search.search_thurman_tarantino),
         "group_membership": _on_clean(groups.franchise_vs_standalone),

@@ -51,7 +51,8 @@ def observed(obs: Observation) -> dict:
     """Metrics of an observation. When AQE finds a shuffle empty at run
     time it replaces the plan above it by an empty relation, dropping the
     observation with it; the rows it would have counted are then none,
-    so an unreported observation reads as empty (all counts 0)."""
+    so an unreported observation reads as empty (all counts 0). The gates
+    confirm this from what was written (``_confirm``)."""
     try:
         return dict(obs.get)
     except Exception:  # noqa: BLE001 - dropped with an empty relation
@@ -145,11 +146,24 @@ def preprocess(spark: SparkSession, raw: DataFrame, out_path: str, fmt: str = "p
     return read_clean(spark, out_path, fmt), run
 
 
+def _confirm(obs: dict[str, Observation], written: DataFrame, whole: bool) -> None:
+    """Refuse an output whose metrics were not reported although it holds
+    rows. ``whole``: all of it came through the observed chain; otherwise
+    only its ids can be judged."""
+    missing = [name for name, o in obs.items() if not observed(o)]
+    if not missing:
+        return
+    bad = written if whole else written.where(F.col("id").isNull())
+    if not bad.isEmpty():
+        raise quality.QualityError(f"no metrics were reported for {', '.join(missing)}, and the output is not empty")
+
+
 def _gated_write(spark: SparkSession, clean: DataFrame, obs: dict[str, Observation], stage: str, out_path: str,
                  fmt: str, verify_ids: bool) -> tuple[CleanRun, int]:
     """Write to the staging folder and pass every gate there."""
     write_clean(clean, stage, fmt)
     run = _run_of(obs, out_path)
+    _confirm(obs, read_clean(spark, stage, fmt), whole=True)
     log.info("clean rows by stage: %s", run.stage_rows)
     quality.check_parse(run.parse)
     for name, bad in run.value_checks.items():
@@ -269,6 +283,7 @@ def refresh_clean(spark: SparkSession, raw_all: DataFrame, changed: DataFrame, c
         # the parse gates judge a whole catalogue; a delta may well hold no
         # genre at all, so only its ids are gated
         run = _run_of(obs, out_path)
+        _confirm({"final": obs["final"]}, read_clean(spark, stage, fmt), whole=False)
         if int(observed(obs["final"]).get("null_ids") or 0):
             raise quality.QualityError("null ids in the refreshed catalogue")
         _write_marker(spark, [("refresh", k, v) for _, k, v in run.as_rows()], stage)

@@ -159,6 +159,7 @@ SELECT belongs_to_collection, title, revenue_musd, rank FROM (
     q["search_genres_cast"] = _search(
         f"{_has('genres', 'Hot')} AND {_has('genres', 'widget')} AND {_has('\"cast\"', 'nation_1')}",
         "vote_average", False, 'title, vote_average, genres, "cast"')
+    q["search_indexed"] = q["search_genres_cast"]
     q["search_cast_director"] = _search(
         f"{_has('\"cast\"', 'NATION_12')} AND {_has('director', 'nation_3')}",
         "runtime", True, 'title, runtime, director, "cast"')

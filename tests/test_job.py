@@ -130,3 +130,15 @@ def test_apply_scale_settings_to_a_session(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_gates_do_not_pass_unreported_metrics(spark, tmp_dir, monkeypatch):
+    from marquee.operators.quality import QualityError
+
+    recs = raw_frame(spark, [raw_record(id=1, title="A"), raw_record(id=2, title="B")])
+    monkeypatch.setattr(job, "observed", lambda obs: {})
+    with pytest.raises(QualityError, match="no metrics"):
+        job.preprocess(spark, recs, f"{tmp_dir}/clean")
+    # an empty output is empty indeed
+    out, run = job.preprocess(spark, recs.where("id = '9'"), f"{tmp_dir}/none")
+    assert out.count() == 0 and run.stage_rows["released"] == 0

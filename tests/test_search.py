@@ -41,3 +41,21 @@ def test_ascending_sort_puts_nulls_last(spark):
     df = kpi_frame(spark, [title(1, "A", runtime=None), title(2, "B", runtime=90.0)])
     out = search.search_titles(df, sort_by="runtime", ascending=True)
     assert [r["title"] for r in out.collect()] == ["B", "A"]
+
+
+def test_indexed_search_equals_the_plain_one_and_prunes(spark, tmp_dir):
+    from marquee.operators import postings
+
+    df = kpi_frame(spark, [title(i, f"T{i}", genres=["Action|Drama", "Melodrama", "Comedy", None][i % 4],
+                                 cast=["Ann Lee|Bo", "ANNA LEE", "Zed", "É Ünï"][i % 3], director=["Al", "Dr. Ama", None][i % 3])
+                           for i in range(1, 25)])
+    postings.build_postings(df, f"{tmp_dir}/p")
+    asks = [dict(genres="drama"), dict(genres=["Action", "DRAMA"], cast="lee"), dict(cast="ann lee|b"), dict(cast="Al"),
+            dict(director="dr. ama", genres="co"), dict(cast="nobody here"), dict(), dict(genres="drama", match="token"),
+            dict(cast="ünï", sort_by="popularity", ascending=True)]
+    for ask in asks:
+        assert postings.search_indexed(df, f"{tmp_dir}/p", **ask).collect() == search.search_titles(df, **ask).collect(), ask
+    found = postings.candidates(spark, f"{tmp_dir}/p", postings.asked_grams(genres="drama"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan and "PushedFilters" in plan
+    assert postings.asked_grams(cast=["ab", "abcd"], genres=None) == {("cast", "abc"), ("cast", "bcd")}
