@@ -4,17 +4,20 @@ Every text is scanned for candidates: the base kinds (assignments of named
 secrets, access key ids, long hexadecimal strings), which always stand, and
 two further kinds, long mixed tokens and private key headers. Candidate
 values are hashed and counted over the whole corpus by distinct
-repositories (documents) and owners (sources). A value that many owners
-share is a copied example; one that few owners hold and that looks random
-is live. Further kinds are reported only where they are live, and every
-candidate's verdict is counted per document.
+repositories (documents) and owners (sources). A value is a copied example
+when many owners share it, or when its owners hold it in many repositories
+each, as templates and fixtures are; what "many" is follows from the corpus:
+its number of owners, and its repositories per owner. One that few owners
+hold in few places and that looks random is live. Further kinds are reported
+only where they are live, and every candidate's verdict is counted per
+document.
 
 Ownership is counted in steps that combine before each shuffle, (value,
 owner, repository) first, so neither a value in a third of all documents
 nor an owner of a third of them gathers in one task beyond one row a value.
 
-Defined results: null and empty texts have no spans; a null source is one
-owner; ids may repeat: rows are told apart by id and text, and equal rows
+Defined results: null and empty texts have no spans; a null source is an
+unknown owner, another one for every document; ids may repeat: rows are told apart by id and text, and equal rows
 get equal results; an empty table gives an empty table; other columns are
 ignored. Offsets are code points, ends exclusive.
 """
@@ -35,12 +38,35 @@ PEM = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
 KINDS = ("assign", "access", "hex", "mixed", "pem")
 BASE = 3
 
-MAX_OWNERS = 2      # a live value has at most so many owners
+MAX_OWNERS = 2      # a live value has at most so many owners,
+OWNER_SHARE = 0.001  # or this share of all owners where that is more;
+MAX_REPOSITORIES = 8   # and each of them holds it in at most so many repositories,
+REPOSITORY_SHARE = 0.01  # or this share of the mean number of an owner
 MIN_CHARACTERS = 8  # and so many different characters, at least
 # parts that placeholders are written with
 PLACEHOLDERS = "(?i)example|sample|placeholder|changeme|dummy|your[_-]"
 
 
+BLOCK = 128
+
+
+def running(sizes: Column) -> Column:
+    """The sum of the sizes before each one. Summed in blocks, then over the
+    blocks: arrays that grow by appending stay short, so the cost is linear
+    in the number of sizes up to some 16,000, and no square of it beyond."""
+    nothing = F.array().cast("array<int>")
+
+    def sums(part: Column) -> Column:
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), nothing.alias("out")), lambda acc, x: F.struct(
+            (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / BLOCK).cast("int")),
+                         lambda i: sums(F.slice(sizes, i * BLOCK + 1, BLOCK)))
+    whole = bind(blocks, lambda b: bind(sums(F.transform(b, lambda x: x["at"]))["out"], lambda base: F.flatten(
+        F.transform(b, lambda x, i: F.transform(x["out"], lambda y: y + F.get(base, i))))))
+    return F.when(F.size(sizes) == 0, nothing).otherwise(whole)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """(start, end, match) of all matches: the texts between them, from a
     split by the same pattern, give the places."""
@@ -48,15 +74,13 @@ def _matches(text: Column, pattern: str) -> Column:
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
     def placed(m: Column) -> Column:
-        return bind(F.split(text, pattern, -1), lambda gaps: F.aggregate(
-            F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("gap"), m.alias("match")),
-            F.struct(F.lit(0).alias("at"), empty.alias("out")),
-            lambda acc, x: bind(acc["at"] + F.length(x["gap"]), lambda start: F.struct(
-                (start + F.length(x["match"])).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(
-                    start.alias("start"), (start + F.length(x["match"])).alias("end"),
-                    x["match"].alias("match")))).alias("out"))),
-            lambda acc: acc["out"]))
+        def of(gaps: Column) -> Column:
+            both = F.zip_with(F.slice(gaps, 1, F.size(m)), m, lambda g, x: F.length(g) + F.length(x))
+            return bind(running(both), lambda at: F.transform(m, lambda x, i: bind(
+                F.get(at, i) + F.length(F.get(gaps, i)), lambda start: F.struct(
+                    start.alias("start"), (start + F.length(x)).alias("end"), x.alias("match")))))
+
+        return bind(F.split(text, pattern, -1), of)
 
     return bind(found, lambda m: F.when(F.size(m) == 0, empty).otherwise(placed(m)))
 
@@ -86,24 +110,42 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.xxhash64(text).alias("row"), F.sort_array(F.concat(*every)).alias("found"))
 
 
+def _owner() -> Column:
+    """Whose document it is: one without a source has an owner of its own."""
+    return F.coalesce(F.concat(F.lit("source "), "owner"), F.concat_ws(
+        " ", F.lit("document"), F.col("doc_id").cast("string"), F.col("row").cast("string")))
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """Per candidate value: distinct repositories and owners."""
-    rows = found.select("doc_id", F.coalesce("owner", F.lit("")).alias("owner"), F.explode("found").alias("c")).select(
+    rows = found.select("doc_id", "row", _owner().alias("owner"), F.explode("found").alias("c")).select(
         "doc_id", "owner", F.col("c.value").alias("value"))
     per_owner = rows.distinct().groupBy("value", "owner").agg(F.count("*").alias("repositories"))
     return per_owner.groupBy("value").agg(F.sum("repositories").alias("repositories"),
                                           F.count("*").alias("owners"))
 
 
+def corpus_size(found: DataFrame) -> tuple[int, int]:
+    """(owners, repositories) of the corpus: documents by id and text."""
+    per_owner = found.select(_owner().alias("owner"), "doc_id", "row").distinct().groupBy("owner").agg(
+        F.count("*").alias("n"))
+    row = per_owner.agg(F.count("*").alias("owners"), F.sum("n").alias("repositories")).first()
+    return int(row.owners), int(row.repositories or 0)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
          max_owners: int = MAX_OWNERS) -> DataFrame:
     """doc_id; found: all spans that stand, as (start, kind, end, live,
     owners, repositories), the base kinds always and the further kinds where
     they are live and touch no base span."""
     found = materialize(candidates(docs, id_col, text_col, owner_col), "secrets")
+    owners, repositories = corpus_size(found)
+    most_owners = max(max_owners, int(OWNER_SHARE * owners))
+    most_each = max(MAX_REPOSITORIES, int(REPOSITORY_SHARE * repositories / max(owners, 1)))
     each = found.where(F.size("found") > 0).select("doc_id", "row", F.explode(F.array_distinct("found")).alias("c"))
     known = each.withColumn("value", F.col("c.value")).join(ownership(found), "value")
-    live = F.col("c.random") & (F.col("owners") <= max_owners)
+    live = F.col("c.random") & (F.col("owners") <= most_owners) & (
+        F.col("repositories") <= F.col("owners") * most_each)
     judged = known.select("doc_id", "row", F.struct(
         F.col("c.start").alias("start"), F.col("c.kind").alias("kind"), F.col("c.end").alias("end"),
         live.alias("live"), "owners", "repositories").alias("s"))

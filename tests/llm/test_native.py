@@ -142,6 +142,50 @@ def test_widely_copied_values_are_examples(spark):
     assert secrets.scan(docs.where("false")).count() == 0
 
 
+def _judged(rows):
+    """Brute force of the verdict: (doc_id, value) -> live, of random values."""
+    owner = {(i, t): s if s is not None else ("document", i, t) for i, s, t in rows}
+    owners = {}
+    for (i, t), o in owner.items():
+        owners.setdefault(o, set()).add((i, t))
+    most_owners = max(2, int(0.001 * len(owners)))
+    most_each = max(8, int(0.01 * sum(map(len, owners.values())) / len(owners)))
+    held = {}
+    for (i, t), o in owner.items():
+        for v in re.findall(r"AKIA[A-Z0-9]+", t):
+            held.setdefault(v, set()).add((o, i))
+    return {(i, v): len({o for o, _ in h}) <= most_owners and len(h) <= most_each * len({o for o, _ in h})
+            for v, h in held.items() for _, i in h}
+
+
+def test_verdicts_follow_owners_and_repositories(spark):
+    keys = [f"AKIA{chr(65 + i)}BCDEFGHIJKLMNOP{i}" for i in range(6)]
+    rows = [(i, "hot", f"x {keys[0]}") for i in range(40)]          # one owner, 40 repositories
+    rows += [(100 + i, "hot", f"x {keys[1]} {i}") for i in range(6)]   # one owner, a few
+    rows += [(200 + i, f"o{i}", f"x {keys[2]}") for i in range(5)]     # five owners
+    rows += [(300 + i, None, f"x {keys[3]}") for i in range(5)]        # five unknown owners
+    rows += [(400, None, f"x {keys[4]}"), (401, "o1", f"x {keys[5]} {keys[1]}")]
+    docs = spark.createDataFrame([(i, t, s) for i, s, t in rows], "doc_id long, text string, source string")
+    want = _judged(rows)
+    assert {v: {want[i, w] for i, w in want if w == v} for v in keys} == {
+        keys[0]: {False}, keys[1]: {True}, keys[2]: {False}, keys[3]: {False}, keys[4]: {True}, keys[5]: {True}}
+    got = {r.doc_id: (r.n_live, r.n_example) for r in secrets.digest(secrets.scan(docs)).collect()}
+    for i, _, t in rows:
+        flags = [want[i, v] for v in re.findall(r"AKIA[A-Z0-9]+", t)]
+        assert got[i] == (sum(flags), len(flags) - sum(flags)), i
+
+
+def test_many_matches_are_placed_in_linear_time(spark):
+    sizes = spark.range(1).select(F.expr("transform(sequence(1, 1000), x -> int(x % 7))").alias("s"))
+    out = sizes.select("s", secrets.running(F.col("s")).alias("r")).first()
+    assert out.r == [sum(out.s[:i]) for i in range(1000)]
+    text = " ".join(f"{i:016x}" for i in range(16000))
+    docs = documents(spark, [(1, text), (2, "é " + text[:33])])
+    rows = {r.doc_id: r for r in secrets.digest(secrets.scan(docs)).collect()}
+    assert rows[1].n_hex == 16000 and rows[1].spans.split(",")[-1] == f"hex:{17 * 15999}:{17 * 15999 + 16}"
+    assert rows[2].spans == "hex:2:18,hex:19:35"
+
+
 # decontamination
 
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again"), (2, "short Item"), (3, None), (4, "..."),
