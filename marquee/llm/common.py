@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.plans.session import scratch_path
@@ -91,8 +91,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id"))
              .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other")).where("label = other"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    chosen = marks.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class).select("id", "label")
+    order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
+    # a top-k of each class: every task keeps per_class ids, none sorts a class
+    zero, one = (marks.where(F.col("label") == c).select("id", "label").orderBy(*order).limit(per_class) for c in (0, 1))
+    chosen = zero.unionByName(one)
     # at most 2 * per_class ids
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
         .join(F.broadcast(chosen), "id").dropDuplicates(["id", "text"])
