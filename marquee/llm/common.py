@@ -25,6 +25,15 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it
+    (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """Blank-separated words of a text; null and blank texts have none."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ascii_lower, bind, materialize
+from marquee.llm.common import ascii_lower, bind, free_name, materialize
 
 WINDOW = 10
 # what separates words: every ASCII character but letters and digits
@@ -105,9 +105,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             .select("doc_id", "row", "start", "length", "item_id").distinct())
 
 
-def _same(id_col: str, row: str | Column) -> Column:
-    """Whether a row is that of (__id, __row)."""
-    return F.col(id_col).eqNullSafe(F.col("__id")) & ((F.col(row) if isinstance(row, str) else row) == F.col("__row"))
+def _same(id_col: str, row: str | Column, of: tuple[str, str] = ("__id", "__row")) -> Column:
+    """Whether a row is that of the columns ``of``: id and hash of the text."""
+    return F.col(id_col).eqNullSafe(F.col(of[0])) & ((F.col(row) if isinstance(row, str) else row) == F.col(of[1]))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -142,8 +142,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     of their words (0: any hit)."""
     bad = hits(docs, benchmark, id_col, text_col) if max_share <= 0 else judge(
         docs, benchmark, id_col, text_col, rows=True).where(F.col("n_hit") > max_share * F.col("n_words"))
-    return docs.join(bad.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct(),
-                     _same(id_col, row_of(F.col(text_col))), "left_anti")
+    of = free_name(docs, "__id"), free_name(docs, "__row")
+    return docs.join(bad.select(F.col("doc_id").alias(of[0]), F.col("row").alias(of[1])).distinct(),
+                     _same(id_col, row_of(F.col(text_col)), of), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -151,17 +152,19 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` with the text of every hit word replaced: each run of hit
     words, with the gaps inside it, becomes ``mark``. Clean texts are not
     touched."""
+    of = free_name(docs, "__id"), free_name(docs, "__row")
+    hit = free_name(docs, "__hit")
     at = hits(docs, benchmark, id_col, text_col).groupBy(
-        F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(
+        F.col("doc_id").alias(of[0]), F.col("row").alias(of[1])).agg(
         F.sort_array(F.collect_set(F.struct(
-            F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")))).alias("__hit"))
-    joined = docs.join(at, _same(id_col, row_of(F.col(text_col))), "left")
+            F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")))).alias(hit))
+    joined = docs.join(at, _same(id_col, row_of(F.col(text_col)), of), "left")
     # words and gaps in turn: gap 0, word 0, gap 1, word 1, ..., last gap
     text, raw = F.col(text_col).cast("string"), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     found = F.regexp_extract_all(text, F.lit(f"({raw})"), F.lit(1))
     gaps = F.split(text, raw)
     # runs of hit words: windows that overlap or touch become one
-    merged = F.aggregate("__hit", F.array().cast("array<struct<s:int,e:int>>"), lambda acc, x: F.when(
+    merged = F.aggregate(hit, F.array().cast("array<struct<s:int,e:int>>"), lambda acc, x: F.when(
         (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
         F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
             F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))))
@@ -178,5 +181,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 F.get(g, r["s"]), F.lit(mark))), ""),
             between(w, g, F.element_at(runs, -1)["e"], F.size(w)), F.get(g, F.size(w)))))
 
-    return joined.withColumn(text_col, F.when(F.col("__hit").isNull(), F.col(text_col)).otherwise(
-        bind(found, rebuilt))).drop("__id", "__row", "__hit")
+    return joined.withColumn(text_col, F.when(F.col(hit).isNull(), F.col(text_col)).otherwise(
+        bind(found, rebuilt))).drop(*of, hit)

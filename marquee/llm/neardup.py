@@ -43,7 +43,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import materialize, ship, small_batches
+from marquee.llm.common import free_name, materialize, ship, small_batches
 from marquee.llm.components import connected
 
 BANDS, ROWS = 32, 4
@@ -389,18 +389,19 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "d
     of its id stay. Rows equal in id and text count once, as the smallest of
     them over all columns; rows with neither id nor words all stay."""
     rows = materialize(_verdicts(docs, size, percent, id_col, text_col, MISS), "verdicts")
+    at, key, one = (free_name(docs, name) for name in ("__id", "__key", "__one"))
     last = rows.where(F.col("top").isNull() | (F.col("key") == F.col("top.key")))
     gone = materialize(rows.where(F.col("key") != F.col("top.key")).select(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "gone")
-    same = (row_key(id_col, text_col) == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id"))
+        F.col("doc_id").alias(at), F.col("key").alias(key)).distinct(), "gone")
+    same = (row_key(id_col, text_col) == F.col(key)) & F.col(id_col).eqNullSafe(F.col(at))
     left = docs.join(gone, same, "left_anti")
     twice = last.where("doc_id IS NOT NULL OR top IS NOT NULL").groupBy(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key")).count().where("count > 1").drop("count")
+        F.col("doc_id").alias(at), F.col("key").alias(key)).count().where("count > 1").drop("count")
     twice = materialize(twice, "repeated")
     if twice.isEmpty():
         return left
-    names = [F.col(f"__one.`{c}`").alias(c) for c in docs.columns]
+    names = [F.col(f"{one}.`{c}`").alias(c) for c in docs.columns]
     again = left.join(twice, same, "left_semi").groupBy(
-        F.col(id_col).alias("__id"), row_key(id_col, text_col).alias("__key")).agg(
-        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__one")).select(*names)
+        F.col(id_col).alias(at), row_key(id_col, text_col).alias(key)).agg(
+        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(one)).select(*names)
     return left.join(twice, same, "left_anti").unionByName(again)

@@ -35,7 +35,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import BLANKS, bind, materialize, words_of
+from marquee.llm.common import BLANKS, bind, free_name, materialize, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -229,7 +229,8 @@ def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = 0.02, del
     """``docs`` without the rejected rows, all columns kept. Rows are written
     once beside their measures, so the verdict needs neither a join nor a
     second measuring; rows that share a doc_id are judged one by one."""
-    measured = materialize(docs.withColumn("__rules", F.struct(*_measures())), "rules")
-    r = F.col("__rules")
-    cuts = fit(measured.select("__rules.doc_id", "__rules.stratum", "__rules.m.*"), labels, risk, delta)
-    return measured.where(~r["m"]["base_failed"] & ~cuts.rejected(r["stratum"], r["m"]["ratios"])).drop("__rules")
+    name = free_name(docs, "__rules")
+    measured = materialize(docs.withColumn(name, F.struct(*_measures())), "rules")
+    r = F.col(name)
+    cuts = fit(measured.select(f"{name}.doc_id", f"{name}.stratum", f"{name}.m.*"), labels, risk, delta)
+    return measured.where(~r["m"]["base_failed"] & ~cuts.rejected(r["stratum"], r["m"]["ratios"])).drop(name)
