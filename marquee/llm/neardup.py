@@ -16,7 +16,8 @@ confirmation, connected components.
    pairs across components; the members of larger ones by a prefix filter,
    since two sets at the threshold share a shingle among the rarest of
    either (rarest by counts over these members). A pair is met in the first
-   bucket that both prefixes share and nowhere else. A text of a large group
+   bucket that both prefixes share and nowhere else, and only where the
+   parities of the sets leave room for the threshold. A text of a large group
    whose own shingles exceed the allowed difference has no shared shingle
    there and needs no pair at all. Buckets of prefix shingles are then
    closed by rounds of hubs from their smallest components: a hub meets all
@@ -52,6 +53,8 @@ MISS = 1e-6
 SMALL = 16
 # a pair of sets with longer prefixes may be met more than once (harmless)
 BEFORE = 64
+# bits of a set's parity (below), in words of 64
+PARITY = 512
 # ids are broadcast up to this many (some 16 MB), else joined by a shuffle
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -158,7 +161,10 @@ def screen(pairs: DataFrame, reps: DataFrame, percent: int, miss: float = MISS)
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """The full shingle sets of the documents named in ``ids`` (doc_id)."""
+    """The full shingle sets of the documents named in ``ids`` (doc_id), and
+    their parity: ``PARITY`` bits, each whether an odd number of shingles
+    fall on it. Sets whose parities differ in n bits differ in n shingles or
+    more."""
     id_type = docs.schema[id_col].dataType.simpleString()
     few = ids.count() <= MAX_BROADCAST_IDS
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
@@ -174,10 +180,15 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: s
             sets = list(shingle_sets(batch.column(1), size))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            odd = [np.packbits((np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1)
+                               .astype(np.uint8)).view(np.int64) for s in sets]
+            words = np.arange(len(sets) + 1, dtype=np.int32) * (PARITY // 64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "items"])
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(
+                    pa.array(words), pa.array(np.concatenate([*odd, np.zeros(0, np.int64)])))],
+                ["doc_id", "items", "parity"])
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, items array<bigint>")
+    return texts.mapInArrow(run, f"doc_id {id_type}, items array<bigint>, parity array<bigint>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,6 +226,13 @@ def _may_reach(na, ra, nb, rb, percent: int):
     return F.least(ra, rb) * (100 + percent) >= (na + nb) * percent
 
 
+def _may_match(na, pa, nb, pb, percent: int):
+    """Whether sets of these sizes and parities can reach the threshold: two
+    sets at it differ in a bounded number of shingles (exact)."""
+    differ = F.aggregate(F.zip_with(pa, pb, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return differ * (100 + percent) <= (na + nb) * (100 - percent)
+
+
 def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
     """(bucket, id, n, room): the shared shingles in the prefix of every
     set. With the shingles in order of their counts over ``sets``, two sets
@@ -222,7 +240,7 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
     each, and have no more in common than what follows their first common
     shingle: the ``room`` there. A set whose room cannot reach the threshold
     even with the smallest set of a bucket is not in that bucket."""
-    rows = sets.select(F.col("doc_id").alias("id"), F.size("items").alias("n"), F.explode("items").alias("bucket"))
+    rows = sets.select(F.col("doc_id").alias("id"), F.size("items").alias("n"), "parity", F.explode("items").alias("bucket"))
     counts = rows.groupBy("bucket").agg(F.count("*").alias("df")).where("df > 1")
     own = Window.partitionBy("id")
     need = F.ceil(F.col("n") * percent / 100).cast("int")
@@ -231,7 +249,7 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
         rows.join(counts, "bucket").withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= need)
         .withColumn("k", F.row_number().over(own.orderBy("df", "bucket")))
         .where(F.col("k") <= F.col("shared") - need + 1)
-        .select("bucket", "id", "n", (F.col("shared") - F.col("k") + 1).alias("room"),
+        .select("bucket", "id", "n", "parity", (F.col("shared") - F.col("k") + 1).alias("room"),
                 F.collect_list("bucket").over(own.orderBy("df", "bucket").rowsBetween(-BEFORE, -1)).alias("before")),
         "prefixes")
     low = kept.groupBy("bucket").agg(F.min("n").alias("low"))
@@ -240,10 +258,10 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, id, n, room, before, label, size) of the buckets that hold
+    """(bucket, id, n, room, before, parity, label, size) of the buckets that hold
     several components. labels: (node, component)."""
     named = members.join(labels, F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", "n", "room", "before", F.coalesce("component", "id").alias("label"))
+        "bucket", "id", "n", "room", "before", "parity", F.coalesce("component", "id").alias("label"))
     several = named.groupBy("bucket").agg(
         F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")).where("l != h")
     return named.join(several.select("bucket", "size"), "bucket")
@@ -257,16 +275,17 @@ def _hubs(members: DataFrame, at_once: int) -> DataFrame:
     order = Window.partitionBy("bucket").orderBy("rows", "label", "id")
     return (members.join(sizes, ["bucket", "label"]).join(largest, "bucket")
             .where(F.col("label") != F.col("top.label")).withColumn("k", F.row_number().over(order))
-            .where(F.col("k") <= at_once).select("bucket", "id", "n", "room", "before", "label"))
+            .where(F.col("k") <= at_once).select("bucket", "id", "n", "room", "before", "parity", "label"))
 
 
 def _across(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of hubs and members of other components that the exact
-    bound does not rule out, in the first bucket that they share."""
+    bounds do not rule out, in the first bucket that they share."""
     h, m = hubs.alias("h"), members.alias("m")
     met = h.join(m, (F.col("h.bucket") == F.col("m.bucket")) & (F.col("h.label") != F.col("m.label")) & _may_reach(
         F.col("h.n"), F.col("h.room"), F.col("m.n"), F.col("m.room"), percent)
-        & ~F.arrays_overlap("h.before", "m.before"))
+        & ~F.arrays_overlap("h.before", "m.before")
+        & _may_match(F.col("h.n"), F.col("h.parity"), F.col("m.n"), F.col("m.parity"), percent))
     return met.select(F.least("h.id", "m.id").alias("a"), F.greatest("h.id", "m.id").alias("b")).distinct()
 
 
@@ -300,7 +319,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
         F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id != last")
     members = materialize(slots.join(shared.select("bucket", "hub"), "bucket"), "buckets").select(
         "bucket", "id", "n", F.col("n").alias("room"), F.array().cast("array<bigint>").alias("before"),
-        "hub").where("id != hub.id")
+        F.array().cast("array<bigint>").alias("parity"), "hub").where("id != hub.id")
     wanted = members.where(_may_reach(F.col("n"), F.col("n"), F.col("hub.n"), F.col("hub.n"), percent)).select(
         F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
     found, failed = verified(wanted)
@@ -324,7 +343,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
             labels = materialize(connected(as_links(found)), "labels")
         failed, wanted = failed.union(bad), None
         members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti").select(
-            "bucket", "id", "n", "room", "before")
+            "bucket", "id", "n", "room", "before", "parity")
         # every hub has met its bucket; what is left may hold several components
         if _open(members, labels).isEmpty():
             return as_links(found)
