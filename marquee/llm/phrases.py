@@ -10,7 +10,7 @@ more often than by chance when the phrase is frequent beside its parts.
    its arc, the sum over the range of n-grams that start with it. Labels are
    64-bit hashes of words.
 2. **Union by prefix range.** The transducers are stored in runs of ``MARK``
-   n-grams; the first n-grams of the runs, the marks, give range bounds of about ``RANGE`` n-grams.
+   n-grams; one n-gram of each run, its mark, gives range bounds of about ``RANGE`` n-grams.
    Bounds are whole n-grams, so a hot word, or a hot prefix of any length,
    is spread over as many ranges as it needs. Each range is summed in one
    task. An n-gram inside a range has its count there; one that a bound
@@ -45,7 +45,7 @@ TOP = 2000
 COVER_PERCENT = 80
 NO_LANGUAGE = "und"
 MARK = 1 << 15
-RANGE = 1 << 19
+RANGE = 1 << 20
 # marks on the driver (some 40 MB at most): beyond it, chosen by their hash
 MAX_MARKS = 1_000_000
 BITS = 1 << 27
@@ -78,7 +78,7 @@ def _slots(rows):
 
 
 def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None) -> DataFrame:
-    """Per block of text, in runs of ``MARK`` n-grams: mark (the first one), n
+    """Per block of text, in runs of ``MARK`` n-grams: mark (one of them), n
     (how many), body (the transducer), and, with ``pairs`` (the broadcast bits
     of the frequent pairs), the words of frequent pairs as labels and words. With ``pairs`` only n-grams of
     over two words inside runs of frequent pairs are counted."""
@@ -87,6 +87,7 @@ def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import xxhash
 
         from marquee.llm.terms import Words, blocks, classes
         from marquee.llm.transducer import Counts, Tree
@@ -120,10 +121,14 @@ def shards(docs: DataFrame, order: int, lang_col: str, text_col: str, pairs=None
                 room = np.where(run > 2, np.minimum(run, order), 0)
             tree = Tree.of_sequence(symbols, head, items, np.minimum(room, order), order)
             rows, counts = tree.rows()
-            # in runs: no cell of the stored table is large
-            runs = [(rows[a].astype(">u8").tobytes(), min(MARK, len(rows) - a),
-                     Counts.of(Tree.of_rows(rows[a:a + MARK], counts[a:a + MARK])).dump())
-                    for a in range(0, len(rows), MARK)]
+            # in runs: no cell of the stored table is large. A run's mark is
+            # one of its n-grams, chosen by a hash: also where blocks have one
+            # run each, the marks are spread as the n-grams are
+            runs = []
+            for a in range(0, len(rows), MARK):
+                part, n = rows[a:a + MARK], min(MARK, len(rows) - a)
+                mark = part[xxhash.xxh3_64_intdigest(part[[0, -1]].tobytes()) % n]
+                runs.append((mark.astype(">u8").tobytes(), n, Counts.of(Tree.of_rows(part, counts[a:a + MARK])).dump()))
             kept = np.flatnonzero(kept)
             dictionary = words.strings(index[kept]).to_pylist() if pairs is not None else []
             labels = of_word[kept].view(np.int64).tolist()
