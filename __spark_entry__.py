@@ -305,10 +305,13 @@ def _stream_keyed_ingest(spark, sf):
     from marquee.streaming import keyed
 
     base = scratch_path(spark, f"stream-keyed-{uuid.uuid4().hex}")
-    lines = _landing_lines(spark, sf)
-    k = F.get_json_object("value", "$.id").try_cast("bigint")
+    # derived from the tables once; the three drops take their lines from here
+    _landing_lines(spark, sf).withColumn("k", F.get_json_object("value", "$.id").try_cast("bigint")) \
+        .write.parquet(f"{base}/lines")
+    lines = spark.read.parquet(f"{base}/lines")
+    k = F.col("k")
     for i, drop in enumerate((k % 3 == 0, (k % 3 == 1) | (k % 6 == 0), (k % 3 == 2) | (k % 12 == 0))):
-        lines.where(drop).write.text(f"{base}/landing/drop-{i}")
+        lines.where(drop).select("value").write.text(f"{base}/landing/drop-{i}")
         keyed.ingest_keyed(spark, f"{base}/landing/*", f"{base}/out", "release_date", "1000 days")
     loaded = keyed.keyed_cache(spark, f"{base}/out", starview.RAW_KEYS).select("id", F.lit("loaded").alias("outcome"))
     late = keyed.late_records(spark, f"{base}/out").select(

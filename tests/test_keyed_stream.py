@@ -78,3 +78,17 @@ def test_a_replayed_epoch_writes_nothing_twice(spark, tmp_dir):
     keyed._write(later, 5, f"{tmp_dir}/out", "10 days")
     keyed._write(later, 5, f"{tmp_dir}/out", "10 days")
     assert keyed.late_records(spark, f"{tmp_dir}/out").count() == 1
+
+
+def test_a_text_is_stored_once(spark, tmp_dir):
+    land, base = f"{tmp_dir}/land", f"{tmp_dir}/out"
+    _drop(spark, land, _title(1, "2020-01-20"), _title(1, "2020-01-20"), _title(2, "soon"))
+    _take(spark, land, base)
+    _drop(spark, land, _title(3, "2020-01-21"), _title(4, "2020-01-01"))
+    _take(spark, land, base)
+    rows = spark.read.parquet(f"{base}/rows")
+    # texts beside the accepted ones: one reject, one late record
+    kept = rows.where("kind = 'seen' AND value IS NOT NULL").collect()
+    assert sorted(json.loads(r.value)["id"] for r in kept) == [2, 4]
+    assert rows.where("kind = 'seen'").count() == 5
+    assert [i for i, _ in _loaded(spark, base)] == ["1", "3"] and [x[0] for x in _late(spark, base)] == [4]
