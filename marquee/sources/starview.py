@@ -16,7 +16,7 @@ Execution shape (all DataFrame operators, no driver loop):
   measured shuffle size) broadcast a side only when it is under
   ``spark.sql.autoBroadcastJoinThreshold`` and fall back to a sort-merge
   join otherwise, which AQE splits further when one supplier is hot.
-* per-part lists are ``collect_set``s over fixed-size tables: the
+* per-part lists come from a ``collect_set`` over fixed-size tables: the
   suppliers' nations (cast, production countries; at most 25), crew
   (nation, job) entries (at most 75) and regions (at most 5). A part
   holding a third of all lines still yields bounded arrays.
@@ -94,9 +94,9 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     date, and the sorted lists of its suppliers' nations (the cast and
     the production countries), crew (nation, job) entries and regions.
 
-    Every list is a ``collect_set`` over a fixed-size table (25 nations,
-    5 regions, 3 jobs), so a title's arrays stay bounded however many
-    lines or suppliers a part has."""
+    The lists come from one ``collect_set`` over fixed-size tables (25
+    nations with their regions, 3 jobs), so a title's arrays stay bounded
+    however many lines or suppliers a part has."""
     sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -106,8 +106,9 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pairs.join(sup, pairs.l_suppkey == sup.s_suppkey, "left") \
         .join(geo, F.col("s_nationkey") == F.col("n_nationkey"), "left")
 
-    def with_job(flag: str) -> Column:
-        return F.collect_set(F.when(F.col(flag), F.col("n_name")))
+    def listed(name: str, flag: str | None = None) -> Column:
+        some = F.filter("_places", lambda x: x[name].isNotNull() & (x[flag] if flag else F.lit(True)))
+        return F.array_distinct(F.transform(some, lambda x: x[name]))
 
     crew = F.concat(
         F.transform(F.col("_crew"), lambda n: F.struct(n.alias("name"), F.lit("Crew").alias("job"))),
@@ -119,13 +120,14 @@ def title_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("qty").alias("qty"),
         F.sum("lines").alias("lines"),
         F.min("first_ship").alias("first_ship"),
-        F.array_sort(F.collect_set("n_name")).alias("nations"),
-        F.array_sort(F.collect_set("r_name")).alias("regions"),
-        with_job("is_crew").alias("_crew"),
-        with_job("is_director").alias("_dir"),
-        with_job("is_writer").alias("_wri"),
-    ).select("l_partkey", "price", "returns", "qty", "lines", "first_ship", "nations", "regions",
-             F.col("nations").alias("cast_names"), F.array_sort(crew).alias("crew"))
+        # one set a part: a buffer for each list costs more than the rest of the job
+        F.collect_set(F.struct("n_name", "r_name", "is_crew", "is_director", "is_writer")).alias("_places"),
+    ).withColumns({
+        "nations": F.sort_array(listed("n_name")), "regions": F.sort_array(listed("r_name")),
+        "_crew": listed("n_name", "is_crew"), "_dir": listed("n_name", "is_director"),
+        "_wri": listed("n_name", "is_writer"),
+    }).select("l_partkey", "price", "returns", "qty", "lines", "first_ship", "nations", "regions",
+             F.col("nations").alias("cast_names"), F.sort_array(crew).alias("crew"))
 
 
 def title_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,11 @@ def test_group_sums_are_partial_then_final(spark):
     plan = _plan(groups.director_summary(clean))
     # map-side partial aggregation before the shuffle on the director key
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_title_facts_collect_one_set_and_sort_natively(spark):
+    from marquee.sources import starview
+    from tests.conftest import SF_SMALL
+
+    plan = starview.title_facts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set(") == 1 and "array_sort(" not in plan
