@@ -39,23 +39,35 @@ def shapes(records: DataFrame, by: Sequence[str] = (), column: str = "record", d
     null, because its text was no JSON, counts as ``MALFORMED`` at ``$``.
 
     Members are exploded level under level in one scan; a value is counted
-    on the first of the rows that its own members make."""
+    on the first of the rows that its own members make. A value with members
+    shows its type by them, so only scalars and empty values are asked for
+    theirs, and it is dropped when its members have been made. The lambda
+    around that question keeps the levels in generated methods of their own:
+    all of them in one are too large for the JVM to compile."""
+    def asked(value: Column) -> Column:
+        return F.get(F.transform(F.array(value), _kind), F.lit(0))
+
     spark = records.sparkSession
-    rows = records.select(*by, F.col(column).alias("v0"))
+    # the level's value, and of every level up to it: path, type, place
+    rows = records.select(*by, F.col(column).alias("_v"), F.lit("$").alias("_path0"))
     for d in range(1, depth + 1):
-        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col(f"v{d - 1}").outer()).select(
-            F.col("pos").alias(f"p{d}"), F.col("key").alias(f"k{d}"), F.col("value").alias(f"v{d}")))
-    path, found = F.lit("$"), []
+        above = [c for c in rows.columns if c != "_v"]
+        kind = F.when(F.col("_key").isNotNull(), "OBJECT").when(F.col("_pos").isNotNull(), "ARRAY").otherwise(
+            asked(F.col("_v")))
+        path = F.concat(f"_path{d - 1}", F.when(F.col("_key").isNull(), F.lit("[*]")).otherwise(
+            F.concat(F.lit("."), F.col("_key"))))
+        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()).select(
+            F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_member")))
+        rows = rows.select(*above, kind.alias(f"_type{d - 1}"), F.col("_pos").alias(f"_at{d}"), path.alias(f"_path{d}"),
+                           F.col("_member").alias("_v"))
+    rows = rows.withColumn(f"_type{depth}", asked(F.col("_v"))).withColumn(
+        "_type0", F.coalesce("_type0", F.lit(MALFORMED)))
+    found = []
     for d in range(depth + 1):
-        if d:
-            path = F.concat(path, F.when(F.col(f"k{d}").isNull(), F.lit("[*]")).otherwise(
-                F.concat(F.lit("."), F.col(f"k{d}"))))
-        first = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"p{i}"), F.lit(0)) == 0
+        first = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"_at{i}"), F.lit(0)) == 0
                                             for i in range(d + 1, depth + 1)], F.lit(True))
-        kind = _kind(F.col(f"v{d}"))
-        kind = F.coalesce(kind, F.lit(MALFORMED)) if d == 0 else kind
-        there = first if d == 0 else first & F.col(f"v{d}").isNotNull()
-        found.append(F.when(there, F.struct(path.alias("path"), kind.alias("type"))))
+        found.append(F.when(first & F.col(f"_type{d}").isNotNull(), F.struct(
+            F.col(f"_path{d}").alias("path"), F.col(f"_type{d}").alias("type"))))
     return rows.select(*by, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x")).groupBy(
         *by, F.col("x.path").alias("path"), F.col("x.type").alias("type")).agg(F.count(F.lit(1)).alias("rows"))
 

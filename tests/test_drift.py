@@ -1,6 +1,7 @@
 """Raw records as VARIANT, and how landings depart from their shape."""
 
 import json
+import re
 
 from marquee.operators.clean import clean_catalogue
 from marquee.sources import drift, ingest
@@ -72,3 +73,12 @@ def test_shapes_are_one_scan(spark, tmp_dir):
     df = drift.shapes(drift.as_variant(spark.read.text(f"{tmp_dir}/land")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan text") == 1 and "partial_count" in plan and "CartesianProduct" not in plan
+
+
+def test_a_level_carries_no_value_of_the_levels_above(spark):
+    df = drift.shapes(drift.as_variant(_lines(spark, raw_record())))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    kept = [x.split("), [", 1)[1].split("]")[0] for x in plan.splitlines() if "Generate variant_explode(" in x]
+    assert len(kept) == 4
+    for columns in kept:
+        assert len([c for c in columns.split(", ") if re.match(r"_?v\d*#", c)]) <= 1
