@@ -64,7 +64,7 @@ def candidates(spark: SparkSession, path: str, asked: set[tuple[str, str]]) -> D
     those of the trigrams' buckets, known when the plan is made."""
     pairs = sorted(asked)
     numbered = spark.createDataFrame(pairs, "field string, gram string")
-    buckets = sorted({r.b for r in numbered.select(_bucket(F.col("field"), F.col("gram")).alias("b")).collect()})
+    buckets = sorted(numbered.agg(F.collect_set(_bucket(F.col("field"), F.col("gram"))).alias("b")).first()["b"])
     wanted = reduce(lambda a, b: a | b, [(F.col("field") == f) & (F.col("gram") == g) for f, g in pairs])
     held = spark.read.parquet(path).where(F.col("bucket").isin(buckets) & wanted)
     return held.groupBy("id").agg(F.count_distinct("field", "gram").alias("n")).where(

@@ -163,7 +163,8 @@ def touched_facts(spark: SparkSession, base: str, touched: DataFrame) -> DataFra
     """The stored rows of the touched ids (``id``): only the folders of
     their buckets are read."""
     base = base.rstrip("/")
-    buckets = [r.bucket for r in touched.select(_bucket(F.col("id")).alias("bucket")).distinct().collect()]
+    # one row: a set of the fixed number of buckets
+    buckets = touched.agg(F.collect_set(_bucket(F.col("id"))).alias("buckets")).first()["buckets"]
     schema = spark.read.parquet(f"{base}/facts").schema
     rows = _facts(spark, base, _version(spark, base), schema).where(F.col("bucket").isin(buckets))
     return _newest(rows.join(touched.select("id").distinct(), "id", "left_semi"))
