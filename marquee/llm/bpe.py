@@ -27,13 +27,12 @@ gives an empty table; other columns are not returned.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ship
+from marquee.llm.common import held, ship
 
 LEAF = 24
 MEMO = 300_000
@@ -153,11 +152,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(data: bytes, pattern: str) -> Encoder:
-    return Encoder(Tree(load_ranks(data)), pattern)
-
-
 def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
              text_col: str = "text", outputs: tuple[str, ...] = ("ids",)) -> DataFrame:
     """Encode every text. Returns id_col, n_tokens and the ``outputs``
@@ -180,7 +174,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
         from marquee.llm.shingles import slices
 
-        encoder = _encoder(shared.value, pattern)
+        encoder = held("bpe", (shared.value, pattern), lambda: Encoder(Tree(load_ranks(shared.value)), pattern))
         for batch in (part for whole in batches for part in slices(whole, 1)):
             ids = [encoder.encode(t or "") for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64())]

@@ -49,7 +49,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20):
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20):
     """Jobs inside the block hand wide rows to Python in batches of at most
     ``rows`` rows (and ``size`` bytes where Spark cuts by bytes), so that
     neither side holds ten thousand sets at once. The session's own settings
@@ -66,6 +66,20 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20):
             spark.conf.set(k, v)
 
 
+_HELD: dict = {}
+
+
+def held(name: str | None, key=None, build=None):
+    """In a worker: the model ``name``, built for ``key`` and kept from task
+    to task. A worker holds one model; asking for another, or for none,
+    drops it, as a process outlives the job that needed it."""
+    if name is None or (name, key) not in _HELD:
+        _HELD.clear()
+        if name is not None:
+            _HELD[name, key] = build()
+    return _HELD.get((name, key))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

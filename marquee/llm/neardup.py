@@ -44,7 +44,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import free_name, materialize, ship, small_batches
+from marquee.llm.common import free_name, held, materialize, ship, small_batches
 from marquee.llm.components import connected
 
 BANDS, ROWS = 32, 4
@@ -95,6 +95,7 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
 
         from marquee.llm.shingles import shingle_sets, slices
 
+        held(None)  # what the worker did before
         masks, factors = _permutations()
         for batch in (part for whole in batches for part in slices(whole, 2)):
             n, digests, sigs = [], [], []

@@ -28,12 +28,10 @@ columns are not returned, whatever their names.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ship
+from marquee.llm.common import held, ship
 
 WINDOW = 4096
 END_ID = 2
@@ -257,9 +255,13 @@ class Encoder:
         return out, np.append(0, close)[np.searchsorted(starts, at)]
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(data: bytes, plain_specials: bool) -> Encoder:
-    return Encoder(data, plain_specials)
+def encoded(encoder: Encoder, batches):
+    """(part, flat ids, first id of every text and the end) of small parts
+    of record batches of (id, text)."""
+    from marquee.llm.shingles import slices, text_bytes
+
+    for batch in (part for whole in batches for part in slices(whole, 1)):
+        yield batch, *encoder.encode(*text_bytes(batch.column(1)))
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, id_col: str = "doc_id",
@@ -289,14 +291,11 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from marquee.llm.shingles import slices, text_bytes
-
-        encoder = _encoder(shared.value, plain_specials)
+        encoder = held("packing", (shared.value, plain_specials), lambda: Encoder(shared.value, plain_specials))
         end = end_id.to_bytes(4, "little")
         number = TaskContext.get().partitionId() << 33
-        for batch in (part for whole in batches for part in slices(whole, 1, 4 << 20)):
+        for batch, flat, first in encoded(encoder, batches):
             of, start, length, total, bodies = [], [], [], [], []
-            flat, first = encoder.encode(*text_bytes(batch.column(1)))
             for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
                 ids = flat[a:b].tobytes() + end
                 at, n = 0, b - a + 1

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+# text bytes of a batch that are worked on at once: what is made of them is
+# many times their size, and a worker keeps the most it ever held
+SLICE = 1 << 19
 U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -56,7 +59,7 @@ def text_bytes(column):
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def slices(batch, column: int, limit: int = 8 << 20):
+def slices(batch, column: int, limit: int = SLICE):
     """A record batch in parts of about ``limit`` text bytes, so that what
     is made of a part stays small; a longer text is a part of its own."""
     _, offsets = text_bytes(batch.column(column))

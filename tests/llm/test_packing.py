@@ -131,3 +131,25 @@ def test_query_covers_all_documents(spark, encoder):
     for r in rows:
         part = np.array(want[r.doc_id][r.start:r.start + r.length], "<u4")
         assert r.ids_crc32 == zlib.crc32(part.tobytes()) and r.doc_tokens == len(want[r.doc_id])
+
+
+def test_memory_of_a_large_batch(encoder):
+    import tracemalloc
+
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(range(60)), pa.array([f"row {i} of some words, and more: " * 3000 for i in range(60)])], ["id", "text"])
+    tracemalloc.start()
+    n = sum(len(first) - 1 for _, _, first in packing.encoded(encoder, [rows]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 60 and peak < 150e6
+
+
+def test_a_worker_holds_one_model():
+    from marquee.llm.common import held
+
+    one = held("a", 1, list)
+    assert held("a", 1, list) is one
+    two = held("b", 1, list)
+    assert two is not one and held("a", 1, list) is not one
+    assert held(None) is None and held("b", 1, list) is not two
