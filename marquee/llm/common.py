@@ -48,6 +48,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# keys of rows are broadcast up to this many (some 50 MB), else joined by a shuffle
+MAX_BROADCAST_KEYS = 500_000
+
+
+def keys_to(keys: DataFrame) -> DataFrame:
+    """Stored ``keys`` of few columns, to join texts with: while they are few
+    the texts stay where they are, else both sides are shuffled."""
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20):
     """Jobs inside the block hand wide rows to Python in batches of at most

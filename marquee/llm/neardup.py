@@ -44,7 +44,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import free_name, held, materialize, ship, small_batches
+from marquee.llm.common import free_name, held, keys_to, materialize, ship, small_batches
 from marquee.llm.components import connected
 
 BANDS, ROWS = 32, 4
@@ -292,11 +292,12 @@ def _across(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str = "doc_id",
           text_col: str = "text", miss: float = MISS, hubs_at_once: int = 256) -> DataFrame:
-    """Verified links (u, v) between representatives: enough of them that
+    """Links (u, v) between representatives, verified ones or those of a
+    representative and the smallest one of its component: enough of them that
     the components are those of all verified pairs of all buckets."""
     spark = docs.sparkSession
     kind = reps.schema["doc_id"].dataType.simpleString()
-    found = failed = spark.createDataFrame([], f"a {kind}, b {kind}")
+    failed = spark.createDataFrame([], f"a {kind}, b {kind}")
 
     def sets_for(ids: DataFrame, tag: str) -> DataFrame:
         return materialize(sets_of(docs, materialize(ids.distinct(), "ids"), size, id_col, text_col), tag)
@@ -313,6 +314,10 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
     def as_links(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
+    def tree(labels: DataFrame) -> DataFrame:
+        """What the links so far come to: a link for every member."""
+        return labels.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u != v")
+
     n = F.col("n_shingles").alias("n")
     slots = reps.select(F.col("doc_id").alias("id"), n, F.posexplode("sig").alias("band", "value")).select(
         "id", "n", F.xxhash64("band", "value").alias("bucket"))
@@ -331,7 +336,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
     wanted = _across(little, little, percent)
     large = left.where(F.col("size") > SMALL).select(F.col("id").alias("doc_id"))
     if large.isEmpty():
-        return as_links(found.union(verified(wanted)[0]))
+        return tree(labels).union(as_links(verified(wanted)[0]))
     members = prefix_buckets(sets_for(large, "large"), percent)
     while True:
         members = materialize(_open(members, labels), "open")
@@ -340,14 +345,13 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
             _across(hubs, members, percent)).distinct()
         good, bad = verified(wanted)
         if not good.isEmpty():
-            found = found.union(good)
-            labels = materialize(connected(as_links(found)), "labels")
+            labels = materialize(connected(tree(labels).union(as_links(good))), "labels")
         failed, wanted = failed.union(bad), None
         members = members.join(hubs.select("bucket", "id"), ["bucket", "id"], "left_anti").select(
             "bucket", "id", "n", "room", "before", "parity")
         # every hub has met its bucket; what is left may hold several components
         if _open(members, labels).isEmpty():
-            return as_links(found)
+            return tree(labels)
         hubs_at_once *= 8
 
 
@@ -369,13 +373,14 @@ def _judged(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "at"))
     classes = materialize(some.groupBy("digest").agg(F.min("me").alias("first"), F.count("*").alias("n")).where(
         "n > 1").select("digest", "first"), "classes")
-    own = some.join(classes, "digest", "left").withColumn("first", F.coalesce("first", "me"))
+    own = some.join(keys_to(classes), "digest", "left").withColumn("first", F.coalesce("first", "me"))
     reps = materialize(own.where(F.col("first.at") == F.col("at")).select(
         F.col("key").alias("doc_id"), "n_shingles", "sig", "me"), "representatives")
     # a text is read once where several rows are equal in id and text
     texts = docs.select(row_key(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
     again = materialize(some.groupBy(F.col("key").alias("doc_id")).count().where("count > 1").select("doc_id"), "again")
     if not again.isEmpty():
+        again = keys_to(again)
         texts = texts.join(again, "doc_id", "left_anti").union(
             texts.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     parts = materialize(connected(links(texts, reps, size, percent, "doc_id", "text", miss)), "components")
@@ -414,12 +419,13 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "d
     gone = materialize(rows.where(F.col("key") != F.col("top.key")).select(
         F.col("doc_id").alias(at), F.col("key").alias(key)).distinct(), "gone")
     same = (row_key(id_col, text_col) == F.col(key)) & F.col(id_col).eqNullSafe(F.col(at))
-    left = docs.join(gone, same, "left_anti")
+    left = docs.join(keys_to(gone), same, "left_anti")
     twice = last.where("doc_id IS NOT NULL OR top IS NOT NULL").groupBy(
         F.col("doc_id").alias(at), F.col("key").alias(key)).count().where("count > 1").drop("count")
     twice = materialize(twice, "repeated")
     if twice.isEmpty():
         return left
+    twice = keys_to(twice)
     names = [F.col(f"{one}.`{c}`").alias(c) for c in docs.columns]
     again = left.join(twice, same, "left_semi").groupBy(
         F.col(id_col).alias(at), row_key(id_col, text_col).alias(key)).agg(
