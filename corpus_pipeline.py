@@ -14,6 +14,11 @@ from marquee.llm import bpe, decontam, neardup, pii, rules
 from marquee.llm.common import materialize, table
 
 
+# pieces that byte_bpe remembers: its workers follow four stages in executors
+# whose heaps are full by then
+MEMO = 50_000
+
+
 def quality_rules(spark, docs, sf_dir):
     """Documents that fail the base rule or a certified cutoff go."""
     return rules.filter_documents(docs, table(spark, sf_dir, "labels"))
@@ -46,7 +51,7 @@ def byte_bpe(spark, docs, sf_dir):
     import public_tokenizers
 
     return bpe.tokenize(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                        outputs=("ids", "ids_sha256", "decoded_sha256"))
+                        outputs=("ids", "ids_sha256", "decoded_sha256"), memo=MEMO)
 
 
 STAGES = [

@@ -117,12 +117,12 @@ class Tree:
 
 class Encoder(dict):
     """Memo from a piece of text to its ids (little-endian, 32 bits each).
-    Two generations of at most ``MEMO`` short pieces each."""
+    Two generations of at most ``memo`` short pieces each."""
 
-    def __init__(self, tree: Tree, pattern: str):
+    def __init__(self, tree: Tree, pattern: str, memo: int = MEMO):
         import regex
 
-        self.tree, self.old = tree, {}
+        self.tree, self.old, self.memo = tree, {}, memo
         own = (pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
         self.matches = regex.compile(own).findall
         # what the usual pattern never matches across: a blank and the run of
@@ -142,7 +142,7 @@ class Encoder(dict):
             else:
                 ids = b"".join(map(self.__getitem__, found))
         if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+            if len(self) >= self.memo:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
@@ -153,11 +153,12 @@ class Encoder(dict):
 
 
 def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-             text_col: str = "text", outputs: tuple[str, ...] = ("ids",)) -> DataFrame:
+             text_col: str = "text", outputs: tuple[str, ...] = ("ids",), memo: int = MEMO) -> DataFrame:
     """Encode every text. Returns id_col, n_tokens and the ``outputs``
     wanted: ``ids`` (array<int>), ``decoded`` (the text decoded from the
     ids), ``ids_sha256`` and ``decoded_sha256`` (of the ids as little-endian
-    unsigned 32-bit integers, and of the decoded bytes)."""
+    unsigned 32-bit integers, and of the decoded bytes). ``memo`` trades a
+    worker's memory (some 300 bytes a piece) for time."""
     with open(path, "rb") as file:
         data = file.read(MAX_VOCABULARY_BYTES + 1)
     if len(data) > MAX_VOCABULARY_BYTES:
@@ -172,10 +173,11 @@ def tokenize(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         import numpy as np
         import pyarrow as pa
 
-        from marquee.llm.shingles import slices
+        from marquee.llm.shingles import small_parts
 
-        encoder = held("bpe", (shared.value, pattern), lambda: Encoder(Tree(load_ranks(shared.value)), pattern))
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        encoder = held("bpe", (shared.value, pattern, memo),
+                       lambda: Encoder(Tree(load_ranks(shared.value)), pattern, memo))
+        for batch in small_parts(batches, 1):
             ids = [encoder.encode(t or "") for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64())]
             want = {}

@@ -93,11 +93,11 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
         import xxhash
 
-        from marquee.llm.shingles import shingle_sets, slices
+        from marquee.llm.shingles import shingle_sets, small_parts
 
         held(None)  # what the worker did before
         masks, factors = _permutations()
-        for batch in (part for whole in batches for part in slices(whole, 2)):
+        for batch in small_parts(batches, 2):
             n, digests, sigs = [], [], []
             for s in shingle_sets(batch.column(2), size):
                 n.append(len(s))
@@ -175,9 +175,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: s
         import numpy as np
         import pyarrow as pa
 
-        from marquee.llm.shingles import shingle_sets, slices
+        from marquee.llm.shingles import shingle_sets, small_parts
 
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in small_parts(batches, 1):
             sets = list(shingle_sets(batch.column(1), size))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
@@ -295,9 +295,9 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int, id_col: str
     """Links (u, v) between representatives, verified ones or those of a
     representative and the smallest one of its component: enough of them that
     the components are those of all verified pairs of all buckets."""
-    spark = docs.sparkSession
-    kind = reps.schema["doc_id"].dataType.simpleString()
-    failed = spark.createDataFrame([], f"a {kind}, b {kind}")
+    # none yet; made by Spark alone, as rows from Python cost each executor
+    # a second Python daemon with workers of its own
+    failed = reps.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).where(F.lit(False))
 
     def sets_for(ids: DataFrame, tag: str) -> DataFrame:
         return materialize(sets_of(docs, materialize(ids.distinct(), "ids"), size, id_col, text_col), tag)

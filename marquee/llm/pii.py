@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ship
+from marquee.llm.common import held, ship
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -518,7 +518,10 @@ def mask(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Data
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        from marquee.llm.shingles import small_parts
+
+        held(None)  # what the worker did before
+        for batch in small_parts(batches, place):
             got = find_batch(batch.column(place), shared.value)
             if got:
                 texts = batch.column(place).to_pylist()

@@ -70,6 +70,17 @@ def slices(batch, column: int, limit: int = SLICE):
         first = last
 
 
+def small_parts(batches, column: int):
+    """The record batches in ``slices``. After each batch, what Arrow's pool
+    keeps of it goes back: a worker outlives its task."""
+    import pyarrow as pa
+
+    for batch in batches:
+        yield from slices(batch, column)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def chunks(offsets: np.ndarray):
     """Ranges of documents of about CHUNK bytes."""
     first, n = 0, len(offsets) - 1
