@@ -48,6 +48,27 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing will read it again."""
+    spark = stored.sparkSession
+    for folder in {f.rpartition("/")[0] for f in stored.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries run inside the block delete their shuffle files when they
+    end; else these stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 # keys of rows are broadcast up to this many (some 50 MB), else joined by a shuffle
 MAX_BROADCAST_KEYS = 500_000
 

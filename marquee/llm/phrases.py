@@ -12,9 +12,11 @@ more often than by chance when the phrase is frequent beside its parts.
 2. **Union by prefix range.** The transducers are stored in runs of ``MARK``
    n-grams; one n-gram of each run, its mark, gives range bounds of about ``RANGE`` n-grams.
    Bounds are whole n-grams, so a hot word, or a hot prefix of any length,
-   is spread over as many ranges as it needs. Each range is summed in one
-   task. An n-gram inside a range has its count there; one that a bound
-   runs through has partial counts in a few ranges, added afterwards.
+   is spread over as many ranges as it needs. A run is cut into neighbouring
+   pieces of its sorted n-grams; each range is summed in one task by one sort
+   of its pieces, so many small pieces cost no more than a few large ones. An
+   n-gram inside a range has its count there; one that a bound runs through
+   has partial counts in a few ranges, added afterwards.
 3. **Two orders.** Words and pairs are counted first. A phrase of 3 or 4
    words holds only pairs that are as frequent as itself, so the second
    count takes n-grams inside runs of frequent pairs only. The pairs are
@@ -37,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import materialize, ship
+from marquee.llm.common import discard, materialize, ship, shuffles_removed, small_batches
 
 ORDER = 4
 LEAST = 30
@@ -46,6 +48,8 @@ COVER_PERCENT = 80
 NO_LANGUAGE = "und"
 MARK = 1 << 15
 RANGE = 1 << 20
+# runs, or pieces of them (1.5 MB at most each), that go to Python at once
+PIECES = 16
 # marks on the driver (some 40 MB at most): beyond it, chosen by their hash
 MAX_MARKS = 1_000_000
 BITS = 1 << 27
@@ -169,18 +173,29 @@ def _bounds(stored: DataFrame, order: int):
     return np.frombuffer(b"".join(chosen), ">u8").astype(np.uint64).reshape(-1, order + 1)
 
 
-def _place(rows, bound) -> int:
-    """Where a bound lies in sorted rows: the number of smaller ones."""
+def _numbers(bodies):
+    """The numbers in an Arrow binary column, one body after the other."""
     import numpy as np
 
-    low, high = 0, len(rows)
-    for d in range(rows.shape[1]):
-        column = rows[low:high, d]
-        low, high = low + int(np.searchsorted(column, bound[d], "left")), low + int(
-            np.searchsorted(column, bound[d], "right"))
-        if low == high:
-            break
-    return low
+    ends = np.frombuffer(bodies.buffers()[1], np.int32)[[bodies.offset, bodies.offset + len(bodies)]]
+    return np.frombuffer(bodies.buffers()[2].slice(ends[0], ends[1] - ends[0]), np.uint64)
+
+
+def _strings(rows):
+    """Rows of labels as byte strings that sort as the rows do."""
+    import numpy as np
+
+    return np.ascontiguousarray(rows, ">u8").view(f"S{8 * rows.shape[1]}").ravel()
+
+
+def _cut(rows, bounds):
+    """(range of the first piece, edges of the pieces) of sorted rows cut at
+    ``bounds`` (sorted, as ``_strings``). Only bounds between the first and
+    the last row are looked at, however many there are."""
+    import numpy as np
+
+    low, high = np.searchsorted(bounds, _strings(rows[[0, -1]]), "right")
+    return int(low), np.concatenate([[0], np.searchsorted(_strings(rows), bounds[low:high]), [len(rows)]])
 
 
 def count(stored: DataFrame, order: int, least: int) -> DataFrame:
@@ -194,47 +209,53 @@ def count(stored: DataFrame, order: int, least: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from marquee.llm.transducer import Counts, Tree
+        from marquee.llm.transducer import Counts
 
+        limits = _strings(bounds.value)
         for batch in batches:
             for body in batch.column(0).to_pylist():
                 rows, counts = Counts.load(body).tree().rows()
-                places = [0, *(_place(rows, b) for b in bounds.value), len(rows)]
-                parts = [(i, Counts.of(Tree.of_rows(rows[a:b], counts[a:b])).dump())
-                         for i, (a, b) in enumerate(zip(places[:-1], places[1:], strict=True)) if b > a]
-                if len(places) == 2:
-                    parts = [(0, body)]
-                yield pa.RecordBatch.from_arrays([pa.array([np.int32(i) for i, _ in parts], pa.int32()),
-                                                  pa.array([b for _, b in parts], pa.binary())], ["range", "body"])
+                first, edges = _cut(rows, limits)
+                # the pieces are neighbours in one buffer: none is made by itself
+                data = np.column_stack([rows, counts.astype(np.uint64)])
+                pieces = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [
+                    None, pa.py_buffer((edges * data.strides[0]).astype(np.int32)), pa.py_buffer(data)])
+                full = np.flatnonzero(np.diff(edges))
+                yield pa.RecordBatch.from_arrays([pa.array(first + full, pa.int32()), pieces.take(pa.array(full))],
+                                                 ["range", "body"])
 
     def merge(table):
         import numpy as np
         import pyarrow as pa
 
-        from marquee.llm.transducer import Counts, union
+        from marquee.llm.transducer import union_of_rows
 
         part = table.column("range")[0].as_py()
-        # few at a time: what is held is the sum and a few summands
-        tree, waiting = None, []
-        for body in table.column("body"):
-            waiting.append(Counts.load(body.as_py()).tree())
-            if len(waiting) == 16:
-                tree, waiting = union([*([tree] if tree else []), *waiting]), []
-        tree = union([*([tree] if tree else []), *waiting])
+        parts = [_numbers(x).reshape(-1, order + 2) for x in table.column("body").chunks]
+        ends = np.append(0, np.cumsum([len(x) for x in parts]))
+        rows, counts = np.empty((ends[-1], order + 1), np.uint64, order="F"), np.empty(ends[-1], np.int64)
+        for x, a, b in zip(parts, ends[:-1], ends[1:], strict=True):
+            rows[a:b], counts[a:b] = x[:, :-1], x[:, -1].view(np.int64)
+        tree = union_of_rows(rows, counts)
+        del rows, counts, parts, x
         edges = [bounds.value[i] for i in (part - 1, part) if 0 <= i < len(bounds.value)]
         open_arcs = {x for e in edges for x in tree.on(e)}
-        paths, sums, slots = [], [], []
+        paths, sizes, sums, slots = [], [], [], []
         for d in range(tree.depth):
             # arcs that a bound runs through may go on in other ranges
             keep = tree.weight[d] >= (least if d else 0)
             keep[[arc for level, arc in open_arcs if level == d]] = True
             keep = np.flatnonzero(keep)
             rows = tree.paths(d, keep)
-            paths += rows.view(np.int64).tolist()
-            sums += tree.weight[d][keep].tolist()
-            slots += _slots(rows).tolist() if d == 2 else [-1] * len(keep)
-        return pa.table({"path": pa.array(paths, pa.list_(pa.int64())), "f": pa.array(sums, pa.int64()),
-                         "slot": pa.array(slots, pa.int64())})
+            paths.append(rows.ravel().view(np.int64))
+            sizes.append(np.full(len(keep), d + 1))
+            sums.append(tree.weight[d][keep])
+            slots.append(_slots(rows) if d == 2 else np.full(len(keep), -1))
+        ends = np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int32)
+        del tree
+        pa.default_memory_pool().release_unused()
+        return pa.table({"path": pa.ListArray.from_arrays(ends, np.concatenate(paths)), "f": np.concatenate(sums),
+                         "slot": np.concatenate(slots)})
 
     pieces = stored.select("body").mapInArrow(cut, "range int, body binary")
     found = pieces.groupBy("range").applyInArrow(merge, "path array<bigint>, f bigint, slot bigint")
@@ -327,18 +348,25 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
          top: int = TOP) -> DataFrame:
     """The ``top`` phrases of every language: lang, rank, phrase, a, l, r,
     n, score."""
-    pairs = materialize(shards(docs, 2, lang_col, text_col).select("mark", "n", "body"), "pairs")
-    short = materialize(count(pairs.where("n > 0"), 2, least), "short")
-    bits = _pair_bits(short)
-    longer = materialize(shards(docs, ORDER, lang_col, text_col, bits), "phrases")
-    long = materialize(count(longer.where("n > 0"), ORDER, least).where(F.size("path") > 3), "long")
-    bits.unpersist()
-    names = longer.select(F.explode(F.arrays_zip("labels", "words")).alias("x")).groupBy(
-        F.col("x.labels").alias("label")).agg(F.min("x.words").alias("word"))
-    names = materialize(names, "words")
+    spark = docs.sparkSession
+    with shuffles_removed(spark):
+        pairs = materialize(shards(docs, 2, lang_col, text_col).select("mark", "n", "body"), "pairs")
+        with small_batches(spark, rows=PIECES):
+            short = materialize(count(pairs.where("n > 0"), 2, least), "short")
+        discard(pairs)
+        bits = _pair_bits(short)
+        longer = materialize(shards(docs, ORDER, lang_col, text_col, bits), "phrases")
+        with small_batches(spark, rows=PIECES):
+            long = materialize(count(longer.where("n > 0"), ORDER, least).where(F.size("path") > 3), "long")
+        bits.unpersist()
+        names = longer.select(F.explode(F.arrays_zip("labels", "words")).alias("x")).groupBy(
+            F.col("x.labels").alias("label")).agg(F.min("x.words").alias("word"))
+        names = materialize(names, "words")
+        discard(longer)
     totals = short.where(F.size("path") == 1).select(F.element_at("path", 1).alias("head"), F.col("f").alias("n"))
     counted = short.where(F.size("path") > 1).unionByName(long)
-    kept = materialize(uncovered(materialize(candidates(counted), "candidates")), "kept")
+    with shuffles_removed(spark):
+        kept = materialize(uncovered(materialize(candidates(counted), "candidates")), "kept")
 
     # a candidate has at most ORDER + 1 labels
     spelt = kept.select("path", F.posexplode("path").alias("at", "label")).join(names, "label").groupBy("path").agg(

@@ -142,19 +142,26 @@ class Tree:
 
 def union(trees: list[Tree]) -> Tree:
     """Sum of trees: counts of equal n-grams add up."""
-    parent, label, weight = [], [], []
-    node = [np.zeros(1, np.int64) for _ in trees]
-    for d in range(max(t.depth for t in trees)):
-        symbols, of = np.unique(np.concatenate([t.label[d] for t in trees]), return_inverse=True)
-        above = np.concatenate([n[t.parent[d]] for n, t in zip(node, trees, strict=True)])
-        arcs, at = np.unique((above << 32) | of, return_inverse=True)
-        total = np.zeros(len(arcs), np.int64)
-        np.add.at(total, at, np.concatenate([t.weight[d] for t in trees]))
-        node = np.split(at, np.cumsum([len(t.label[d]) for t in trees])[:-1])
-        parent.append(arcs >> 32)
-        label.append(symbols[arcs & 0xFFFFFFFF])
-        weight.append(total)
-    return Tree(parent, label, weight)
+    rows, counts = zip(*(t.rows() for t in trees), strict=True)
+    return union_of_rows(np.asfortranarray(np.concatenate(rows)), np.concatenate(counts))
+
+
+def union_of_rows(rows: np.ndarray, counts: np.ndarray) -> Tree:
+    """The tree of n-grams in any order, some of them repeated: one sort,
+    however many parts they come from. ``rows`` (column by column in memory)
+    are sorted in place, so they are held once."""
+    order = np.lexsort(rows.T[::-1])
+    counts = counts[order]
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for d in range(rows.shape[1]):
+        rows[:, d] = rows[order, d]
+        new[1:] |= rows[1:, d] != rows[:-1, d]
+    del order
+    start = np.flatnonzero(new)
+    for d in range(rows.shape[1]):
+        rows[:len(start), d] = rows[start, d]
+    return Tree.of_rows(rows[:len(start)], np.add.reduceat(counts, start) if len(start) else counts)
 
 
 class Counts:

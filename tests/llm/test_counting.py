@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -11,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from marquee.llm import divergence, phrases
+from marquee.llm import common, divergence, phrases
 from marquee.llm.oracle import statements
 from marquee.llm.queries import queries
 from marquee.llm.terms import Words, blocks, classes
@@ -156,6 +157,48 @@ def test_many_ranges_and_split_texts_change_nothing(spark, monkeypatch):
     assert got == mined(rows, 5)
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_a_run_is_cut_at_the_bounds_inside_it_only(seed):
+    rng = np.random.default_rng(seed)
+    edge = np.array([0, 1, 255, 256, 2**63, 2**64 - 1], np.uint64)
+    rows = np.unique(np.where(rng.random((300, 3)) < .5, rng.choice(edge, (300, 3)), rng.integers(1, 2**63, (300, 3), np.uint64)),
+                     axis=0)
+    bounds = rows[rng.random(len(rows)) < rng.choice([0, .1, .9])]
+    run = rows[rng.integers(0, 100):rng.integers(101, len(rows))]
+    first, edges = phrases._cut(run, phrases._strings(bounds))
+    low, high = tuple(run[0]), tuple(run[-1])
+    assert len(edges) == 2 + sum(low < tuple(b) <= high for b in bounds)
+    pieces = [(first + i, tuple(r)) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) for r in run[a:b]]
+    assert pieces == [(sum(tuple(b) <= tuple(r) for b in bounds), tuple(r)) for r in run]
+
+
+def test_many_parts_are_summed_by_one_sort(monkeypatch):
+    sorts = []
+    monkeypatch.setattr(np, "lexsort", lambda keys, f=np.lexsort: sorts.append(len(keys[0])) or f(keys))
+    part = Tree.of_rows(np.array([[1, 2], [1, 3], [4, 0]], np.uint64), np.array([5, 1, 2]))
+    assert listed(union([part] * 500)) == [((1, 2), 2500), ((1, 3), 500), ((4,), 1000)]
+    assert sorts == [1500]
+
+
+def test_runs_and_shuffles_do_not_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+[.]data", disk.getAllFiles().mkString(" ")))
+
+    settings, before = spark.conf.getAll, shuffled()
+    found = phrases.mine(table(spark, texts(4)).repartition(3), least=4)
+    for _ in range(100):  # they are deleted beside the job
+        if not shuffled() - before:
+            break
+        time.sleep(.1)
+    assert not shuffled() - before and spark.conf.getAll == settings
+    stored = {p.name.split("-")[1] for p in tmp_path.glob("llm-*")}
+    assert {"short", "long", "words", "kept"} <= stored and not stored & {"pairs", "phrases"}
+    assert sorted(tuple(r) for r in found.collect()) == mined(texts(4), 4)
+
+
 def test_phrases_of_empty_tables(spark):
     assert phrases.mine(table(spark, [])).collect() == []
     assert phrases.mine(table(spark, [("en", None), (None, "one two")])).collect() == []
